@@ -19,7 +19,10 @@ from .. import session
 from ..functions import rows
 from ..operators import cells, groups, select, upsert
 from ..sinks import files, tables
+from ..sources import files as source_files
 from ..sources import text, windows
+from ..streaming import completeness, delivery
+from ..streaming import windows as ingest
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -207,6 +210,96 @@ def staged_overwrite(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# --- S3 S5 T1 ----------------------------------------------------------------
+
+DAY = timedelta(days=1)
+
+
+def window_replay(spark, sf_dir):
+    ev = load(spark, sf_dir, "events").select("event_id", "ts", "value")
+    root = session.scratch_path(spark, "windows")
+    control = ingest.ControlTable(spark, f"{root}/control")
+    out = f"{root}/out"
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    start = lo.replace(hour=0, minute=0, second=0, microsecond=0)
+    now = hi + timedelta(seconds=1)              # the poll runs after the last row
+    mid = start + DAY * ((now - start).days // 2)   # first poll: the first half of the days
+
+    def deliver(df, pending):
+        stamped = df.select("event_id", "value", ingest.WINDOW_COL,
+                            F.date_format("window_lo", "yyyy-MM-dd HH:mm:ss").alias("window_lo"))
+        ingest.write_windows(stamped, out)
+
+    ingest.run_windows(spark, "events", ev, "ts", control, deliver, start, mid, DAY)
+    try:                                         # crash between write and mark
+        ingest.run_windows(spark, "events", ev, "ts", control, deliver, start, now, DAY,
+                           stop_after_write=True)
+    except ingest.StopAfterWrite:
+        pass
+    ingest.run_windows(spark, "events", ev, "ts", control, deliver, start, now, DAY)
+    return spark.read.parquet(out).select("event_id", "value", "window_lo")
+
+
+# --- S4 S6 T2 T4 -------------------------------------------------------------
+
+def _drop_last_commit(spark, checkpoint):
+    from .. import paths
+    done = [n for n in paths.list_names(spark, f"{checkpoint}/commits") if n.isdigit()]
+    if done:
+        last = max(done, key=int)
+        paths.delete(spark, f"{checkpoint}/commits/{last}")
+
+
+def file_stream(spark, sf_dir):
+    ev = load(spark, sf_dir, "events").select("event_id", "ts", "value")
+    root = session.scratch_path(spark, "file_stream")
+    src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
+    source_files.stage_files(ev, src, "ts")
+    for _ in range(2):                           # second run replays the last batch
+        stream = delivery.read_file_stream(spark, src, ev.schema, max_files_per_trigger=1)
+        q = delivery.start_delivery(stream, ckpt, delivery.delivery_batch(out))
+        q.awaitTermination()
+        _drop_last_commit(spark, ckpt)
+    return spark.read.parquet(out).select("event_id", "value")
+
+
+# --- T3 ----------------------------------------------------------------------
+
+def quarantine(spark, sf_dir):
+    ev = load(spark, sf_dir, "events")
+    docs = load(spark, sf_dir, "documents")
+    # Events as JSON bodies mixed with prose bodies that are not JSON.
+    bodies = ev.select(rows.to_json_event(["event_id", "value"]).alias("body")) \
+        .unionByName(docs.select(F.col("text").alias("body")))
+    dec = delivery.decode_bodies(bodies, "body", "event_id bigint, value double",
+                                 on_bad=delivery.ON_BAD_QUARANTINE)
+    return dec.good.select("event.event_id", "event.value")
+
+
+def quarantined(spark, sf_dir):
+    ev = load(spark, sf_dir, "events")
+    docs = load(spark, sf_dir, "documents")
+    bodies = ev.select(rows.to_json_event(["event_id", "value"]).alias("body")) \
+        .unionByName(docs.select(F.col("text").alias("body")))
+    dec = delivery.decode_bodies(bodies, "body", on_bad=delivery.ON_BAD_QUARANTINE)
+    return dec.bad.select(F.sha2("body", 256).alias("body_sha"), F.length("body").alias("body_len"))
+
+
+# --- X2 stream form -----------------------------------------------------------
+
+def stream_complete(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_shipdate")
+    root = session.scratch_path(spark, "complete_stream")
+    src, out, state, ckpt = f"{root}/in", f"{root}/out", f"{root}/state", f"{root}/checkpoint"
+    source_files.stage_files(li, src, "l_shipdate")
+    fn = completeness.completeness_batch(state, out, "l_orderkey", "l_returnflag", REQUIRED_FLAGS)
+    for _ in range(2):                           # second run replays the last batch
+        stream = delivery.read_file_stream(spark, src, li.schema, max_files_per_trigger=1)
+        delivery.start_delivery(stream, ckpt, fn).awaitTermination()
+        _drop_last_commit(spark, ckpt)
+    return spark.read.parquet(out).select("l_orderkey")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "band_filter": band_filter,
     "text_scan": text_scan,
@@ -224,6 +317,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_read": window_read,
     "keyed_upsert": keyed_upsert,
     "staged_overwrite": staged_overwrite,
+    "window_replay": window_replay,
+    "file_stream": file_stream,
+    "quarantine": quarantine,
+    "quarantined": quarantined,
+    "stream_complete": stream_complete,
 }
 
 
@@ -273,4 +371,13 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT user_id, event_id, event_type, value FROM events "
         "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"),
     "staged_overwrite": "SELECT p_partkey, p_name FROM part UNION ALL SELECT -1 AS p_partkey, 'aa' AS p_name",
+    "window_replay": (
+        "SELECT event_id, value, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_lo "
+        "FROM events"),
+    "file_stream": "SELECT event_id, value FROM events",
+    "quarantine": "SELECT event_id, value FROM events",
+    "quarantined": "SELECT sha256(text) AS body_sha, length(text) AS body_len FROM documents",
+    "stream_complete": (
+        "SELECT l_orderkey FROM lineitem WHERE l_returnflag IN ('A', 'R') "
+        "GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag) = 2"),
 }

@@ -55,14 +55,19 @@ def touched_buckets(df: DataFrame) -> list[int]:
 
 
 def replace_buckets(spark: SparkSession, merged: DataFrame, path: str,
-                    buckets: list[int], fmt: str = "parquet") -> None:
+                    buckets: list[int], fmt: str = "parquet",
+                    before_swap: Callable[[str], None] | None = None) -> None:
     """Write ``merged`` (already restricted to ``buckets``) and swap it in.
 
     Each touched bucket directory is replaced by rename after the whole
     staged write committed; other buckets are not read or written.
+    ``before_swap`` gets the staged path once it is complete (to derive
+    outputs from the new state before it becomes visible).
     """
     staging = _sibling(path, "staging")
     merged.write.mode("errorifexists").format(fmt).partitionBy(BUCKET_COL).save(staging)
+    if before_swap is not None:
+        before_swap(staging)
     trash = _sibling(path, "replaced")
     present = set(paths.list_names(spark, path))
     written = set(paths.list_names(spark, staging))
@@ -98,7 +103,8 @@ def table_buckets(spark: SparkSession, path: str, sample: DataFrame | None = Non
 
 
 def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
-                       reduce: Callable[[DataFrame], DataFrame], fmt: str = "parquet") -> list[int]:
+                       reduce: Callable[[DataFrame], DataFrame], fmt: str = "parquet",
+                       before_swap: Callable[[str], None] | None = None) -> list[int]:
     """Merge a keyed batch into the bucketed table at ``path``.
 
     ``batch`` must carry ``BUCKET_COL`` and be reduced to one row per key
@@ -113,7 +119,7 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
         return hit
     stored = read_buckets(spark, path, batch.schema, hit, fmt)
     both = stored.unionByName(batch).repartition(len(hit), BUCKET_COL)
-    replace_buckets(spark, reduce(both).select(*batch.columns), path, hit, fmt)
+    replace_buckets(spark, reduce(both).select(*batch.columns), path, hit, fmt, before_swap)
     return hit
 
 
