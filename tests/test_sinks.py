@@ -1,0 +1,46 @@
+import pytest
+
+from tidewater.sinks import files, jdbc, tables
+from tidewater.sources.jdbc import JdbcTarget, scan_options
+
+
+def test_overwrite_own_input(spark, scratch):
+    path = scratch("own")
+    spark.range(10).write.parquet(path)
+    current = spark.read.parquet(path)
+    grown = current.unionByName(tables.literal_rows(spark, current, [(-1,)]))
+    files.staged_overwrite(grown, path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [-1] + list(range(10))
+
+
+def test_insert_values_into_catalog_table(spark):
+    spark.sql("DROP TABLE IF EXISTS person_k6")
+    spark.sql("CREATE TABLE person_k6 (id BIGINT, name STRING, age INT) USING parquet")
+    tables.insert_values(spark, "person_k6", ["id", "name", "age"], [(4, "aa", 12)])
+    assert [tuple(r) for r in spark.table("person_k6").collect()] == [(4, "aa", 12)]
+    spark.sql("DROP TABLE person_k6")
+
+
+def test_merge_statement_upsert_guard():
+    stmt = jdbc.merge_statement("T", "S", ["id", "ts", "seq", "v"], ["id"], ["ts", "seq"])
+    assert stmt.startswith('MERGE INTO T t USING S s ON t."id" = s."id" WHEN MATCHED AND ')
+    assert '(s."ts" > t."ts") OR (s."ts" = t."ts" AND s."seq" > t."seq")' in stmt
+    assert 'UPDATE SET "ts" = s."ts", "seq" = s."seq", "v" = s."v"' in stmt
+    assert stmt.endswith('WHEN NOT MATCHED THEN INSERT ("id", "ts", "seq", "v") '
+                         'VALUES (s."id", s."ts", s."seq", s."v")')
+    upd = jdbc.merge_statement("T", "S", ["id", "v"], ["id"], [], mode="update")
+    assert "NOT MATCHED" not in upd and "WHEN MATCHED THEN UPDATE" in upd
+
+
+def test_modes_and_required_settings():
+    with pytest.raises(ValueError, match="only insert, update or upsert supported"):
+        jdbc.check_mode("delete")
+    with pytest.raises(ValueError):
+        JdbcTarget(url="").options()
+    t = JdbcTarget(url="jdbc:x:y", user="u", password="secret")
+    assert "secret" not in repr(t)
+    with pytest.raises(ValueError):
+        scan_options(t, table="a", query="select 1")
+    opts = scan_options(t, table="ev", partition_column="ts", lower="2024-01-01 00:00:00",
+                        upper="2024-01-02 00:00:00", num_partitions=4)
+    assert opts["partitionColumn"] == "ts" and opts["numPartitions"] == "4"

@@ -29,13 +29,14 @@ def insert_values(spark: SparkSession, table: str, columns: Sequence[str],
     full.write.insertInto(table)
 
 
-def iter_string_maps(df: DataFrame) -> Iterator[dict]:
-    """K1: stream the rows to the driver one partition at a time.
+def iter_maps(df: DataFrame, map_col: str) -> Iterator[dict]:
+    """K1: the values of a map column, streamed to the driver one partition
+    at a time (the driver never holds more than one partition).
 
-    For results known to be small; the driver holds one partition at most.
+    For results known to be small, e.g. a report over a filtered table.
     """
-    for row in df.toLocalIterator():
-        yield {k: (None if v is None else str(v)) for k, v in row.asDict().items()}
+    for row in df.select(map_col).toLocalIterator():
+        yield row[0]
 
 
 def show(df: DataFrame, n: int = 20, truncate: bool = False) -> None:
