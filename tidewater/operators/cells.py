@@ -32,12 +32,15 @@ def event_cells(events: DataFrame, event_col: str, key_field: str, family: str,
     Absent fields give no cell; only fields present in the map are emitted.
     """
     ev = F.col(event_col)
+    # explode_outer, then drop the empty rows: plain explode makes Catalyst
+    # infer a size(map) > 0 filter and inline the decoding into it, which
+    # decodes every event a second and third time.
     cells = events.select(
         reverse_key(ev.getItem(key_field), on_null_key).alias("rowkey"),
         F.lit(family).alias("family"),
-        F.explode(ev).alias("qualifier", "value"),
+        F.explode_outer(ev).alias("qualifier", "value"),
         *[F.col(c) for c in order],
-    )
+    ).filter(F.col("qualifier").isNotNull())
     if null_values == "skip":
         cells = cells.filter(F.col("value").isNotNull())
     elif null_values == "text":

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
+from .sizing import choose_buckets, estimated_bytes
 from ..functions import rows
 from ..operators import cells, groups, select, upsert
 from ..sinks import files, tables
@@ -97,8 +98,11 @@ def json_field(spark, sf_dir):
 # --- P7 ----------------------------------------------------------------------
 
 def nonempty_body(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents")
-    bodies = docs.select("doc_id", F.regexp_extract("text", EMAIL_PATTERN, 0).alias("body"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    # The address needs an '@': texts without one skip the regex (same result).
+    email = F.when(F.instr("text", "@") > 0, F.regexp_extract("text", EMAIL_PATTERN, 0)) \
+        .otherwise(F.lit(""))
+    bodies = docs.select("doc_id", email.alias("body"))
     return bodies.filter(rows.is_nonempty("body"))
 
 
@@ -108,11 +112,15 @@ def bind_params(spark, sf_dir):
     ev = load(spark, sf_dir, "events")
     body = ev.select("event_id", rows.to_json_event(["event_id", "value"]).alias("body"))
     names = rows.split_param_names("value,missing")
-    typed = rows.parse_event("body", "event_id bigint, value double, missing string")
-    as_map = rows.parse_event("body")
-    return body.select("event_id",
-                       *rows.bind_params(typed, names, prefix="p"),
-                       *rows.bind_params(as_map, names, as_text=True, prefix="t"))
+    # decode once per form, then bind (binding on the parse expression
+    # itself would parse the body again for every parameter)
+    decoded = body.select("event_id",
+                          rows.parse_event("body", "event_id bigint, value double, missing string")
+                          .alias("typed"),
+                          rows.parse_event("body").alias("as_map"))
+    return decoded.select("event_id",
+                          *rows.bind_params("typed", names, prefix="p"),
+                          *rows.bind_params("as_map", names, as_text=True, prefix="t"))
 
 
 # --- P10 ---------------------------------------------------------------------
@@ -265,23 +273,22 @@ def file_stream(spark, sf_dir):
 
 # --- T3 ----------------------------------------------------------------------
 
+def _mixed_bodies(spark, sf_dir):
+    """Events as JSON bodies mixed with prose bodies that are not JSON."""
+    ev = load(spark, sf_dir, "events").select(rows.to_json_event(["event_id", "value"]).alias("body"))
+    docs = load(spark, sf_dir, "documents").select(F.col("text").alias("body"))
+    return ev.unionByName(docs)
+
+
 def quarantine(spark, sf_dir):
-    ev = load(spark, sf_dir, "events")
-    docs = load(spark, sf_dir, "documents")
-    # Events as JSON bodies mixed with prose bodies that are not JSON.
-    bodies = ev.select(rows.to_json_event(["event_id", "value"]).alias("body")) \
-        .unionByName(docs.select(F.col("text").alias("body")))
-    dec = delivery.decode_bodies(bodies, "body", "event_id bigint, value double",
-                                 on_bad=delivery.ON_BAD_QUARANTINE)
+    dec = delivery.decode_bodies(_mixed_bodies(spark, sf_dir), "body",
+                                 "event_id bigint, value double", on_bad=delivery.ON_BAD_QUARANTINE)
     return dec.good.select("event.event_id", "event.value")
 
 
 def quarantined(spark, sf_dir):
-    ev = load(spark, sf_dir, "events")
-    docs = load(spark, sf_dir, "documents")
-    bodies = ev.select(rows.to_json_event(["event_id", "value"]).alias("body")) \
-        .unionByName(docs.select(F.col("text").alias("body")))
-    dec = delivery.decode_bodies(bodies, "body", on_bad=delivery.ON_BAD_QUARANTINE)
+    dec = delivery.decode_bodies(_mixed_bodies(spark, sf_dir), "body",
+                                 on_bad=delivery.ON_BAD_QUARANTINE)
     return dec.bad.select(F.sha2("body", 256).alias("body_sha"), F.length("body").alias("body_len"))
 
 
@@ -292,7 +299,10 @@ def stream_complete(spark, sf_dir):
     root = session.scratch_path(spark, "complete_stream")
     src, out, state, ckpt = f"{root}/in", f"{root}/out", f"{root}/state", f"{root}/checkpoint"
     source_files.stage_files(li, src, "l_shipdate")
-    fn = completeness.completeness_batch(state, out, "l_orderkey", "l_returnflag", REQUIRED_FLAGS)
+    # state: one small row per order; size its buckets from the key column
+    buckets = choose_buckets(estimated_bytes(li.select("l_orderkey")))
+    fn = completeness.completeness_batch(state, out, "l_orderkey", "l_returnflag", REQUIRED_FLAGS,
+                                         buckets=buckets)
     for _ in range(2):                           # second run replays the last batch
         stream = delivery.read_file_stream(spark, src, li.schema, max_files_per_trigger=1)
         delivery.start_delivery(stream, ckpt, fn).awaitTermination()

@@ -39,3 +39,4 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     otherwise leave the side to a shuffle join."""
     lim = broadcast_limit(df) if limit is None else limit
     return F.broadcast(df) if 0 <= estimated_bytes(df) <= lim else df
+

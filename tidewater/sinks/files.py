@@ -16,6 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,13 +115,20 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
     include the bucket, so it adds no exchange) merges them and each bucket
     is written by exactly one task.
     """
-    hit = touched_buckets(batch)
-    if not hit:
+    # The reduced batch (one row per key) is used twice: for the touched
+    # buckets and for the merge. Keep it on the executors instead of running
+    # the upstream plan again; a lost block is recomputed from lineage.
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        hit = touched_buckets(batch)
+        if not hit:
+            return hit
+        stored = read_buckets(spark, path, batch.schema, hit, fmt)
+        both = stored.unionByName(batch).repartition(len(hit), BUCKET_COL)
+        replace_buckets(spark, reduce(both).select(*batch.columns), path, hit, fmt, before_swap)
         return hit
-    stored = read_buckets(spark, path, batch.schema, hit, fmt)
-    both = stored.unionByName(batch).repartition(len(hit), BUCKET_COL)
-    replace_buckets(spark, reduce(both).select(*batch.columns), path, hit, fmt, before_swap)
-    return hit
+    finally:
+        batch.unpersist()
 
 
 def read_buckets(spark: SparkSession, path: str, schema, buckets: list[int],
