@@ -11,7 +11,8 @@ TABLES = "part lineitem events documents".split()
 # tool instead (tools/check_oracle.py); here a fast subset.
 FAST = ["band_filter", "string_map", "double_add", "json_round_trip", "json_field",
         "nonempty_body", "bind_params", "reverse_key", "template_rows", "intersect_keys",
-        "group_complete", "window_read", "quarantine", "text_scan", "cell_upsert", "keyed_upsert"]
+        "group_complete", "window_read", "quarantine", "text_scan", "cell_upsert", "keyed_upsert",
+        "cell_dense", "quarantined"]
 
 
 def test_entry_runs(spark):

@@ -44,3 +44,14 @@ def test_modes_and_required_settings():
     opts = scan_options(t, table="ev", partition_column="ts", lower="2024-01-01 00:00:00",
                         upper="2024-01-02 00:00:00", num_partitions=4)
     assert opts["partitionColumn"] == "ts" and opts["numPartitions"] == "4"
+
+
+def test_console_outputs(spark, scratch, capsys):
+    from tidewater.streaming.delivery import console_stream, read_file_stream
+    df = spark.createDataFrame([(1, "aa")], "id long, name string")
+    tables.show(df)
+    path = scratch("console")
+    df.write.parquet(path)
+    q = console_stream(read_file_stream(spark, path, df.schema))
+    q.awaitTermination()
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 1

@@ -156,6 +156,18 @@ def cell_upsert(spark, sf_dir):
     return spark.read.parquet(path).select("rowkey", "family", "qualifier", "value", "event_id")
 
 
+def cell_dense(spark, sf_dir):
+    """Dense form: every listed column of every event is a cell."""
+    ev = load(spark, sf_dir, "events").select("ts", "event_id", "user_id", "event_type", "value")
+    path = session.scratch_path(spark, "cells_dense")
+    order = ["ts", "event_id"]
+    for part in [windows.read_since(ev, "ts", HALF_SPLIT), windows.read_until(ev, "ts", HALF_SPLIT)]:
+        batch = cells.column_cells(part, "user_id", ["user_id", "event_type", "value"], CELL_FAMILY,
+                                   order=order)
+        cells.put_cells(spark, path, batch, order)
+    return spark.read.parquet(path).select("rowkey", "family", "qualifier", "value", "event_id")
+
+
 # --- P12 P13 -----------------------------------------------------------------
 
 def template_rows(spark, sf_dir):
@@ -271,6 +283,20 @@ def file_stream(spark, sf_dir):
     return spark.read.parquet(out).select("event_id", "value")
 
 
+def stream_upsert(spark, sf_dir):
+    """K4 in a stream: each micro-batch is merged into a keyed table."""
+    ev = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    root = session.scratch_path(spark, "upsert_stream")
+    src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
+    source_files.stage_files(ev, src, "ts")
+    fn = delivery.upsert_batch(out, ["user_id"], ["ts", "event_id"])
+    for _ in range(2):                           # second run replays the last batch
+        stream = delivery.read_file_stream(spark, src, ev.schema, max_files_per_trigger=1)
+        delivery.start_delivery(stream, ckpt, fn).awaitTermination()
+        _drop_last_commit(spark, ckpt)
+    return spark.read.parquet(out).select("user_id", "event_id", "event_type", "value")
+
+
 # --- T3 ----------------------------------------------------------------------
 
 def _mixed_bodies(spark, sf_dir):
@@ -321,6 +347,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bind_params": bind_params,
     "reverse_key": reverse_key,
     "cell_upsert": cell_upsert,
+    "cell_dense": cell_dense,
     "template_rows": template_rows,
     "intersect_keys": intersect_keys,
     "group_complete": group_complete,
@@ -329,6 +356,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staged_overwrite": staged_overwrite,
     "window_replay": window_replay,
     "file_stream": file_stream,
+    "stream_upsert": stream_upsert,
     "quarantine": quarantine,
     "quarantined": quarantined,
     "stream_complete": stream_complete,
@@ -361,6 +389,14 @@ ORACLE_SQL: dict[str, str] = {
         "WHERE amount IS NOT NULL) "
         f"SELECT rowkey, '{CELL_FAMILY}' AS family, qualifier, value, event_id FROM c "
         "QUALIFY row_number() OVER (PARTITION BY rowkey, qualifier ORDER BY ts DESC, event_id DESC) = 1"),
+    "cell_dense": (
+        "WITH ev AS (SELECT reverse(CAST(user_id AS VARCHAR)) AS rowkey, ts, event_id, user_id, "
+        "event_type, value FROM events), "
+        "c AS (SELECT rowkey, 'user_id' AS qualifier, CAST(user_id AS VARCHAR) AS value, ts, event_id FROM ev "
+        "UNION ALL SELECT rowkey, 'event_type', event_type, ts, event_id FROM ev "
+        "UNION ALL SELECT rowkey, 'value', CAST(value AS VARCHAR), ts, event_id FROM ev) "
+        f"SELECT rowkey, '{CELL_FAMILY}' AS family, qualifier, value, event_id FROM c "
+        "QUALIFY row_number() OVER (PARTITION BY rowkey, qualifier ORDER BY ts DESC, event_id DESC) = 1"),
     "template_rows": (
         "SELECT event_id, '<test>' || chr(10) || "
         f"CAST((CAST(user_id AS VARCHAR) = '{TEMPLATE_KEY}') AS VARCHAR) || chr(10) || '</test>' "
@@ -385,6 +421,9 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT event_id, value, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_lo "
         "FROM events"),
     "file_stream": "SELECT event_id, value FROM events",
+    "stream_upsert": (
+        "SELECT user_id, event_id, event_type, value FROM events "
+        "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"),
     "quarantine": "SELECT event_id, value FROM events",
     "quarantined": "SELECT sha256(text) AS body_sha, length(text) AS body_len FROM documents",
     "stream_complete": (

@@ -107,3 +107,23 @@ def start_delivery(stream: DataFrame, checkpoint: str,
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     return writer.start()
 
+
+
+def upsert_batch(path: str, keys: list[str], order: list[str],
+                 buckets: int | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for K4 in a stream: merge each micro-batch
+    into the keyed file table at ``path``. Replays are harmless: the merge
+    keeps the greatest order tuple per key."""
+    from ..operators.upsert import upsert_table
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        upsert_table(batch.sparkSession, path, batch, keys, order, buckets)
+
+    return run
+
+
+def console_stream(stream: DataFrame, rows: int = 20, trigger: dict | None = None) -> StreamingQuery:
+    """K7 for streams: print each micro-batch (a report, not a delivery)."""
+    writer = stream.writeStream.format("console").option("numRows", str(rows)) \
+        .option("truncate", "false")
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
