@@ -116,3 +116,16 @@ def test_stream_completeness_emits_once(spark, scratch):
         paths.delete(spark, f"{ckpt}/commits/{last}")
     got = sorted((r.g, r.batch_id) for r in spark.read.parquet(out).collect())
     assert [g for g, _ in got] == ["g1", "g2"]
+
+
+def test_control_table_compaction_keeps_mark(spark, scratch):
+    control = ingest.ControlTable(spark, f"{scratch('ctl')}/control")
+    lo = datetime(2024, 1, 1)
+    for i in range(6):
+        w = ingest.Window(i, lo + timedelta(hours=i), lo + timedelta(hours=i + 1))
+        control.commit("s", w)
+        control.compact(max_files=3)
+    assert control.last("s").window_id == 5
+    assert control.history("s").count() == 6
+    files = [n for n in paths.list_names(spark, control.path) if n.endswith(".parquet")]
+    assert len(files) <= 3

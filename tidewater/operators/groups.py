@@ -35,9 +35,15 @@ def intersect_by_name(left: DataFrame, right: DataFrame,
     missing = [c for c in cols if c not in right.columns]
     if missing:
         raise ValueError(f"right side lacks columns {missing}")
-    lhs = left.select(*cols).distinct()
-    rhs = right.select(*cols).distinct()
-    return lhs.intersect(rhs)
+    # One struct key per row: never null, and struct equality treats null
+    # fields as equal (INTERSECT semantics), so the distinct's hash
+    # partitioning is reused by the join instead of a second shuffle.
+    lhs = left.select(F.struct(*cols).alias("_k")).distinct()
+    rhs = right.select(F.struct(*cols).alias("_k")).distinct()
+    # Written as a semi join of the two distinct sides: ``lhs.intersect(rhs)``
+    # puts a distinct above the join and Catalyst then drops the left-side
+    # distinct as redundant, so the left would cross the shuffle row by row.
+    return lhs.join(rhs, "_k", "left_semi").select(*[F.col(f"_k.{c}").alias(c) for c in cols])
 
 
 def _member_bit(member: Column, required: Sequence[str]) -> Column:

@@ -17,6 +17,7 @@ caller gives); it is a plain parquet table, one small file per window.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -71,6 +72,27 @@ class ControlTable:
         rows = [(source, w.window_id, w.lo, w.hi) for w in done]
         self.spark.createDataFrame(rows, CONTROL_SCHEMA).coalesce(1) \
             .write.mode("append").parquet(self.path)
+        self.compact()
+
+    def compact(self, max_files: int = 64) -> None:
+        """Fold the small per-commit files into one once there are many.
+
+        The folded file is added before the old ones are removed, so a crash
+        in between leaves duplicate rows (harmless: the mark is the greatest
+        window id), never a missing mark.
+        """
+        names = [n for n in paths.list_names(self.spark, self.path) if n.endswith(".parquet")]
+        if len(names) <= max_files:
+            return
+        tmp = f"{self.path}.compact-{uuid.uuid4().hex[:10]}"
+        self.spark.read.schema(CONTROL_SCHEMA).parquet(*[f"{self.path}/{n}" for n in names]) \
+            .dropDuplicates(["source", "window_id"]).coalesce(1).write.parquet(tmp)
+        for n in paths.list_names(self.spark, tmp):
+            if n.endswith(".parquet"):
+                paths.rename(self.spark, f"{tmp}/{n}", f"{self.path}/compacted-{uuid.uuid4().hex[:10]}.parquet")
+        for n in names:
+            paths.delete(self.spark, f"{self.path}/{n}")
+        paths.delete(self.spark, tmp)
 
     def history(self, source: str) -> DataFrame:
         rows = self._rows(source)
