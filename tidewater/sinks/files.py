@@ -115,22 +115,38 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
     include the bucket, so it adds no exchange) merges them and each bucket
     is written by exactly one task.
     """
+    if batch.select(BUCKET_COL).schema[0].dataType.typeName() != "integer":
+        raise TypeError(f"{BUCKET_COL} must be an int column")
+    n = _bucket_count(spark, path)
+    if n == 1:
+        # A one-bucket table is rewritten whole: no job to find touched
+        # buckets. An empty batch rewrites the stored rows unchanged.
+        _merge_and_swap(spark, path, batch, [0], reduce, fmt, before_swap)
+        return [0]
     # The reduced batch (one row per key) is used twice: for the touched
     # buckets and for the merge. Keep it on the executors instead of running
     # the upstream plan again; a lost block is recomputed from lineage.
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         hit = touched_buckets(batch)
-        if not hit:
-            return hit
-        stored = read_buckets(spark, path, batch.schema, hit, fmt)
-        both = stored.unionByName(batch).repartition(len(hit), BUCKET_COL)
-        replace_buckets(spark, reduce(both).select(*batch.columns), path, hit, fmt, before_swap)
+        if hit:
+            _merge_and_swap(spark, path, batch, hit, reduce, fmt, before_swap)
         return hit
     finally:
         batch.unpersist()
 
 
+def _merge_and_swap(spark, path, batch, hit, reduce, fmt, before_swap) -> None:
+    stored = read_buckets(spark, path, batch.schema, hit, fmt)
+    both = stored.unionByName(batch).repartition(len(hit), BUCKET_COL)
+    replace_buckets(spark, reduce(both).select(*batch.columns), path, hit, fmt, before_swap)
+
+
+def _bucket_count(spark: SparkSession, path: str) -> int | None:
+    marker = f"{path}/{BUCKETS_FILE}"
+    return int(paths.read_text(spark, marker).strip()) if paths.exists(spark, marker) else None
+
+
 def read_buckets(spark: SparkSession, path: str, schema, buckets: list[int],
                  fmt: str = "parquet") -> DataFrame:
     """The stored rows of the given buckets (partition-pruned), or empty."""

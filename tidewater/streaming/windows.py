@@ -129,14 +129,20 @@ def write_window(df: DataFrame, path: str, window_id: int, fmt: str = "parquet")
 def assign_windows(table: DataFrame, time_col: str, pending: list[Window],
                    step: timedelta) -> DataFrame:
     """Rows of all ``pending`` windows, each tagged with ``window_id`` and
-    ``window_lo`` by arithmetic on the time column (no join, no loop)."""
+    ``window_lo`` by arithmetic on the time column (no join, no loop).
+
+    The arithmetic runs on wall-clock values (``timestamp_ntz``), like the
+    window bounds themselves, so it does not depend on the session zone or
+    its daylight-saving shifts.
+    """
     first, last = pending[0], pending[-1]
     rows = read_window(table, time_col, first.lo, last.hi)
-    tcol = F.col(time_col).cast("timestamp")
-    base = F.unix_micros(F.lit(first.lo.strftime(TIME_FORMAT)).cast("timestamp"))
     step_us = int(step / timedelta(microseconds=1))
-    idx = F.floor((F.unix_micros(tcol) - base) / F.lit(step_us)).cast("long")
-    lo = F.timestamp_micros(base + idx * F.lit(step_us))
+    wall = F.col(time_col).cast("timestamp_ntz")
+    base = F.lit(first.lo.strftime(TIME_FORMAT)).cast("timestamp_ntz")
+    diff = F.timestamp_diff("MICROSECOND", base, wall)
+    idx = F.floor(diff / F.lit(step_us)).cast("long")
+    lo = F.timestamp_add("MICROSECOND", idx * F.lit(step_us), base)
     return rows.withColumn(WINDOW_COL, idx + F.lit(first.window_id)) \
         .withColumn("window_lo", lo.cast(table.schema[time_col].dataType))
 
