@@ -54,4 +54,12 @@ def test_console_outputs(spark, scratch, capsys):
     df.write.parquet(path)
     q = console_stream(read_file_stream(spark, path, df.schema))
     q.awaitTermination()
-    assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 1
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 1
+
+
+def test_poll_trigger_defaults():
+    from tidewater.streaming.delivery import poll_trigger
+    assert poll_trigger("1000") == {"processingTime": "1000 milliseconds"}
+    assert poll_trigger("") == {"processingTime": "60000 milliseconds"}
+    assert poll_trigger("abc") == {"processingTime": "60000 milliseconds"}
+    assert poll_trigger(None) == {"processingTime": "60000 milliseconds"}

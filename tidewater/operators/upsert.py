@@ -37,16 +37,35 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str],
     return latest_per_key(base.unionByName(updates), keys, order)
 
 
+def update_existing(spark: SparkSession, path: str, updates: DataFrame,
+                    keys: Sequence[str]) -> DataFrame:
+    """The rows of ``updates`` whose key is already stored at ``path``.
+
+    A left-semi join against the stored key columns only (column-pruned);
+    a missing table means no key exists yet.
+    """
+    from .. import paths
+    if not paths.exists(spark, path) or not [n for n in paths.list_names(spark, path)
+                                              if n.startswith(files.BUCKET_COL + "=")]:
+        return updates.limit(0)
+    stored_keys = spark.read.parquet(path).select(*keys).distinct()
+    return updates.join(stored_keys, list(keys), "left_semi")
+
+
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
-                 order: Sequence[str], buckets: int | None = None) -> None:
+                 order: Sequence[str], buckets: int | None = None, mode: str = "upsert") -> None:
     """Apply ``updates`` to the file table at ``path`` in place.
 
     Rows are hash-bucketed on the key; only buckets present in the batch are
     read, merged and swapped in. A replayed batch yields the same buckets.
     The bucket count is fixed at creation (``buckets`` or sized from the
-    first batch's estimate).
+    first batch's estimate). ``mode='update'`` changes existing keys only.
     """
     keys, order = list(keys), list(order)
+    if mode == "update":
+        updates = update_existing(spark, path, updates, keys)
+    elif mode != "upsert":
+        raise ValueError("file tables support update or upsert; use an append for insert")
     bkeys = keys + [files.BUCKET_COL]
     n = files.table_buckets(spark, path, updates, buckets)
     batch = latest_per_key(updates.withColumn(files.BUCKET_COL, files.bucket_of(keys, n)),

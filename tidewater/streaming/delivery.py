@@ -29,6 +29,25 @@ ON_BAD_FAIL = "fail"
 ON_BAD_QUARANTINE = "quarantine"
 
 
+# S4 fixed value: the poll interval used when the setting is empty or not a
+# number, in milliseconds.
+DEFAULT_INTERVAL_MS = 60000
+
+
+def poll_trigger(interval: str | int | None) -> dict:
+    """The trigger for a poll interval setting in milliseconds.
+
+    An empty or non-numeric setting falls back to ``DEFAULT_INTERVAL_MS``.
+    """
+    try:
+        ms = int(str(interval).strip())
+    except (TypeError, ValueError):
+        ms = DEFAULT_INTERVAL_MS
+    if ms <= 0:
+        ms = DEFAULT_INTERVAL_MS
+    return {"processingTime": f"{ms} milliseconds"}
+
+
 def read_file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                      max_files_per_trigger: int | None = 1) -> DataFrame:
     """A folder of files as an ordered stream of batches."""
