@@ -53,3 +53,12 @@ def test_bad_line_fails_by_default(spark, line):
     lines = spark.createDataFrame([(line,)], "value string")
     with pytest.raises((PySparkException, Py4JJavaError)):
         text.parse_lines(lines).good.collect()
+
+
+def test_range_report_and_save_over_input(spark, scratch):
+    from tidewater.plans.flows import range_report, save_parsed
+    path = scratch("flow")
+    write_lines(spark, path, PEOPLE)
+    assert [r.m for r in range_report(spark, path, 13, 19).collect()] == [{"id": "1", "name": "aa", "age": "18"}]
+    save_parsed(spark, path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "aa", 18), (2, "bb", 28), (3, "cc", 38)]

@@ -61,6 +61,21 @@ def text_scan(spark, sf_dir):
     return text.read_delimited(spark, out, text.PEOPLE_SCHEMA).good
 
 
+def people_flow(spark, sf_dir):
+    """The full batch flow over part-derived text: scan, view, SQL range,
+    string maps; then the text folder is replaced by the parsed table."""
+    from .flows import range_report, save_parsed
+    part = load(spark, sf_dir, "part")
+    lines = session.scratch_path(spark, "people")
+    part.select(F.concat_ws(" ", "p_partkey", "p_brand", "p_size").alias("value")).write.text(lines)
+    report = session.scratch_path(spark, "people_report")
+    range_report(spark, lines, BAND_LO, BAND_HI).write.parquet(report)
+    save_parsed(spark, lines)
+    m = spark.read.parquet(report)
+    return m.select(F.col("m")["id"].alias("id"), F.col("m")["name"].alias("name"),
+                    F.col("m")["age"].alias("age"))
+
+
 # --- P3 ----------------------------------------------------------------------
 
 def string_map(spark, sf_dir):
@@ -339,6 +354,7 @@ def stream_complete(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "band_filter": band_filter,
     "text_scan": text_scan,
+    "people_flow": people_flow,
     "string_map": string_map,
     "double_add": double_add,
     "json_round_trip": json_round_trip,
@@ -368,6 +384,9 @@ _TS_SPLIT = "TIMESTAMP '2024-01-16 00:00:00'"
 ORACLE_SQL: dict[str, str] = {
     "band_filter": BAND_SQL,
     "text_scan": "SELECT p_partkey AS id, p_brand AS name, p_size AS age FROM part",
+    "people_flow": (
+        "SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS name, CAST(p_size AS VARCHAR) AS age "
+        f"FROM part WHERE p_size >= {BAND_LO} AND p_size <= {BAND_HI}"),
     "string_map": "SELECT p_partkey, p_name AS name, CAST(p_size AS VARCHAR) AS size_text FROM part",
     "double_add": "SELECT l_orderkey, l_linenumber, l_discount + l_tax AS disc_plus_tax FROM lineitem",
     "json_round_trip": "SELECT event_id, user_id, event_type, value FROM events",
