@@ -63,3 +63,15 @@ def test_poll_trigger_defaults():
     assert poll_trigger("") == {"processingTime": "60000 milliseconds"}
     assert poll_trigger("abc") == {"processingTime": "60000 milliseconds"}
     assert poll_trigger(None) == {"processingTime": "60000 milliseconds"}
+
+
+def test_size_estimates(spark, scratch):
+    from tidewater.plans import sizing
+    path = scratch("size")
+    spark.range(1000).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert sizing.input_bytes(df) > 0
+    assert sizing.estimated_bytes(df) > 0
+    assert sizing.choose_buckets(0) == 1
+    assert sizing.choose_buckets(3 * sizing.TARGET_BUCKET_BYTES) == 4
+    assert sizing.choose_buckets(10 ** 18) == sizing.MAX_BUCKETS

@@ -39,6 +39,12 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise IOError(f"rename failed: {src} -> {dst}")
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` (a file or a folder)."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

@@ -18,9 +18,25 @@ MAX_BUCKETS = 8192
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (may be an over-estimate)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+    """Catalyst's size estimate of ``df`` (may be an over-estimate).
+
+    Where the optimizer's statistics are not reachable (e.g. Spark Connect),
+    the total size of the input files is used instead.
+    """
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return input_bytes(df)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files ``df`` reads (0 when it reads none)."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    from .. import paths
+    return sum(paths.size(df.sparkSession, f) for f in files)
 
 
 def choose_buckets(size_bytes: int, target: int = TARGET_BUCKET_BYTES) -> int:
