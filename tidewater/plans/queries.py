@@ -444,7 +444,7 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT user_id, event_id, event_type, value FROM events "
         "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"),
     "quarantine": "SELECT event_id, value FROM events",
-    "quarantined": "SELECT sha256(text) AS body_sha, length(text) AS body_len FROM documents",
+    "quarantined": "SELECT sha256(text) AS body_sha, CAST(length(text) AS INTEGER) AS body_len FROM documents",
     "stream_complete": (
         "SELECT l_orderkey FROM lineitem WHERE l_returnflag IN ('A', 'R') "
         "GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag) = 2"),
