@@ -129,3 +129,18 @@ def test_control_table_compaction_keeps_mark(spark, scratch):
     assert control.history("s").count() == 6
     files = [n for n in paths.list_names(spark, control.path) if n.endswith(".parquet")]
     assert len(files) <= 3
+
+
+def test_stream_of_bodies_into_keyed_table(spark, scratch):
+    root = scratch("bodies")
+    src, table, bad, ckpt = f"{root}/in", f"{root}/table", f"{root}/bad", f"{root}/ckpt"
+    rows = [(i, '{"user_id": %d, "seq": %d, "v": "v%d"}' % (i % 3, i, i)) for i in range(12)]
+    rows += [(100, "not json"), (101, "")]
+    df = spark.createDataFrame(rows, "id long, body string")
+    _stage(spark, df, src, 3)
+    fn = delivery.upsert_batch(table, ["user_id"], ["seq"], body_col="body",
+                               schema="user_id long, seq long, v string", quarantine_path=bad)
+    delivery.start_delivery(delivery.read_file_stream(spark, src, df.schema), ckpt, fn).awaitTermination()
+    got = {r.user_id: r.v for r in spark.read.parquet(table).collect()}
+    assert got == {0: "v9", 1: "v10", 2: "v11"}
+    assert [r.body for r in spark.read.parquet(bad).collect()] == ["not json"]

@@ -128,15 +128,29 @@ def start_delivery(stream: DataFrame, checkpoint: str,
 
 
 
-def upsert_batch(path: str, keys: list[str], order: list[str],
-                 buckets: int | None = None) -> Callable[[DataFrame, int], None]:
+def upsert_batch(path: str, keys: list[str], order: list[str], buckets: int | None = None,
+                 body_col: str | None = None, schema=None,
+                 quarantine_path: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function for K4 in a stream: merge each micro-batch
     into the keyed file table at ``path``. Replays are harmless: the merge
-    keeps the greatest order tuple per key."""
+    keeps the greatest order tuple per key.
+
+    With ``body_col`` the batch holds JSON bodies: empty ones are skipped,
+    the rest decoded with ``schema`` (a struct whose fields become the
+    table's columns); undecodable bodies fail the batch or, with
+    ``quarantine_path``, are written there keyed by batch id.
+    """
     from ..operators.upsert import upsert_table
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(batch.sparkSession, path, batch, keys, order, buckets)
+        df = batch
+        if body_col is not None:
+            mode = ON_BAD_QUARANTINE if quarantine_path else ON_BAD_FAIL
+            dec = decode_bodies(df, body_col, schema, mode)
+            if dec.bad is not None:
+                write_batch(dec.bad, quarantine_path, batch_id)
+            df = dec.good.select("event.*")
+        upsert_table(df.sparkSession, path, df, keys, order, buckets)
 
     return run
 
