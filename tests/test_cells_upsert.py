@@ -1,6 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from tidewater.functions.rows import parse_event
 from tidewater.operators import cells, upsert

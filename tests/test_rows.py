@@ -3,7 +3,6 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import functions as F
 
 from tidewater.functions import rows
 from tidewater.streaming.delivery import decode_bodies, ON_BAD_QUARANTINE

@@ -1,8 +1,6 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.errors import PySparkException
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from tidewater import paths
