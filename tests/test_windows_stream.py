@@ -142,3 +142,15 @@ def test_stream_of_bodies_into_keyed_table(spark, scratch):
     got = {r.user_id: r.v for r in spark.read.parquet(table).collect()}
     assert got == {0: "v9", 1: "v10", 2: "v11"}
     assert [r.body for r in spark.read.parquet(bad).collect()] == ["not json"]
+
+
+def test_stream_completeness_with_empty_files(spark, scratch):
+    root = scratch("cse")
+    src, out, state, ckpt = f"{root}/in", f"{root}/out", f"{root}/state", f"{root}/ckpt"
+    schema = "g string, m string"
+    spark.createDataFrame([], schema).write.parquet(f"{src}")                      # an empty file
+    spark.createDataFrame([("g1", "A"), ("g1", "B")], schema).write.mode("append").parquet(src)
+    fn = completeness.completeness_batch(state, out, "g", "m", ["A", "B"], buckets=1)
+    stream = delivery.read_file_stream(spark, src, schema)
+    delivery.start_delivery(stream, ckpt, fn).awaitTermination()
+    assert [r.g for r in spark.read.parquet(out).collect()] == ["g1"]

@@ -1,6 +1,5 @@
-"""File folders as inputs: staging a table as an ordered run of files, the
-way an upstream producer drops them into a folder that a file stream reads
-(S6)."""
+"""File folders as inputs: staging a table as a run of files, the way an
+upstream producer drops them into a folder that a file stream reads (S6)."""
 
 from __future__ import annotations
 
@@ -13,11 +12,13 @@ from ..plans.sizing import estimated_bytes
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
-def stage_files(df: DataFrame, path: str, order_col: str, min_files: int = 4,
-                fmt: str = "parquet") -> int:
-    """Write ``df`` as range-partitioned files on ``order_col`` (one time
-    slice per file). The count follows the estimated size, at least
-    ``min_files``. Returns the file count asked for."""
-    n = max(min_files, math.ceil(estimated_bytes(df) / TARGET_FILE_BYTES))
-    df.repartitionByRange(n, order_col).write.format(fmt).save(path)
-    return n
+def stage_files(df: DataFrame, path: str, min_files: int = 4, fmt: str = "parquet") -> int:
+    """Write ``df`` as a run of files of bounded row count, without a
+    shuffle: every task cuts its rows into files of ``maxRecordsPerFile``.
+    The file count follows the estimated size, at least ``min_files``.
+    Returns the number of rows per file."""
+    rows = df.count()                        # parquet answers this from footers
+    files = max(min_files, math.ceil(estimated_bytes(df) / TARGET_FILE_BYTES))
+    per_file = max(1, math.ceil(rows / files))
+    df.write.format(fmt).option("maxRecordsPerFile", str(per_file)).save(path)
+    return per_file

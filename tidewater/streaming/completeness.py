@@ -37,6 +37,8 @@ def completeness_batch(state_path: str, out_path: str, group: str, member: str,
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
+        if batch.isEmpty():          # an empty file: nothing can complete
+            return
         n = files.table_buckets(spark, state_path, None, buckets)
         masks = (member_mask(batch, group, member, req)
                  .withColumn("completed_batch", F.lit(None).cast("long"))
@@ -52,14 +54,11 @@ def completeness_batch(state_path: str, out_path: str, group: str, member: str,
                               files.BUCKET_COL)
 
         def emit(staged: str) -> None:
-            newly = (spark.read.parquet(staged)
+            newly = (spark.read.schema(masks.schema).parquet(staged)
                      .filter(F.col("completed_batch") == F.lit(batch_id))
                      .select(group))
             write_batch(newly, out_path, batch_id)
 
-        hit = files.merge_into_buckets(spark, state_path, masks, reduce, before_swap=emit)
-        if not hit:
-            write_batch(batch.sparkSession.createDataFrame([], masks.select(group).schema),
-                        out_path, batch_id)
+        files.merge_into_buckets(spark, state_path, masks, reduce, before_swap=emit)
 
     return run
