@@ -75,3 +75,29 @@ def test_size_estimates(spark, scratch):
     assert sizing.choose_buckets(0) == 1
     assert sizing.choose_buckets(3 * sizing.TARGET_BUCKET_BYTES) == 4
     assert sizing.choose_buckets(10 ** 18) == sizing.MAX_BUCKETS
+
+
+def test_jdbc_upsert_orchestration_without_database(spark, monkeypatch):
+    """Reduce to the latest row per key, append to staging, one MERGE.
+
+    No database may be started here, so the two database calls are captured.
+    """
+    calls = {}
+
+    def fake_append(df, target, table, batchsize, num_partitions, column_types, mode="append"):
+        calls["append"] = (table, mode, sorted(tuple(r) for r in df.collect()))
+
+    def fake_execute(spark_, target, statement):
+        calls["merge"] = statement
+        return 2
+
+    monkeypatch.setattr(jdbc, "jdbc_append", fake_append)
+    monkeypatch.setattr(jdbc, "execute", fake_execute)
+    df = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (2, 1, "b")], "id long, ord long, v string")
+    t = JdbcTarget(url="jdbc:x:y")
+    n = jdbc.jdbc_write(df, t, "T", mode="upsert", keys=["id"], order=["ord"])
+    assert n == 2
+    assert calls["append"] == ("T_staging", "overwrite", [(1, 3, "c"), (2, 1, "b")])
+    assert calls["merge"].startswith('MERGE INTO T t USING T_staging s ON t."id" = s."id"')
+    with pytest.raises(ValueError):
+        jdbc.jdbc_write(df, t, "T", mode="upsert")          # keys required

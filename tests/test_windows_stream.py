@@ -154,3 +154,20 @@ def test_stream_completeness_with_empty_files(spark, scratch):
     stream = delivery.read_file_stream(spark, src, schema)
     delivery.start_delivery(stream, ckpt, fn).awaitTermination()
     assert [r.g for r in spark.read.parquet(out).collect()] == ["g1"]
+
+
+def test_failing_body_blocks_then_recovers_with_quarantine(spark, scratch):
+    from pyspark.errors import StreamingQueryException
+    root = scratch("t3")
+    src, out, bad, ckpt = f"{root}/in", f"{root}/out", f"{root}/bad", f"{root}/ckpt"
+    df = spark.createDataFrame([(1, '{"a":1}'), (2, "broken"), (3, '{"a":3}')], "id long, body string")
+    df.coalesce(1).write.parquet(src)
+    failing = delivery.delivery_batch(out, body_col="body", schema="a long")
+    q = delivery.start_delivery(delivery.read_file_stream(spark, src, df.schema), ckpt, failing)
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
+    assert not paths.list_names(spark, f"{ckpt}/commits")         # the batch is not acknowledged
+    fixed = delivery.delivery_batch(out, body_col="body", schema="a long", quarantine_path=bad)
+    delivery.start_delivery(delivery.read_file_stream(spark, src, df.schema), ckpt, fixed).awaitTermination()
+    assert sorted(r.a for r in spark.read.parquet(out).select("event.a").collect()) == [1, 3]
+    assert [r.body for r in spark.read.parquet(bad).collect()] == ["broken"]
