@@ -6,6 +6,12 @@ first written to a sibling staging path; only after that job committed is
 the old directory moved aside and the staged one moved in. A failure before
 the swap leaves the old table untouched.
 
+Every swap is described by a small manifest written after the staged job
+committed and before the first rename. If the driver dies in the middle of
+the renames, the next write to the table (or ``recover``) finishes the swap
+from the manifest: the staged data is complete, so rolling forward is
+always valid, and doing it twice changes nothing.
+
 Keyed sinks (upsert, cells) hash their key into a fixed number of bucket
 partitions and rewrite only the buckets a batch touches. The set of touched
 buckets is bounded by the bucket count, never by the data.
@@ -13,6 +19,7 @@ buckets is bounded by the bucket count, never by the data.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -29,6 +36,36 @@ def _sibling(path: str, tag: str) -> str:
     return f"{path.rstrip('/')}.{tag}-{uuid.uuid4().hex[:10]}"
 
 
+def _write_manifest(spark: SparkSession, target: str, manifest: dict) -> None:
+    """Write the manifest under a temporary name, then rename it in place
+    (a reader never sees a half-written manifest)."""
+    tmp = f"{target}.tmp-{uuid.uuid4().hex[:10]}"
+    paths.write_text(spark, tmp, json.dumps(manifest))
+    paths.rename(spark, tmp, target)
+
+
+def _read_manifest(spark: SparkSession, target: str) -> dict | None:
+    return json.loads(paths.read_text(spark, target)) if paths.exists(spark, target) else None
+
+
+def _overwrite_manifest(path: str) -> str:
+    return f"{path.rstrip('/')}._swap.json"
+
+
+def recover_overwrite(spark: SparkSession, path: str) -> None:
+    """Finish a staged overwrite of ``path`` that a crash interrupted."""
+    marker = _overwrite_manifest(path)
+    m = _read_manifest(spark, marker)
+    if m is None:
+        return
+    if paths.exists(spark, m["staging"]):
+        if paths.exists(spark, path):
+            paths.rename(spark, path, m["old"])
+        paths.rename(spark, m["staging"], path)
+    paths.delete(spark, m["old"])
+    paths.delete(spark, marker)
+
+
 def staged_overwrite(df: DataFrame, path: str, fmt: str = "parquet",
                      partition_by: list[str] | None = None) -> str:
     """Replace the table at ``path`` with ``df``, even if ``df`` reads it."""
@@ -38,11 +75,9 @@ def staged_overwrite(df: DataFrame, path: str, fmt: str = "parquet",
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(staging)
-    old = _sibling(path, "replaced")
-    if paths.exists(spark, path):
-        paths.rename(spark, path, old)
-    paths.rename(spark, staging, path)
-    paths.delete(spark, old)
+    _write_manifest(spark, _overwrite_manifest(path),
+                    {"staging": staging, "old": _sibling(path, "replaced")})
+    recover_overwrite(spark, path)
     return path
 
 
@@ -69,17 +104,38 @@ def replace_buckets(spark: SparkSession, merged: DataFrame, path: str,
     merged.write.mode("errorifexists").format(fmt).partitionBy(BUCKET_COL).save(staging)
     if before_swap is not None:
         before_swap(staging)
-    trash = _sibling(path, "replaced")
     present = set(paths.list_names(spark, path))
     written = set(paths.list_names(spark, staging))
-    for b in buckets:
-        name = f"{BUCKET_COL}={b}"
-        if name in present:
-            paths.rename(spark, f"{path}/{name}", f"{trash}/{name}")
-        if name in written:
+    names = [f"{BUCKET_COL}={b}" for b in buckets]
+    _write_manifest(spark, f"{path}/{SWAP_FILE}", {
+        "staging": staging, "trash": _sibling(path, "replaced"),
+        "install": [n for n in names if n in written],
+        "remove": [n for n in names if n in present and n not in written]})
+    recover(spark, path)
+
+
+SWAP_FILE = "_swap.json"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a bucket swap at ``path`` that a crash interrupted (no-op when
+    none is pending). Each step checks what is already done."""
+    marker = f"{path}/{SWAP_FILE}"
+    m = _read_manifest(spark, marker)
+    if m is None:
+        return
+    staging, trash = m["staging"], m["trash"]
+    for name in m["install"]:
+        if paths.exists(spark, f"{staging}/{name}"):
+            if paths.exists(spark, f"{path}/{name}"):
+                paths.rename(spark, f"{path}/{name}", f"{trash}/{name}")
             paths.rename(spark, f"{staging}/{name}", f"{path}/{name}")
+    for name in m["remove"]:
+        if paths.exists(spark, f"{path}/{name}"):
+            paths.rename(spark, f"{path}/{name}", f"{trash}/{name}")
     paths.delete(spark, trash)
     paths.delete(spark, staging)
+    paths.delete(spark, marker)
 
 
 BUCKETS_FILE = "_buckets"
@@ -117,6 +173,7 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
     """
     if batch.select(BUCKET_COL).schema[0].dataType.typeName() != "integer":
         raise TypeError(f"{BUCKET_COL} must be an int column")
+    recover(spark, path)                 # a swap cut short by a crash comes first
     n = _bucket_count(spark, path)
     if n == 1:
         # A one-bucket table is rewritten whole: no job to find touched
