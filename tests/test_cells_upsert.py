@@ -79,3 +79,14 @@ def test_update_mode_changes_existing_keys_only(spark, scratch):
     upsert.upsert_table(spark, path, upd, ["k"], ["o"], mode="update")
     got = {r.k: r.v for r in spark.read.parquet(path).collect()}
     assert got == {1: "a", 2: "B"}
+
+
+def test_empty_event_gives_no_cells_missing_key_fails(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+    empty = _events(spark, [(datetime(2024, 1, 1), 1, "{}")])
+    assert cells.event_cells(empty, "m", "k", "cf", ORDER).count() == 0
+    keyless = _events(spark, [(datetime(2024, 1, 1), 1, '{"x":"a"}')])
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        cells.event_cells(keyless, "m", "k", "cf", ORDER).collect()

@@ -34,13 +34,17 @@ def event_cells(events: DataFrame, event_col: str, key_field: str, family: str,
     ev = F.col(event_col)
     # explode_outer, then drop the empty rows: plain explode makes Catalyst
     # infer a size(map) > 0 filter and inline the decoding into it, which
-    # decodes every event a second and third time.
-    cells = events.select(
-        reverse_key(ev.getItem(key_field), on_null_key).alias("rowkey"),
-        F.lit(family).alias("family"),
+    # decodes every event a second and third time. The row key is computed
+    # after the filter, so an empty event gives no cell (and no key check).
+    exploded = events.select(
+        ev.getItem(key_field).alias("_key"),
         F.explode_outer(ev).alias("qualifier", "value"),
         *[F.col(c) for c in order],
     ).filter(F.col("qualifier").isNotNull())
+    cells = exploded.select(
+        reverse_key("_key", on_null_key).alias("rowkey"),
+        F.lit(family).alias("family"),
+        "qualifier", "value", *order)
     if null_values == "skip":
         cells = cells.filter(F.col("value").isNotNull())
     elif null_values == "text":
