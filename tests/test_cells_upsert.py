@@ -74,7 +74,9 @@ def test_update_mode_changes_existing_keys_only(spark, scratch):
     path = scratch("update")
     base = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k long, o long, v string")
     upd = spark.createDataFrame([(2, 2, "B"), (3, 2, "C")], "k long, o long, v string")
-    upsert.upsert_table(spark, path, upd, ["k"], ["o"], buckets=2, mode="update")   # no table yet
+    upsert.upsert_table(spark, path, upd, ["k"], ["o"], mode="update")   # no table yet: no-op
+    from tidewater import paths
+    assert not paths.exists(spark, path)
     upsert.upsert_table(spark, path, base, ["k"], ["o"], buckets=2)
     upsert.upsert_table(spark, path, upd, ["k"], ["o"], mode="update")
     got = {r.k: r.v for r in spark.read.parquet(path).collect()}

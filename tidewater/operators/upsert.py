@@ -37,17 +37,16 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str],
     return latest_per_key(base.unionByName(updates), keys, order)
 
 
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    from .. import paths
+    return paths.exists(spark, path) and any(
+        n.startswith(files.BUCKET_COL + "=") for n in paths.list_names(spark, path))
+
+
 def update_existing(spark: SparkSession, path: str, updates: DataFrame,
                     keys: Sequence[str]) -> DataFrame:
-    """The rows of ``updates`` whose key is already stored at ``path``.
-
-    A left-semi join against the stored key columns only (column-pruned);
-    a missing table means no key exists yet.
-    """
-    from .. import paths
-    if not paths.exists(spark, path) or not [n for n in paths.list_names(spark, path)
-                                              if n.startswith(files.BUCKET_COL + "=")]:
-        return updates.limit(0)
+    """The rows of ``updates`` whose key is already stored at ``path``:
+    a left-semi join against the stored key columns only (column-pruned)."""
     stored_keys = spark.read.parquet(path).select(*keys).distinct()
     return updates.join(stored_keys, list(keys), "left_semi")
 
@@ -63,6 +62,9 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Seque
     """
     keys, order = list(keys), list(order)
     if mode == "update":
+        files.recover(spark, path)
+        if not _has_rows(spark, path):
+            return                       # nothing stored: nothing to update
         updates = update_existing(spark, path, updates, keys)
     elif mode != "upsert":
         raise ValueError("file tables support update or upsert; use an append for insert")
