@@ -171,3 +171,25 @@ def test_failing_body_blocks_then_recovers_with_quarantine(spark, scratch):
     delivery.start_delivery(delivery.read_file_stream(spark, src, df.schema), ckpt, fixed).awaitTermination()
     assert sorted(r.a for r in spark.read.parquet(out).select("event.a").collect()) == [1, 3]
     assert [r.body for r in spark.read.parquet(bad).collect()] == ["broken"]
+
+
+def test_poll_loop_retries_failed_poll_and_sleeps_after_success(spark, scratch):
+    ev = _events(spark)
+    root = scratch("poll")
+    control = ingest.ControlTable(spark, f"{root}/control")
+    out = f"{root}/out"
+    clock = iter([datetime(2024, 1, 2), datetime(2024, 1, 3), datetime(2024, 1, 4)])
+    slept, errors, calls = [], [], {"n": 0}
+
+    def deliver(df, pending):
+        calls["n"] += 1
+        if calls["n"] == 2:
+            raise RuntimeError("sink down")          # second poll fails
+        ingest.write_windows(df.select("id", ingest.WINDOW_COL), out)
+
+    n = ingest.poll_windows(spark, "ev", ev, "ts", control, deliver, datetime(2024, 1, 1),
+                            timedelta(days=1), 500, max_polls=3, now=lambda: next(clock),
+                            sleep=slept.append, on_error=errors.append)
+    assert n == 3 and len(errors) == 1 and slept == [0.5, 0.5]
+    assert control.last("ev").hi == datetime(2024, 1, 4)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(12))

@@ -190,3 +190,33 @@ def write_windows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Keyed delivery of many windows: replace exactly their partitions."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(WINDOW_COL).format(fmt).save(path))
+
+
+def poll_windows(spark: SparkSession, source: str, table: DataFrame, time_col: str,
+                 control: ControlTable, deliver: Callable[[DataFrame, list[Window]], None],
+                 start: datetime, step: timedelta, interval_ms: int,
+                 lag: timedelta = timedelta(0), max_polls: int | None = None,
+                 now: Callable[[], datetime] = datetime.now,
+                 sleep: Callable[[float], None] | None = None,
+                 on_error: Callable[[Exception], None] | None = None) -> int:
+    """The polling loop (S4 around T1): deliver what is pending, then wait.
+
+    A successful poll is followed by ``interval_ms`` of sleep; a failed one
+    is retried at once (the mark did not move, so the next poll covers the
+    failed windows again). Each poll is one batch job; nothing loops over
+    rows on the driver. ``now`` gives wall-clock time in the session zone.
+    Returns the number of polls run (``max_polls`` bounds it, for tests).
+    """
+    import time
+    sleep = sleep or time.sleep
+    polls = 0
+    while max_polls is None or polls < max_polls:
+        polls += 1
+        try:
+            run_windows(spark, source, table, time_col, control, deliver, start, now(), step, lag)
+        except Exception as e:  # noqa: BLE001 - a failed poll is retried
+            if on_error is not None:
+                on_error(e)
+            continue
+        sleep(interval_ms / 1000.0)
+    return polls
