@@ -71,3 +71,12 @@ def test_string_map(spark):
     df = spark.createDataFrame([(1, "aa", 18)], "id long, name string, age int")
     m = df.select(rows.to_string_map("id", "name", "age")).first()[0]
     assert m == {"id": "1", "name": "aa", "age": "18"}
+
+
+def test_text_params_reverse_the_key(spark):
+    df = spark.createDataFrame([('{"id":123,"v":"x"}',), ('{"v":"y"}',)], "body string")
+    names = rows.split_param_names("v,id")
+    got = [tuple(r) for r in df.select(*rows.bind_params(rows.parse_event("body"), names, as_text=True,
+                                                         reverse_field="id",
+                                                         on_null_key=rows.NULL_KEY_LITERAL)).collect()]
+    assert got == [("x", "321"), ("y", "llun")]

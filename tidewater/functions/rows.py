@@ -100,18 +100,23 @@ def split_param_names(param_names: str) -> list[str]:
 
 
 def bind_params(event: ColumnOrName, names: Iterable[str], as_text: bool = False,
-                prefix: str = "p") -> list[Column]:
+                prefix: str = "p", reverse_field: str | None = None,
+                on_null_key: str = "fail") -> list[Column]:
     """One output column per parameter name, in bind order.
 
     ``event`` is a decoded event: a map (lookup by key) or a struct (field
     access). Absent fields give null; with ``as_text`` every value is
-    rendered as text and null becomes the text ``null``.
+    rendered as text and null becomes the text ``null``. In the text form a
+    parameter named ``reverse_field`` (the row key) is bound reversed, with
+    ``reverse_key``'s null policy.
     """
     ev = _col(event)
     out = []
     for i, name in enumerate(names, start=1):
         v = ev.getItem(name)
-        if as_text:
+        if as_text and name == reverse_field:
+            v = reverse_key(v, on_null_key)
+        elif as_text:
             v = F.coalesce(v.cast("string"), F.lit("null"))
         out.append(v.alias(f"{prefix}{i}"))
     return out

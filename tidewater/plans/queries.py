@@ -127,6 +127,7 @@ def bind_params(spark, sf_dir):
     ev = load(spark, sf_dir, "events")
     body = ev.select("event_id", rows.to_json_event(["event_id", "value"]).alias("body"))
     names = rows.split_param_names("value,missing")
+    text_names = rows.split_param_names("event_id,value,missing")   # the key is bound reversed
     # decode once per form, then bind (binding on the parse expression
     # itself would parse the body again for every parameter)
     decoded = body.select("event_id",
@@ -135,7 +136,8 @@ def bind_params(spark, sf_dir):
                           rows.parse_event("body").alias("as_map"))
     return decoded.select("event_id",
                           *rows.bind_params("typed", names, prefix="p"),
-                          *rows.bind_params("as_map", names, as_text=True, prefix="t"))
+                          *rows.bind_params("as_map", text_names, as_text=True, prefix="t",
+                                            reverse_field="event_id"))
 
 
 # --- P10 ---------------------------------------------------------------------
@@ -398,7 +400,8 @@ ORACLE_SQL: dict[str, str] = {
         "WHERE body IS NOT NULL AND length(body) > 0"),
     "bind_params": (
         "SELECT event_id, value AS p1, CAST(NULL AS VARCHAR) AS p2, "
-        "CAST(value AS VARCHAR) AS t1, 'null' AS t2 FROM events"),
+        "reverse(CAST(event_id AS VARCHAR)) AS t1, CAST(value AS VARCHAR) AS t2, 'null' AS t3 "
+        "FROM events"),
     "reverse_key": "SELECT event_id, reverse(CAST(event_id AS VARCHAR)) AS rowkey FROM events",
     "cell_upsert": (
         "WITH ev AS (SELECT reverse(CAST(user_id AS VARCHAR)) AS rowkey, ts, event_id, user_id, "
