@@ -121,3 +121,13 @@ def test_jdbc_window_read_composition(spark, monkeypatch):
     got = src.read_jdbc_window(spark, JdbcTarget(url="jdbc:x:y"), "events", "ts", lo, hi, num_partitions=4)
     assert seen["partition_column"] == "ts" and seen["num_partitions"] == 4 and seen["table"] == "events"
     assert sorted(r.id for r in got.collect()) == [1, 3]
+
+
+def test_jdbc_apply_stages_then_runs_one_statement(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(jdbc, "jdbc_append", lambda df, t, table, *a, **k: calls.append(("append", table, df.count(), k.get("mode"))))
+    monkeypatch.setattr(jdbc, "execute", lambda s, t, stmt: calls.append(("execute", stmt)) or 7)
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    n = jdbc.jdbc_apply(df, JdbcTarget(url="jdbc:x:y"), "S", "UPDATE T SET v = (SELECT v FROM S WHERE S.id = T.id)")
+    assert n == 7
+    assert calls == [("append", "S", 2, "overwrite"), ("execute", "UPDATE T SET v = (SELECT v FROM S WHERE S.id = T.id)")]

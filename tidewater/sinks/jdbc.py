@@ -122,3 +122,14 @@ def jdbc_write(df: DataFrame, target: JdbcTarget, table: str, mode: str = "inser
     jdbc_append(batch, target, stage, batchsize, num_partitions, column_types, mode="overwrite")
     stmt = merge_statement(table, stage, df.columns, keys, order, mode, quote_char)
     return execute(df.sparkSession, target, stmt)
+
+
+def jdbc_apply(df: DataFrame, target: JdbcTarget, staging: str, statement: str,
+               batchsize: int = 1000, num_partitions: int | None = None,
+               column_types: str | None = None) -> int:
+    """Any set-based write the caller writes in SQL (an ``UPDATE ... FROM``,
+    a dialect's own upsert): ``df`` is appended in parallel to ``staging``
+    (emptied first), then ``statement``, which reads ``staging``, runs once
+    in the database. Returns its update count."""
+    jdbc_append(df, target, staging, batchsize, num_partitions, column_types, mode="overwrite")
+    return execute(df.sparkSession, target, statement)
