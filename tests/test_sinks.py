@@ -131,3 +131,13 @@ def test_jdbc_apply_stages_then_runs_one_statement(spark, monkeypatch):
     n = jdbc.jdbc_apply(df, JdbcTarget(url="jdbc:x:y"), "S", "UPDATE T SET v = (SELECT v FROM S WHERE S.id = T.id)")
     assert n == 7
     assert calls == [("append", "S", 2, "overwrite"), ("execute", "UPDATE T SET v = (SELECT v FROM S WHERE S.id = T.id)")]
+
+
+def test_jdbc_batch_function(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(jdbc, "jdbc_write", lambda df, *a, **k: seen.append((df.count(), a[1], a[2])))
+    fn = jdbc.jdbc_batch(JdbcTarget(url="jdbc:x:y"), "T", "upsert", keys=["id"], order=["o"])
+    fn(spark.createDataFrame([(1, 1)], "id long, o long"), 0)
+    assert seen == [(1, "T", "upsert")]
+    with pytest.raises(ValueError):
+        jdbc.jdbc_batch(JdbcTarget(url="jdbc:x:y"), "T", "merge")
