@@ -92,3 +92,17 @@ def test_empty_event_gives_no_cells_missing_key_fails(spark):
     keyless = _events(spark, [(datetime(2024, 1, 1), 1, '{"x":"a"}')])
     with pytest.raises((PySparkException, Py4JJavaError)):
         cells.event_cells(keyless, "m", "k", "cf", ORDER).collect()
+
+
+def test_rebucket_keeps_rows_and_later_merges(spark, scratch):
+    from tidewater.sinks import files
+    path = scratch("rebucket")
+    base = spark.createDataFrame([(k, 1, f"v{k}") for k in range(30)], "k long, o long, v string")
+    upsert.upsert_table(spark, path, base, ["k"], ["o"], buckets=2)
+    files.rebucket(spark, path, ["k"], 8)
+    assert spark.read.parquet(path).select("bucket").distinct().count() == 8
+    upd = spark.createDataFrame([(k, 2, f"w{k}") for k in range(0, 30, 3)], "k long, o long, v string")
+    upsert.upsert_table(spark, path, upd, ["k"], ["o"])
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert got == {k: (f"w{k}" if k % 3 == 0 else f"v{k}") for k in range(30)}
+    assert spark.read.parquet(path).count() == 30

@@ -85,4 +85,5 @@ def put_cells(spark: SparkSession, path: str, cells: DataFrame, order: Sequence[
     n = files.table_buckets(spark, path, cells, buckets)
     batch = merge_cells(cells.withColumn(files.BUCKET_COL, files.bucket_of(["rowkey"], n)),
                         order)
-    files.merge_into_buckets(spark, path, batch, lambda both: merge_cells(both, order))
+    files.merge_into_buckets(spark, path, batch, lambda both: merge_cells(both, order),
+                             ["rowkey", "family", "qualifier"])

@@ -72,4 +72,4 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Seque
     n = files.table_buckets(spark, path, updates, buckets)
     batch = latest_per_key(updates.withColumn(files.BUCKET_COL, files.bucket_of(keys, n)),
                            bkeys, order)
-    files.merge_into_buckets(spark, path, batch, lambda both: latest_per_key(both, bkeys, order))
+    files.merge_into_buckets(spark, path, batch, lambda both: latest_per_key(both, bkeys, order), keys)

@@ -20,6 +20,7 @@ buckets is bounded by the bucket count, never by the data.
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Callable
 
@@ -67,14 +68,18 @@ def recover_overwrite(spark: SparkSession, path: str) -> None:
 
 
 def staged_overwrite(df: DataFrame, path: str, fmt: str = "parquet",
-                     partition_by: list[str] | None = None) -> str:
-    """Replace the table at ``path`` with ``df``, even if ``df`` reads it."""
+                     partition_by: list[str] | None = None,
+                     before_swap: Callable[[str], None] | None = None) -> str:
+    """Replace the table at ``path`` with ``df``, even if ``df`` reads it.
+    ``before_swap`` may add files to the complete staged folder."""
     spark = df.sparkSession
     staging = _sibling(path, "staging")
     writer = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(staging)
+    if before_swap is not None:
+        before_swap(staging)
     _write_manifest(spark, _overwrite_manifest(path),
                     {"staging": staging, "old": _sibling(path, "replaced")})
     recover_overwrite(spark, path)
@@ -159,17 +164,23 @@ def table_buckets(spark: SparkSession, path: str, sample: DataFrame | None = Non
     return int(buckets)
 
 
+MERGE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
 def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
-                       reduce: Callable[[DataFrame], DataFrame], fmt: str = "parquet",
+                       reduce: Callable[[DataFrame], DataFrame], keys: list[str],
+                       fmt: str = "parquet",
                        before_swap: Callable[[str], None] | None = None) -> list[int]:
     """Merge a keyed batch into the bucketed table at ``path``.
 
     ``batch`` must carry ``BUCKET_COL`` and be reduced to one row per key
     already (a partial-aggregated groupBy, so hot keys never cross the
     shuffle row by row). Stored rows of the touched buckets and the batch
-    are shuffled once on the bucket, then ``reduce`` (a groupBy whose keys
-    include the bucket, so it adds no exchange) merges them and each bucket
-    is written by exactly one task.
+    are range-partitioned once on ``(bucket, keys)`` into about 256 MB per
+    task, then ``reduce`` (a groupBy on keys and bucket, satisfied by that
+    partitioning, so no further exchange) merges them. A task covers a
+    contiguous key range of one or two buckets: no task grows with a
+    bucket, and each bucket gets few files.
     """
     if batch.select(BUCKET_COL).schema[0].dataType.typeName() != "integer":
         raise TypeError(f"{BUCKET_COL} must be an int column")
@@ -178,7 +189,7 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
     if n == 1:
         # A one-bucket table is rewritten whole: no job to find touched
         # buckets. An empty batch rewrites the stored rows unchanged.
-        _merge_and_swap(spark, path, batch, [0], reduce, fmt, before_swap)
+        _merge_and_swap(spark, path, batch, [0], reduce, keys, n, fmt, before_swap)
         return [0]
     # The reduced batch (one row per key) is used twice: for the touched
     # buckets and for the merge. Keep it on the executors instead of running
@@ -187,18 +198,36 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
     try:
         hit = touched_buckets(batch)
         if hit:
-            _merge_and_swap(spark, path, batch, hit, reduce, fmt, before_swap)
+            _merge_and_swap(spark, path, batch, hit, reduce, keys, n, fmt, before_swap)
         return hit
     finally:
         batch.unpersist()
 
 
-def _merge_and_swap(spark, path, batch, hit, reduce, fmt, before_swap) -> None:
+def _merge_and_swap(spark, path, batch, hit, reduce, keys, n, fmt, before_swap) -> None:
+    from ..plans.sizing import estimated_bytes
     stored = read_buckets(spark, path, batch.schema, hit, fmt)
-    both = stored.unionByName(batch).repartition(len(hit), BUCKET_COL)
+    # touched share of the stored bytes (one metadata call) plus the batch
+    stored_bytes = paths.size(spark, path) * len(hit) // max(1, n or 1)
+    parts = max(1, math.ceil((stored_bytes + estimated_bytes(batch)) / MERGE_PARTITION_BYTES))
+    both = stored.unionByName(batch).repartitionByRange(
+        parts, F.col(BUCKET_COL), *[F.col(k) for k in keys])
     replace_buckets(spark, reduce(both).select(*batch.columns), path, hit, fmt, before_swap)
 
 
+def rebucket(spark: SparkSession, path: str, keys: list[str], buckets: int,
+             fmt: str = "parquet") -> None:
+    """Rewrite a keyed table with a new bucket count (for a table that grew
+    far past the size it was created for). Staged, then swapped in."""
+    recover(spark, path)
+    old = spark.read.format(fmt).load(path)
+    data = old.drop(BUCKET_COL).withColumn(BUCKET_COL, bucket_of(keys, buckets))
+    parts = max(1, math.ceil(paths.size(spark, path) / MERGE_PARTITION_BYTES))
+    marker = lambda staging: paths.write_text(spark, f"{staging}/{BUCKETS_FILE}", str(int(buckets)))
+    staged_overwrite(data.repartitionByRange(parts, F.col(BUCKET_COL), *[F.col(k) for k in keys])
+                     .select(*old.columns), path, fmt, partition_by=[BUCKET_COL], before_swap=marker)
+
+
 def _bucket_count(spark: SparkSession, path: str) -> int | None:
     marker = f"{path}/{BUCKETS_FILE}"
     return int(paths.read_text(spark, marker).strip()) if paths.exists(spark, marker) else None

@@ -59,6 +59,6 @@ def completeness_batch(state_path: str, out_path: str, group: str, member: str,
                      .select(group))
             write_batch(newly, out_path, batch_id)
 
-        files.merge_into_buckets(spark, state_path, masks, reduce, before_swap=emit)
+        files.merge_into_buckets(spark, state_path, masks, reduce, [group], before_swap=emit)
 
     return run
