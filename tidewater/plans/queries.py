@@ -314,6 +314,39 @@ def stream_upsert(spark, sf_dir):
     return spark.read.parquet(out).select("user_id", "event_id", "event_type", "value")
 
 
+# --- S3 S5 T1 P5 -> S6 T2 P6 P10 P11 K5: the whole ingest-to-cells pipeline --
+
+EVENT_SCHEMA = "body string, ts timestamp_ntz, event_id bigint"
+
+
+def ingest_to_cells(spark, sf_dir):
+    """Source table -> windowed ingest of JSON events (the order columns ride
+    next to the body) -> file stream -> decode -> cells -> cell put."""
+    ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    root = session.scratch_path(spark, "pipeline")
+    inbox, table, ckpt = f"{root}/inbox", f"{root}/cells", f"{root}/checkpoint"
+    control = ingest.ControlTable(spark, f"{root}/control")
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    start = lo.replace(hour=0, minute=0, second=0, microsecond=0)
+
+    def to_inbox(df, pending):
+        body = rows.to_json_event(["user_id", "event_type", "value"]).alias("body")
+        ingest.write_windows(df.select(body, "ts", "event_id", ingest.WINDOW_COL), inbox)
+
+    ingest.run_windows(spark, "events", ev, "ts", control, to_inbox, start,
+                       hi + timedelta(seconds=1), DAY * 7)
+    order = ["ts", "event_id"]
+
+    def put(batch, batch_id):
+        decoded = delivery.decode_bodies(batch, "body").good
+        cells.put_cells(batch.sparkSession, table,
+                        cells.event_cells(decoded, "event", "user_id", CELL_FAMILY, order), order)
+
+    stream = delivery.read_file_stream(spark, inbox, EVENT_SCHEMA, max_files_per_trigger=None)
+    delivery.start_delivery(stream, ckpt, put).awaitTermination()
+    return spark.read.parquet(table).select("rowkey", "family", "qualifier", "value", "event_id")
+
+
 # --- T3 ----------------------------------------------------------------------
 
 def _mixed_bodies(spark, sf_dir):
@@ -376,6 +409,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_replay": window_replay,
     "file_stream": file_stream,
     "stream_upsert": stream_upsert,
+    "ingest_to_cells": ingest_to_cells,
     "quarantine": quarantine,
     "quarantined": quarantined,
     "stream_complete": stream_complete,
@@ -453,3 +487,6 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT l_orderkey FROM lineitem WHERE l_returnflag IN ('A', 'R') "
         "GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag) = 2"),
 }
+
+# The pipeline delivers the same cells as the dense cell put.
+ORACLE_SQL["ingest_to_cells"] = ORACLE_SQL["cell_dense"]
