@@ -193,3 +193,22 @@ def test_poll_loop_retries_failed_poll_and_sleeps_after_success(spark, scratch):
     assert n == 3 and len(errors) == 1 and slept == [0.5, 0.5]
     assert control.last("ev").hi == datetime(2024, 1, 4)
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(12))
+
+
+def test_run_windows_with_a_bounded_source_factory(spark, scratch):
+    ev = _events(spark)
+    root = scratch("factory")
+    control = ingest.ControlTable(spark, f"{root}/control")
+    out, asked = f"{root}/out", []
+
+    def factory(lo, hi):                      # e.g. a JDBC read partitioned on [lo, hi)
+        asked.append((lo, hi))
+        return read_window(ev, "ts", lo, hi)
+
+    deliver = lambda df, pending: ingest.write_windows(df.select("id", ingest.WINDOW_COL), out)
+    ingest.run_windows(spark, "ev", factory, "ts", control, deliver, datetime(2024, 1, 1),
+                       datetime(2024, 1, 3), timedelta(days=1))
+    ingest.run_windows(spark, "ev", factory, "ts", control, deliver, datetime(2024, 1, 1),
+                       datetime(2024, 1, 4), timedelta(days=1))
+    assert asked == [(datetime(2024, 1, 1), datetime(2024, 1, 3)), (datetime(2024, 1, 3), datetime(2024, 1, 4))]
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(12))

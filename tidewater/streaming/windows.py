@@ -147,12 +147,23 @@ def assign_windows(table: DataFrame, time_col: str, pending: list[Window],
         .withColumn("window_lo", lo.cast(table.schema[time_col].dataType))
 
 
-def run_windows(spark: SparkSession, source: str, table: DataFrame, time_col: str,
+TableOrFactory = DataFrame | Callable[[datetime, datetime], DataFrame]
+
+
+def _source(table: TableOrFactory, lo: datetime, hi: datetime) -> DataFrame:
+    return table(lo, hi) if callable(table) else table
+
+
+def run_windows(spark: SparkSession, source: str, table: TableOrFactory, time_col: str,
                 control: ControlTable, deliver: Callable[[DataFrame, list[Window]], None],
                 start: datetime, now: datetime, step: timedelta,
                 lag: timedelta = timedelta(0), stop_after_write: bool = False) -> list[Window]:
     """Deliver every pending window of ``table`` in one batch job.
 
+    ``table`` is a DataFrame, or a factory ``(lo, hi) -> DataFrame`` called
+    with the bounds of this poll (e.g. a JDBC read partitioned on the time
+    column between exactly those bounds).
+
     ``deliver(rows, windows)`` receives the rows of all pending windows
     tagged with ``window_id`` / ``window_lo`` and must write them keyed by
     ``window_id`` (see ``write_windows``). The marks of all those windows
@@ -162,14 +173,15 @@ def run_windows(spark: SparkSession, source: str, table: DataFrame, time_col: st
     pending = next_windows(control.last(source), start, now, step, lag)
     if not pending:
         return []
-    deliver(assign_windows(table, time_col, pending, step), pending)
+    src = _source(table, pending[0].lo, pending[-1].hi)
+    deliver(assign_windows(src, time_col, pending, step), pending)
     if stop_after_write:
         raise StopAfterWrite(f"stopped after writing windows {pending[0].window_id}..")
     control.commit_all(source, pending)
     return pending
 
 
-def run_windows_one_by_one(spark: SparkSession, source: str, table: DataFrame, time_col: str,
+def run_windows_one_by_one(spark: SparkSession, source: str, table: TableOrFactory, time_col: str,
                            control: ControlTable, deliver: Callable[[DataFrame, Window], None],
                            start: datetime, now: datetime, step: timedelta,
                            lag: timedelta = timedelta(0),
@@ -178,7 +190,7 @@ def run_windows_one_by_one(spark: SparkSession, source: str, table: DataFrame, t
     sinks that take a window at a time."""
     done = []
     for w in next_windows(control.last(source), start, now, step, lag):
-        deliver(read_window(table, time_col, w.lo, w.hi), w)
+        deliver(read_window(_source(table, w.lo, w.hi), time_col, w.lo, w.hi), w)
         if stop_after_write is not None and w.window_id == stop_after_write:
             raise StopAfterWrite(f"stopped after writing window {w.window_id}")
         control.commit(source, w)
@@ -192,7 +204,7 @@ def write_windows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
        .partitionBy(WINDOW_COL).format(fmt).save(path))
 
 
-def poll_windows(spark: SparkSession, source: str, table: DataFrame, time_col: str,
+def poll_windows(spark: SparkSession, source: str, table: TableOrFactory, time_col: str,
                  control: ControlTable, deliver: Callable[[DataFrame, list[Window]], None],
                  start: datetime, step: timedelta, interval_ms: int,
                  lag: timedelta = timedelta(0), max_polls: int | None = None,
