@@ -42,13 +42,23 @@ TEMPLATE_KEY = "2"                              # the template compares a number
 
 # --- P1 P2 D2 D3 -------------------------------------------------------------
 
-BAND_SQL = (f"SELECT p_partkey, p_name, p_brand, p_size FROM part "
+BAND_SQL = ("SELECT p_partkey, p_name, p_brand, p_size FROM {view} "
             f"WHERE p_size >= {BAND_LO} AND p_size <= {BAND_HI}")
 
 
+def _view_name(base: str) -> str:
+    """A view name of this call only (concurrent callers never collide)."""
+    import uuid
+    return f"{base}_{uuid.uuid4().hex[:12]}"
+
+
 def band_filter(spark, sf_dir):
-    select.register_views(spark, {"part": load(spark, sf_dir, "part")})
-    return select.run_sql(spark, BAND_SQL)
+    view = _view_name("part")
+    select.register_views(spark, {view: load(spark, sf_dir, "part")})
+    try:
+        return select.run_sql(spark, BAND_SQL.format(view=view))   # analysed here
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 # --- S1 D1 -------------------------------------------------------------------
@@ -69,7 +79,9 @@ def people_flow(spark, sf_dir):
     lines = session.scratch_path(spark, "people")
     part.select(F.concat_ws(" ", "p_partkey", "p_brand", "p_size").alias("value")).write.text(lines)
     report = session.scratch_path(spark, "people_report")
-    range_report(spark, lines, BAND_LO, BAND_HI).write.parquet(report)
+    view = _view_name("person")
+    range_report(spark, lines, BAND_LO, BAND_HI, view=view).write.parquet(report)
+    spark.catalog.dropTempView(view)
     save_parsed(spark, lines)
     m = spark.read.parquet(report)
     return m.select(F.col("m")["id"].alias("id"), F.col("m")["name"].alias("name"),
@@ -419,7 +431,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _TS_SPLIT = "TIMESTAMP '2024-01-16 00:00:00'"
 
 ORACLE_SQL: dict[str, str] = {
-    "band_filter": BAND_SQL,
+    "band_filter": BAND_SQL.format(view="part"),
     "text_scan": "SELECT p_partkey AS id, p_brand AS name, p_size AS age FROM part",
     "people_flow": (
         "SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS name, CAST(p_size AS VARCHAR) AS age "
