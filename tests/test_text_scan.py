@@ -62,3 +62,9 @@ def test_range_report_and_save_over_input(spark, scratch):
     assert [r.m for r in range_report(spark, path, 13, 19).collect()] == [{"id": "1", "name": "aa", "age": "18"}]
     save_parsed(spark, path)
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "aa", 18), (2, "bb", 28), (3, "cc", 38)]
+
+
+@pytest.mark.parametrize("sep", ["|", "\t", ".", "::"])
+def test_separators_are_literal(spark, sep):
+    lines = spark.createDataFrame([(sep.join(["7", "zz", "21"]),)], "value string")
+    assert [tuple(r) for r in text.parse_lines(lines, sep=sep).good.collect()] == [(7, "zz", 21)]

@@ -24,6 +24,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     the result is deterministic; callers should make ties impossible.
     """
     keys, order = list(keys), list(order)
+    if set(keys) & set(order):
+        raise ValueError("a column cannot be both a key and an order column")
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_latest")
     return (df.groupBy(*keys).agg(packed)

@@ -61,9 +61,9 @@ def parse_lines(lines: DataFrame, schema: T.StructType = PEOPLE_SCHEMA, sep: str
     fails the task that meets it; with ``'quarantine'`` bad lines come back
     in ``ScanResult.bad`` with the original text.
     """
-    import re
-
-    parts = F.split(F.col(line_col), re.escape(sep), -1)
+    if not sep or "\\E" in sep:
+        raise ValueError("separator must be non-empty literal text")
+    parts = F.split(F.col(line_col), "\\Q" + sep + "\\E", -1)   # Java regex literal quoting
     values, ok = _field_checks(parts, schema)
     staged = lines.select(F.col(line_col).alias("_line"), ok.alias("_ok"), *values)
     names = [f.name for f in schema.fields]
