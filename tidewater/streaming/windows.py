@@ -1,18 +1,19 @@
 """Incremental window ingest with a durable high-water mark.
 
-A source is read in consecutive half-open time windows ``[lo, hi)``. Each
-window is delivered in one batch write keyed by its ``window_id``; only
-after that write committed is a row appended to the control table
-``(source, window_id, lo, hi)``. The mark is therefore durable and moves
-only past delivered windows:
+A source is read in consecutive half-open time windows ``[lo, hi)``. A poll
+delivers every pending window in one batch job whose write is keyed by
+``window_id``; only after that write committed are the windows' rows
+appended to the control table ``(source, window_id, lo, hi)``. The mark is
+therefore durable and moves only past delivered windows:
 
 * a crash before the write leaves nothing behind;
-* a crash between the write and the mark makes the next run repeat the
-  window, and the keyed write (dynamic partition overwrite of
-  ``window_id=N``) replaces the earlier copy, so every row lands once.
+* a crash between the write and the mark makes the next poll repeat those
+  windows, and the keyed write (dynamic partition overwrite of
+  ``window_id=N``) replaces the earlier copies, so every row lands once.
 
 The control table lives in the shared checkpoint folder (or any path the
-caller gives); it is a plain parquet table, one small file per window.
+caller gives). It is a plain parquet table with one small file per poll,
+folded into one file once there are many.
 """
 
 from __future__ import annotations
