@@ -212,3 +212,20 @@ def test_run_windows_with_a_bounded_source_factory(spark, scratch):
                        datetime(2024, 1, 4), timedelta(days=1))
     assert asked == [(datetime(2024, 1, 1), datetime(2024, 1, 3)), (datetime(2024, 1, 3), datetime(2024, 1, 4))]
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(12))
+
+
+def test_catch_up_bounded_per_poll(spark, scratch):
+    ev = _events(spark)
+    root = scratch("cap")
+    control = ingest.ControlTable(spark, f"{root}/control")
+    out = f"{root}/out"
+    deliver = lambda df, pending: ingest.write_windows(df.select("id", ingest.WINDOW_COL), out)
+    polls = []
+    while True:
+        done = ingest.run_windows(spark, "ev", ev, "ts", control, deliver, datetime(2024, 1, 1),
+                                  datetime(2024, 1, 4), timedelta(days=1), max_windows=2)
+        if not done:
+            break
+        polls.append([w.window_id for w in done])
+    assert polls == [[0, 1], [2]]
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(12))

@@ -101,15 +101,16 @@ class ControlTable:
 
 
 def next_windows(last: Window | None, start: datetime, now: datetime, step: timedelta,
-                 lag: timedelta = timedelta(0)) -> list[Window]:
+                 lag: timedelta = timedelta(0), max_windows: int | None = None) -> list[Window]:
     """Windows still to deliver, from the mark (or ``start``) up to
     ``now - lag`` (whole seconds). ``lag`` keeps the reader behind rows that
-    are committed late at the source."""
+    are committed late at the source; ``max_windows`` bounds one poll (a long
+    catch-up then proceeds over several polls)."""
     lo = last.hi if last else truncate_to_second(start)
     wid = (last.window_id + 1) if last else 0
     end = truncate_to_second(now - lag)
     out = []
-    while lo < end:
+    while lo < end and (max_windows is None or len(out) < max_windows):
         hi = min(lo + step, end)
         out.append(Window(wid, lo, hi))
         lo, wid = hi, wid + 1
@@ -158,8 +159,10 @@ def _source(table: TableOrFactory, lo: datetime, hi: datetime) -> DataFrame:
 def run_windows(spark: SparkSession, source: str, table: TableOrFactory, time_col: str,
                 control: ControlTable, deliver: Callable[[DataFrame, list[Window]], None],
                 start: datetime, now: datetime, step: timedelta,
-                lag: timedelta = timedelta(0), stop_after_write: bool = False) -> list[Window]:
-    """Deliver every pending window of ``table`` in one batch job.
+                lag: timedelta = timedelta(0), stop_after_write: bool = False,
+                max_windows: int | None = None) -> list[Window]:
+    """Deliver the pending windows of ``table`` (at most ``max_windows``) in
+    one batch job.
 
     ``table`` is a DataFrame, or a factory ``(lo, hi) -> DataFrame`` called
     with the bounds of this poll (e.g. a JDBC read partitioned on the time
@@ -171,7 +174,7 @@ def run_windows(spark: SparkSession, source: str, table: TableOrFactory, time_co
     are appended afterwards, in one write. ``stop_after_write`` (tests)
     raises between the two to exercise the replay path.
     """
-    pending = next_windows(control.last(source), start, now, step, lag)
+    pending = next_windows(control.last(source), start, now, step, lag, max_windows)
     if not pending:
         return []
     src = _source(table, pending[0].lo, pending[-1].hi)
@@ -211,7 +214,8 @@ def poll_windows(spark: SparkSession, source: str, table: TableOrFactory, time_c
                  lag: timedelta = timedelta(0), max_polls: int | None = None,
                  now: Callable[[], datetime] = datetime.now,
                  sleep: Callable[[float], None] | None = None,
-                 on_error: Callable[[Exception], None] | None = None) -> int:
+                 on_error: Callable[[Exception], None] | None = None,
+                 max_windows: int | None = None) -> int:
     """The polling loop (S4 around T1): deliver what is pending, then wait.
 
     A successful poll is followed by ``interval_ms`` of sleep; a failed one
@@ -226,7 +230,8 @@ def poll_windows(spark: SparkSession, source: str, table: TableOrFactory, time_c
     while max_polls is None or polls < max_polls:
         polls += 1
         try:
-            run_windows(spark, source, table, time_col, control, deliver, start, now(), step, lag)
+            run_windows(spark, source, table, time_col, control, deliver, start, now(), step, lag,
+                        max_windows=max_windows)
         except Exception as e:  # noqa: BLE001 - a failed poll is retried
             if on_error is not None:
                 on_error(e)
