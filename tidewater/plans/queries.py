@@ -335,7 +335,7 @@ def ingest_to_cells(spark, sf_dir):
     """Source table -> windowed ingest of JSON events (the order columns ride
     next to the body) -> file stream -> decode -> cells -> cell put."""
     ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    root = session.scratch_path(spark, "pipeline")
+    root = session.scratch_path(spark, "ingest_cells")
     inbox, table, ckpt = f"{root}/inbox", f"{root}/cells", f"{root}/checkpoint"
     control = ingest.ControlTable(spark, f"{root}/control")
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
