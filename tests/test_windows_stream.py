@@ -229,3 +229,13 @@ def test_catch_up_bounded_per_poll(spark, scratch):
         polls.append([w.window_id for w in done])
     assert polls == [[0, 1], [2]]
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(12))
+
+
+def test_stream_completeness_empty_required_emits_every_group_once(spark, scratch):
+    root = scratch("cs0")
+    src, out, state, ckpt = f"{root}/in", f"{root}/out", f"{root}/state", f"{root}/ckpt"
+    df = spark.createDataFrame([(0, "g1", "A"), (1, "g2", "B"), (2, "g1", "C")], "id long, g string, m string")
+    _stage(spark, df, src, 2)
+    fn = completeness.completeness_batch(state, out, "g", "m", [], buckets=1)
+    delivery.start_delivery(delivery.read_file_stream(spark, src, df.schema), ckpt, fn).awaitTermination()
+    assert sorted(r.g for r in spark.read.parquet(out).collect()) == ["g1", "g2"]
