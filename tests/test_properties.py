@@ -70,3 +70,13 @@ def test_text_scan_round_trip(spark, recs):
     lines = spark.createDataFrame([(f"{i} {n} {a}",) for i, n, a in recs], "value string")
     got = [tuple(r) for r in text.parse_lines(lines).good.collect()]
     assert got == recs
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.text(max_size=8)), st.integers(-10**6, 10**6)),
+                min_size=1, max_size=20))
+def test_json_event_round_trip_keeps_text(spark, data):
+    df = spark.createDataFrame(data, "s string, n long")
+    back = df.select(rows.parse_event(rows.to_json_event()).alias("m")).collect()
+    for (s, n), r in zip(data, back):
+        assert r.m["s"] == s and r.m["n"] == str(n)
