@@ -141,3 +141,17 @@ def test_jdbc_batch_function(spark, monkeypatch):
     assert seen == [(1, "T", "upsert")]
     with pytest.raises(ValueError):
         jdbc.jdbc_batch(JdbcTarget(url="jdbc:x:y"), "T", "merge")
+
+
+def test_bind_window_sql():
+    from datetime import datetime
+    from tidewater.sources.jdbc import bind_window_sql
+    lo, hi = datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 1)
+    sql = "select * from t where note <> 'why?' and ts >= ? and ts < ?"
+    assert bind_window_sql(sql, lo, hi) == (
+        "select * from t where note <> 'why?' and ts >= '2024-01-01 00:00:00' and ts < '2024-01-01 00:01:00'")
+    assert bind_window_sql("select 1", lo, hi) == "select 1"
+    with pytest.raises(ValueError):
+        bind_window_sql("select ? ? ?", lo, hi)
+    with pytest.raises(ValueError):
+        bind_window_sql("select 'x", lo, hi)

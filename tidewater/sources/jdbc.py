@@ -4,9 +4,13 @@ JDBC data source.
 Reads are parallel: either a numeric/time ``partition_column`` with bounds
 (Spark issues one range query per partition) or explicit ``predicates``
 (one query each). Window bounds and projections are pushed into the
-database's WHERE and SELECT lists by the data source; the statement is
-never assembled from user text here, so there is no need for keyword
-guards on SQL strings.
+database's WHERE and SELECT lists by the data source.
+
+A caller-written window query with two ``?`` parameters is also accepted
+(``read_jdbc_sql_window``): the bounds are bound as text literals made here
+and the query runs as one JDBC ``query`` (one partition; prefer the table
+form for parallel reads). Reads never execute writes, so no keyword guard
+on SQL text is needed.
 """
 
 from __future__ import annotations
@@ -102,3 +106,40 @@ def read_jdbc_window(spark: SparkSession, target: JdbcTarget, table: str, time_c
     else:
         df = read_jdbc(spark, target, table=table)
     return read_window(df, time_col, lo, hi)
+
+
+def bind_window_sql(sql: str, lo: datetime, hi: datetime) -> str:
+    """Bind the two positional ``?`` parameters of a window query to the
+    window bounds as SQL text literals ``'yyyy-MM-dd HH:mm:ss'`` (first ``?``
+    = lower bound, second = upper bound). ``?`` inside quoted text or quoted
+    identifiers is left alone. The bound values are produced here, never
+    taken from data. Whether each edge is open or closed is up to the SQL
+    text; ``ts >= ? AND ts < ?`` gives the half-open windows used elsewhere.
+    """
+    values = [lo.strftime(TIME_FORMAT), hi.strftime(TIME_FORMAT)]
+    out, quote, n = [], None, 0
+    for ch in sql:
+        if quote:
+            if ch == quote:
+                quote = None
+        elif ch in ("'", '"'):
+            quote = ch
+        elif ch == "?":
+            if n >= len(values):
+                raise ValueError("a window query takes at most two parameters")
+            out.append(f"'{values[n]}'")
+            n += 1
+            continue
+        out.append(ch)
+    if quote:
+        raise ValueError("unbalanced quote in window query")
+    return "".join(out)
+
+
+def read_jdbc_sql_window(spark: SparkSession, target: JdbcTarget, sql: str,
+                         lo: datetime, hi: datetime, fetchsize: int = 10000) -> DataFrame:
+    """S3 with a caller-written window query (``... WHERE ts >= ? AND ts < ?``):
+    the bound query runs in the database as Spark's JDBC ``query``."""
+    if not sql or not sql.strip():
+        raise ValueError("sql is required")
+    return read_jdbc(spark, target, query=bind_window_sql(sql, lo, hi), fetchsize=fetchsize)
