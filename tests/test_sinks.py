@@ -1,5 +1,7 @@
 import pytest
 
+from conftest import SF_SMOKE
+
 from tidewater.sinks import files, jdbc, tables
 from tidewater.sources.jdbc import JdbcTarget, scan_options
 
@@ -155,3 +157,19 @@ def test_bind_window_sql():
         bind_window_sql("select ? ? ?", lo, hi)
     with pytest.raises(ValueError):
         bind_window_sql("select 'x", lo, hi)
+
+
+def test_jdbc_queries_build_and_route_through_the_sinks(spark, monkeypatch):
+    """The JDBC queries of the plan, with the database calls captured."""
+    from tidewater.plans import jdbc_queries as jq
+    from tidewater.sinks import jdbc as sink
+    writes, merges = [], []
+    monkeypatch.setattr(jq, "jdbc_append", lambda df, t, table, **k: writes.append((table, df.count(), k.get("mode"))))
+    monkeypatch.setattr(sink, "jdbc_append", lambda df, t, table, *a, **k: writes.append((table, df.count(), k.get("mode"))))
+    monkeypatch.setattr(sink, "execute", lambda s, t, stmt: merges.append(stmt) or 0)
+    monkeypatch.setattr(jq, "read_jdbc", lambda spark_, t, table=None, **k: spark_.read.parquet(f"{SF_SMOKE}/events.parquet"))
+    qs = jq.jdbc_queries(JdbcTarget(url="jdbc:x:y"))
+    assert set(qs) == set(jq.JDBC_ORACLE_SQL) == {"jdbc_insert", "jdbc_window", "jdbc_upsert"}
+    qs["jdbc_upsert"](spark, SF_SMOKE)
+    assert [w[0] for w in writes] == ["tw_latest", "tw_latest_staging"]
+    assert merges and merges[0].startswith("MERGE INTO tw_latest t USING tw_latest_staging s")
