@@ -37,3 +37,10 @@ def test_completeness_hot_group(spark):
     df = spark.createDataFrame(rows, "g string, m string").repartition(8)
     got = groups.complete_groups(df, "g", "m", ["A", "B"]).collect()
     assert [r.g for r in got] == ["hot"]
+
+
+def test_completeness_composite_group(spark):
+    rows = [(1, "x", "A"), (1, "x", "B"), (1, "y", "A"), (2, "x", "B"), (2, "x", "A")]
+    df = spark.createDataFrame(rows, "k long, s string, m string")
+    got = sorted(tuple(r) for r in groups.complete_groups(df, ["k", "s"], "m", ["A", "B"]).collect())
+    assert got == [(1, "x"), (2, "x")]

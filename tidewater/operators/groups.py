@@ -57,33 +57,39 @@ def full_mask(n: int) -> int:
     return (1 << n) - 1
 
 
-def group_completeness(df: DataFrame, group: str, member: str,
+def _cols(group: str | Sequence[str]) -> list[str]:
+    return [group] if isinstance(group, str) else list(group)
+
+
+def group_completeness(df: DataFrame, group: str | Sequence[str], member: str,
                        required: Sequence[str]) -> DataFrame:
-    """One row per group: ``(group, complete)``.
+    """One row per group: ``(*group, complete)``; ``group`` is one column or
+    several (a composite key).
 
     ``complete`` is true when ``set(required) <= set(members)``. An empty
     required list makes every group complete. Duplicate required names
     count once.
     """
+    keys = _cols(group)
     req = list(dict.fromkeys(required))
     if not req:
-        return df.groupBy(group).agg(F.lit(True).alias("complete"))
+        return df.groupBy(*keys).agg(F.lit(True).alias("complete"))
     if len(req) <= MASK_BITS:
-        bits = df.select(F.col(group), _member_bit(F.col(member), req).alias("_bit"))
-        return (bits.groupBy(group)
+        bits = df.select(*keys, _member_bit(F.col(member), req).alias("_bit"))
+        return (bits.groupBy(*keys)
                 .agg(F.bit_or("_bit").alias("_mask"))
-                .select(group, (F.col("_mask") == F.lit(full_mask(len(req)))).alias("complete")))
-    hits = df.select(group, F.when(F.col(member).isin(req), F.col(member)).alias("_m"))
-    return (hits.groupBy(group)
+                .select(*keys, (F.col("_mask") == F.lit(full_mask(len(req)))).alias("complete")))
+    hits = df.select(*keys, F.when(F.col(member).isin(req), F.col(member)).alias("_m"))
+    return (hits.groupBy(*keys)
             .agg(F.count_distinct("_m").alias("_n"))
-            .select(group, (F.col("_n") == F.lit(len(req))).alias("complete")))
+            .select(*keys, (F.col("_n") == F.lit(len(req))).alias("complete")))
 
 
-def complete_groups(df: DataFrame, group: str, member: str,
+def complete_groups(df: DataFrame, group: str | Sequence[str], member: str,
                     required: Sequence[str]) -> DataFrame:
-    """Only the groups that are complete (one column, the group key)."""
+    """Only the groups that are complete (the group key columns)."""
     return group_completeness(df, group, member, required) \
-        .filter(F.col("complete")).select(group)
+        .filter(F.col("complete")).select(*_cols(group))
 
 
 def member_mask(df: DataFrame, group: str, member: str, required: Sequence[str]) -> DataFrame:
