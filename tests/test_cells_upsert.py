@@ -106,3 +106,20 @@ def test_rebucket_keeps_rows_and_later_merges(spark, scratch):
     got = {r.k: r.v for r in spark.read.parquet(path).collect()}
     assert got == {k: (f"w{k}" if k % 3 == 0 else f"v{k}") for k in range(30)}
     assert spark.read.parquet(path).count() == 30
+
+
+def test_only_touched_buckets_are_rewritten(spark, scratch):
+    from tidewater import paths
+    from tidewater.sinks import files
+    path = scratch("touched")
+    base = spark.createDataFrame([(k, 1, f"v{k}") for k in range(200)], "k long, o long, v string")
+    upsert.upsert_table(spark, path, base, ["k"], ["o"], buckets=8)
+    before = {b: paths.list_names(spark, f"{path}/{b}") for b in paths.list_names(spark, path)
+              if b.startswith(files.BUCKET_COL + "=")}
+    one = spark.createDataFrame([(7, 2, "new")], "k long, o long, v string")
+    upsert.upsert_table(spark, path, one, ["k"], ["o"])
+    after = {b: paths.list_names(spark, f"{path}/{b}") for b in before}
+    changed = [b for b in before if before[b] != after[b]]
+    assert len(changed) == 1                           # one bucket rewritten, seven untouched
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert got[7] == "new" and len(got) == 200
