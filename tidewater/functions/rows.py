@@ -12,6 +12,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..fixed import NULL_TEXT
+
 ColumnOrName = Column | str
 
 
@@ -117,7 +119,7 @@ def bind_params(event: ColumnOrName, names: Iterable[str], as_text: bool = False
         if as_text and name == reverse_field:
             v = reverse_key(v, on_null_key)
         elif as_text:
-            v = F.coalesce(v.cast("string"), F.lit("null"))
+            v = F.coalesce(v.cast("string"), F.lit(NULL_TEXT))
         out.append(v.alias(f"{prefix}{i}"))
     return out
 
@@ -137,7 +139,7 @@ def reverse_key(key: ColumnOrName, on_null: str = NULL_KEY_FAIL) -> Column:
     """
     k = _col(key).cast("string")
     if on_null == NULL_KEY_LITERAL:
-        return F.reverse(F.coalesce(k, F.lit("null")))
+        return F.reverse(F.coalesce(k, F.lit(NULL_TEXT)))
     if on_null != NULL_KEY_FAIL:
         raise ValueError(f"on_null must be '{NULL_KEY_FAIL}' or '{NULL_KEY_LITERAL}'")
     return F.when(k.isNull(), F.raise_error(F.lit("row key is null"))).otherwise(F.reverse(k))

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fixed import NULL_TEXT
 from ..functions.rows import NULL_KEY_FAIL, reverse_key
 from ..sinks import files
 
@@ -48,7 +49,7 @@ def event_cells(events: DataFrame, event_col: str, key_field: str, family: str,
     if null_values == "skip":
         cells = cells.filter(F.col("value").isNotNull())
     elif null_values == "text":
-        cells = cells.withColumn("value", F.coalesce(F.col("value"), F.lit("null")))
+        cells = cells.withColumn("value", F.coalesce(F.col("value"), F.lit(NULL_TEXT)))
     else:
         raise ValueError("null_values must be 'text' or 'skip'")
     return cells.select(*CELL_COLUMNS, *order)
@@ -61,7 +62,7 @@ def column_cells(df: DataFrame, key_col: str, value_cols: Sequence[str], family:
     as_text = df.select(
         reverse_key(F.col(key_col), on_null_key).alias("rowkey"),
         *[F.col(c) for c in order],
-        *[F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(c) for c in cols],
+        *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)).alias(c) for c in cols],
     )
     long = as_text.unpivot(["rowkey", *order], cols, "qualifier", "value")
     return long.select("rowkey", F.lit(family).alias("family"), "qualifier", "value", *order)

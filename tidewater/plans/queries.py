@@ -15,7 +15,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import session
+from .. import fixed, session
 from .sizing import choose_buckets, estimated_bytes
 from ..functions import rows
 from ..operators import cells, groups, select, upsert
@@ -31,13 +31,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Fixed values of the query set (parameters, not data).
-BAND_LO, BAND_HI = 13, 19                       # closed age band of the SQL query
+BAND_LO, BAND_HI = fixed.AGE_LO, fixed.AGE_HI    # closed band of the SQL range query
 HALF_SPLIT = datetime(2024, 1, 16)              # "base" before, "updates" from here
 DAY_LO, DAY_HI = datetime(2024, 1, 5), datetime(2024, 1, 6)
 REQUIRED_FLAGS = ["A", "R"]                     # completeness: both flags present
 EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]+"
 CELL_FAMILY = "cf"
-TEMPLATE_KEY = "2"                              # the template compares a number with this text
+TEMPLATE_KEY = fixed.TEMPLATE_KEY              # the template compares a number with this text
 
 
 # --- P1 P2 D2 D3 -------------------------------------------------------------
@@ -202,7 +202,8 @@ def cell_dense(spark, sf_dir):
 def template_rows(spark, sf_dir):
     ev = load(spark, sf_dir, "events")
     result = rows.text_equals("user_id", TEMPLATE_KEY)
-    return ev.select("event_id", rows.render_template(["<test>\n", result, "\n</test>"]).alias("rendered"))
+    parts = [fixed.TEMPLATE_OPEN + "\n", result, "\n" + fixed.TEMPLATE_CLOSE]
+    return ev.select("event_id", rows.render_template(parts).alias("rendered"))
 
 
 # --- X1 ----------------------------------------------------------------------
@@ -467,8 +468,8 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT rowkey, '{CELL_FAMILY}' AS family, qualifier, value, event_id FROM c "
         "QUALIFY row_number() OVER (PARTITION BY rowkey, qualifier ORDER BY ts DESC, event_id DESC) = 1"),
     "template_rows": (
-        "SELECT event_id, '<test>' || chr(10) || "
-        f"CAST((CAST(user_id AS VARCHAR) = '{TEMPLATE_KEY}') AS VARCHAR) || chr(10) || '</test>' "
+        f"SELECT event_id, '{fixed.TEMPLATE_OPEN}' || chr(10) || "
+        f"CAST((CAST(user_id AS VARCHAR) = '{TEMPLATE_KEY}') AS VARCHAR) || chr(10) || '{fixed.TEMPLATE_CLOSE}' "
         "AS rendered FROM events"),
     "intersect_keys": (
         "SELECT user_id, event_type, CAST(hour(ts) AS INTEGER) AS hr FROM events "

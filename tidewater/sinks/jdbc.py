@@ -20,15 +20,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ..fixed import SINK_MODE_ERROR, SINK_MODES
 from ..operators.upsert import latest_per_key
 from ..sources.jdbc import JdbcTarget
 
-MODES = ("insert", "update", "upsert")
+MODES = SINK_MODES
 
 
 def check_mode(mode: str) -> str:
     if mode not in MODES:
-        raise ValueError("only insert, update or upsert supported")
+        raise ValueError(SINK_MODE_ERROR)
     return mode
 
 

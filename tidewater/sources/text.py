@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..fixed import PEOPLE_FIELDS, PEOPLE_SEPARATOR
+
+_TYPES = {"long": T.LongType(), "string": T.StringType(), "int": T.IntegerType()}
+
 # The record layout of the people fixture (position -> name, type).
-PEOPLE_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("age", T.IntegerType()),
-])
+PEOPLE_SCHEMA = T.StructType([T.StructField(n, _TYPES[t]) for n, t in PEOPLE_FIELDS])
 
 ON_BAD_FAIL = "fail"
 ON_BAD_QUARANTINE = "quarantine"
@@ -53,7 +53,7 @@ def _field_checks(parts: Column, schema: T.StructType) -> tuple[list[Column], Co
     return values, F.coalesce(ok, F.lit(False))
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType = PEOPLE_SCHEMA, sep: str = " ",
+def parse_lines(lines: DataFrame, schema: T.StructType = PEOPLE_SCHEMA, sep: str = PEOPLE_SEPARATOR,
                 on_bad: str = ON_BAD_FAIL, line_col: str = "value") -> ScanResult:
     """Split each line on ``sep`` (a literal, not a pattern) and type fields.
 
@@ -81,6 +81,6 @@ def parse_lines(lines: DataFrame, schema: T.StructType = PEOPLE_SCHEMA, sep: str
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType = PEOPLE_SCHEMA,
-                   sep: str = " ", on_bad: str = ON_BAD_FAIL) -> ScanResult:
+                   sep: str = PEOPLE_SEPARATOR, on_bad: str = ON_BAD_FAIL) -> ScanResult:
     """Scan text files at ``path`` into typed columns."""
     return parse_lines(spark.read.text(path), schema, sep, on_bad)

@@ -14,7 +14,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
+from ..fixed import TIME_FORMAT
+
 
 
 def _bound(df: DataFrame, time_col: str, value) -> Column:

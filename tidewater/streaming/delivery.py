@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..fixed import DEFAULT_INTERVAL_MS
 from ..functions.rows import is_event_object, is_nonempty, parse_event
 
 BATCH_COL = "batch_id"
@@ -29,9 +30,6 @@ ON_BAD_FAIL = "fail"
 ON_BAD_QUARANTINE = "quarantine"
 
 
-# S4 fixed value: the poll interval used when the setting is empty or not a
-# number, in milliseconds.
-DEFAULT_INTERVAL_MS = 60000
 
 
 def poll_trigger(interval: str | int | None) -> dict:
