@@ -239,3 +239,23 @@ def test_stream_completeness_empty_required_emits_every_group_once(spark, scratc
     fn = completeness.completeness_batch(state, out, "g", "m", [], buckets=1)
     delivery.start_delivery(delivery.read_file_stream(spark, src, df.schema), ckpt, fn).awaitTermination()
     assert sorted(r.g for r in spark.read.parquet(out).collect()) == ["g1", "g2"]
+
+
+def test_window_source_stream_delivers_each_row_once_with_replay(spark, scratch):
+    from tidewater.streaming import window_source as ws
+    ev = _events(spark)                                   # 12 rows over 3 days
+    root = scratch("wsrc")
+    out, ckpt = f"{root}/out", f"{root}/ckpt"
+    day = timedelta(days=1)
+    deliver = lambda df, pending: ingest.write_windows(df.select("id", ingest.WINDOW_COL), out)
+    fn = ws.windows_batch(ev, "ts", day, deliver)
+    for end in (datetime(2024, 1, 2, 12), datetime(2024, 1, 4)):   # the second poll sees more time
+        stream = ws.window_stream(spark, datetime(2024, 1, 1), day, end=end, max_windows=10)
+        delivery.start_delivery(stream, ckpt, fn).awaitTermination()
+    last = max((n for n in paths.list_names(spark, f"{ckpt}/commits") if n.isdigit()), key=int)
+    paths.delete(spark, f"{ckpt}/commits/{last}")                  # lose the last acknowledgement
+    stream = ws.window_stream(spark, datetime(2024, 1, 1), day, end=datetime(2024, 1, 4), max_windows=10)
+    delivery.start_delivery(stream, ckpt, fn).awaitTermination()   # replays it
+    got = spark.read.parquet(out)
+    assert sorted(r.id for r in got.collect()) == list(range(12))
+    assert sorted(r.window_id for r in got.select("window_id").distinct().collect()) == [0, 1, 2]
