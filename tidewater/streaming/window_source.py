@@ -15,9 +15,11 @@ never cut short and ids always map to the same bounds.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
@@ -79,6 +81,9 @@ def window_stream(spark: SparkSession, start: datetime, step: timedelta,
                   lag: timedelta = timedelta(0), end: datetime | None = None,
                   max_windows: int = 1000) -> DataFrame:
     """A stream of complete windows ``(window_id, lo, hi)``."""
+    # The source runs in Spark's Python workers, which need not have this
+    # package installed: ship its classes by value, not as an import path.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(WindowSource)
     reader = (spark.readStream.format(SOURCE_NAME)
               .option("start", start.isoformat())
