@@ -259,3 +259,17 @@ def test_window_source_stream_delivers_each_row_once_with_replay(spark, scratch)
     got = spark.read.parquet(out)
     assert sorted(r.id for r in got.collect()) == list(range(12))
     assert sorted(r.window_id for r in got.select("window_id").distinct().collect()) == [0, 1, 2]
+
+
+def test_window_source_reader_offsets():
+    from tidewater.streaming.window_source import _WindowReader
+    r = _WindowReader({"start": "2024-01-01T00:00:00", "step_seconds": "3600",
+                       "end": "2024-01-01T05:30:00", "max_windows": "3"})
+    rows, off = r.read(r.initialOffset())
+    assert [w[0] for w in rows] == [0, 1, 2] and off == {"next": 3}
+    rows, off = r.read(off)
+    assert [w[0] for w in rows] == [3, 4] and off == {"next": 5}     # window 5 is not complete yet
+    assert list(r.read(off)[0]) == []
+    again = list(r.readBetweenOffsets({"next": 3}, {"next": 5}))       # replay: same bounds
+    assert again == [(3, datetime(2024, 1, 1, 3), datetime(2024, 1, 1, 4)),
+                     (4, datetime(2024, 1, 1, 4), datetime(2024, 1, 1, 5))]

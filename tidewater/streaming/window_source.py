@@ -32,7 +32,8 @@ WINDOW_SCHEMA = "window_id long, lo timestamp_ntz, hi timestamp_ntz"
 class WindowSource(DataSource):
     """Options: ``start`` (ISO time), ``step_seconds``, optional
     ``lag_seconds`` (default 0), ``end`` (ISO time: stop there; otherwise
-    the current wall clock) and ``max_windows`` per batch (default 1000)."""
+    the current wall clock in zone ``tz``) and ``max_windows`` per batch
+    (default 1000)."""
 
     @classmethod
     def name(cls) -> str:
@@ -54,10 +55,18 @@ class _WindowReader(SimpleDataSourceStreamReader):
         self.lag = timedelta(seconds=float(options.get("lag_seconds", "0")))
         self.end = datetime.fromisoformat(options["end"]) if options.get("end") else None
         self.max_windows = int(options.get("max_windows", "1000"))
+        self.tz = options.get("tz")
+
+    def _now(self) -> datetime:
+        """Wall-clock now in the session zone (naive, like the bounds)."""
+        if not self.tz:
+            return datetime.now()
+        from zoneinfo import ZoneInfo
+        return datetime.now(ZoneInfo(self.tz)).replace(tzinfo=None)
 
     def _complete(self) -> int:
         """Number of windows that have ended (``hi <= now - lag``)."""
-        limit = self.end if self.end is not None else datetime.now() - self.lag
+        limit = self.end if self.end is not None else self._now() - self.lag
         if limit <= self.start:
             return 0
         return int((limit - self.start) / self.step)
@@ -89,7 +98,8 @@ def window_stream(spark: SparkSession, start: datetime, step: timedelta,
               .option("start", start.isoformat())
               .option("step_seconds", str(step.total_seconds()))
               .option("lag_seconds", str(lag.total_seconds()))
-              .option("max_windows", str(max_windows)))
+              .option("max_windows", str(max_windows))
+              .option("tz", spark.conf.get("spark.sql.session.timeZone")))
     if end is not None:
         reader = reader.option("end", end.isoformat())
     return reader.load()
