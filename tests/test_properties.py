@@ -80,3 +80,23 @@ def test_json_event_round_trip_keeps_text(spark, data):
     back = df.select(rows.parse_event(rows.to_json_event()).alias("m")).collect()
     for (s, n), r in zip(data, back):
         assert r.m["s"] == s and r.m["n"] == str(n)
+
+
+@SETTINGS
+@given(offsets=st.lists(st.integers(0, 10 * 86400 * 10**6 - 1), min_size=1, max_size=25),
+       step_s=st.integers(1, 3 * 86400), first_id=st.integers(0, 1000))
+def test_window_assignment_matches_floor(spark, offsets, step_s, first_id):
+    from datetime import datetime, timedelta
+    from tidewater.streaming import windows as ingest
+    start, step = datetime(2024, 3, 9, 0, 0, 0), timedelta(seconds=step_s)
+    ts = [start + timedelta(microseconds=o) for o in offsets]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "id long, ts timestamp_ntz")
+    end = start + timedelta(days=10)
+    pending, lo, wid = [], start, first_id
+    while lo < end:
+        pending.append(ingest.Window(wid, lo, min(lo + step, end)))
+        lo, wid = lo + step, wid + 1
+    got = {r.id: (r.window_id, r.window_lo) for r in ingest.assign_windows(df, "ts", pending, step).collect()}
+    for i, t in enumerate(ts):
+        k = (t - start) // step
+        assert got[i] == (first_id + k, start + k * step)
