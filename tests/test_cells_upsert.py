@@ -123,3 +123,11 @@ def test_only_touched_buckets_are_rewritten(spark, scratch):
     assert len(changed) == 1                           # one bucket rewritten, seven untouched
     got = {r.k: r.v for r in spark.read.parquet(path).collect()}
     assert got[7] == "new" and len(got) == 200
+
+
+def test_put_cells_must_exist(spark, scratch):
+    import pytest
+    ev = _events(spark, [(datetime(2024, 1, 1), 1, '{"k":1,"x":"a"}')])
+    with pytest.raises(FileNotFoundError):
+        cells.put_cells(spark, scratch("missing"), cells.event_cells(ev, "m", "k", "cf", ORDER), ORDER,
+                        must_exist=True)

@@ -273,3 +273,11 @@ def test_window_source_reader_offsets():
     again = list(r.readBetweenOffsets({"next": 3}, {"next": 5}))       # replay: same bounds
     assert again == [(3, datetime(2024, 1, 1, 3), datetime(2024, 1, 1, 4)),
                      (4, datetime(2024, 1, 1, 4), datetime(2024, 1, 1, 5))]
+
+
+def test_window_source_requires_start_and_step():
+    from tidewater.streaming.window_source import _WindowReader
+    with pytest.raises(ValueError, match="start"):
+        _WindowReader({"step_seconds": "60"})
+    with pytest.raises(ValueError, match="step_seconds"):
+        _WindowReader({"start": "2024-01-01T00:00:00"})

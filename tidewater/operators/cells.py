@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..fixed import NULL_TEXT
 from ..functions.rows import NULL_KEY_FAIL, reverse_key
+from .. import paths
 from ..sinks import files
 
 CELL_COLUMNS = ["rowkey", "family", "qualifier", "value"]
@@ -80,9 +81,12 @@ def merge_cells(cells: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def put_cells(spark: SparkSession, path: str, cells: DataFrame, order: Sequence[str],
-              buckets: int | None = None) -> None:
+              buckets: int | None = None, must_exist: bool = False) -> None:
     """K5 against a file cell table at ``path``: read touched row-key buckets,
-    merge with the new cells, swap the buckets in."""
+    merge with the new cells, swap the buckets in. With ``must_exist`` a
+    missing table fails before any job runs (instead of being created)."""
+    if must_exist and not paths.exists(spark, f"{path}/{files.BUCKETS_FILE}"):
+        raise FileNotFoundError(f"cell table does not exist: {path}")
     n = files.table_buckets(spark, path, cells, buckets)
     batch = merge_cells(cells.withColumn(files.BUCKET_COL, files.bucket_of(["rowkey"], n)),
                         order)

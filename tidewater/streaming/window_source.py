@@ -48,6 +48,9 @@ class WindowSource(DataSource):
 
 class _WindowReader(SimpleDataSourceStreamReader):
     def __init__(self, options):
+        for key in ("start", "step_seconds"):
+            if not options.get(key):
+                raise ValueError(f"window source option '{key}' is required")
         self.start = datetime.fromisoformat(options["start"])
         self.step = timedelta(seconds=float(options["step_seconds"]))
         if self.step <= timedelta(0):
