@@ -1,0 +1 @@
+"""Row-level column expressions (no Python per row)."""

@@ -1,0 +1 @@
+"""Table operators: SQL views, intersect, completeness, keyed upsert, cells."""

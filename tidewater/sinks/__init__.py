@@ -1,0 +1 @@
+"""Outputs: staged and bucketed file tables, literal inserts, console, JDBC."""

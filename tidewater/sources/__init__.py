@@ -1,0 +1 @@
+"""Inputs: delimited text, time windows, JDBC reads, staged file runs."""

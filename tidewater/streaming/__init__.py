@@ -1,0 +1 @@
+"""Incremental delivery: window ingest, window source, file-stream delivery, stream completeness."""
