@@ -265,6 +265,15 @@ def staged_overwrite(spark, sf_dir):
 DAY = timedelta(days=1)
 
 
+def _stamped_windows(out: str):
+    """Deliver (event_id, value, window start as text) keyed by window id."""
+    def deliver(df, pending):
+        stamped = df.select("event_id", "value", ingest.WINDOW_COL,
+                            F.date_format("window_lo", "yyyy-MM-dd HH:mm:ss").alias("window_lo"))
+        ingest.write_windows(stamped, out)
+    return deliver
+
+
 def window_replay(spark, sf_dir):
     ev = load(spark, sf_dir, "events").select("event_id", "ts", "value")
     root = session.scratch_path(spark, "windows")
@@ -275,10 +284,7 @@ def window_replay(spark, sf_dir):
     now = hi + timedelta(seconds=1)              # the poll runs after the last row
     mid = start + DAY * ((now - start).days // 2)   # first poll: the first half of the days
 
-    def deliver(df, pending):
-        stamped = df.select("event_id", "value", ingest.WINDOW_COL,
-                            F.date_format("window_lo", "yyyy-MM-dd HH:mm:ss").alias("window_lo"))
-        ingest.write_windows(stamped, out)
+    deliver = _stamped_windows(out)
 
     ingest.run_windows(spark, "events", ev, "ts", control, deliver, start, mid, DAY)
     try:                                         # crash between write and mark
@@ -303,17 +309,14 @@ def window_stream(spark, sf_dir):
     end = hi.replace(hour=0, minute=0, second=0, microsecond=0) + DAY   # the last day is complete
     mid = start + DAY * ((end - start).days // 2)
 
-    def deliver(df, pending):
-        stamped = df.select("event_id", "value", ingest.WINDOW_COL,
-                            F.date_format("window_lo", "yyyy-MM-dd HH:mm:ss").alias("window_lo"))
-        ingest.write_windows(stamped, out)
+    deliver = _stamped_windows(out)
 
     fn = window_source.windows_batch(ev, "ts", DAY, deliver)
-    for poll_end in (mid, end, end):             # the third run replays the last batch
+    for i, poll_end in enumerate((mid, end, end)):
         stream = window_source.window_stream(spark, start, DAY, end=poll_end)
         delivery.start_delivery(stream, ckpt, fn).awaitTermination()
-        if poll_end == end:
-            _drop_last_commit(spark, ckpt)
+        if i == 1:
+            _drop_last_commit(spark, ckpt)       # the third run replays the last batch
     return spark.read.parquet(out).select("event_id", "value", "window_lo")
 
 
