@@ -330,16 +330,22 @@ def _drop_last_commit(spark, checkpoint):
         paths.delete(spark, f"{checkpoint}/commits/{last}")
 
 
+def _stream_with_replay(spark, src, schema, ckpt, batch_fn):
+    """Drain the folder ``src`` one file per batch, lose the last batch's
+    acknowledgement, and run again: the second run replays that batch."""
+    for i in range(2):
+        stream = delivery.read_file_stream(spark, src, schema, max_files_per_trigger=1)
+        delivery.start_delivery(stream, ckpt, batch_fn).awaitTermination()
+        if i == 0:
+            _drop_last_commit(spark, ckpt)
+
+
 def file_stream(spark, sf_dir):
     ev = load(spark, sf_dir, "events").select("event_id", "ts", "value")
     root = session.scratch_path(spark, "file_stream")
     src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
     source_files.stage_files(ev, src)
-    for _ in range(2):                           # second run replays the last batch
-        stream = delivery.read_file_stream(spark, src, ev.schema, max_files_per_trigger=1)
-        q = delivery.start_delivery(stream, ckpt, delivery.delivery_batch(out))
-        q.awaitTermination()
-        _drop_last_commit(spark, ckpt)
+    _stream_with_replay(spark, src, ev.schema, ckpt, delivery.delivery_batch(out))
     return spark.read.parquet(out).select("event_id", "value")
 
 
@@ -350,10 +356,7 @@ def stream_upsert(spark, sf_dir):
     src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
     source_files.stage_files(ev, src)
     fn = delivery.upsert_batch(out, ["user_id"], ["ts", "event_id"])
-    for _ in range(2):                           # second run replays the last batch
-        stream = delivery.read_file_stream(spark, src, ev.schema, max_files_per_trigger=1)
-        delivery.start_delivery(stream, ckpt, fn).awaitTermination()
-        _drop_last_commit(spark, ckpt)
+    _stream_with_replay(spark, src, ev.schema, ckpt, fn)
     return spark.read.parquet(out).select("user_id", "event_id", "event_type", "value")
 
 
@@ -422,10 +425,7 @@ def stream_complete(spark, sf_dir):
     buckets = choose_buckets(estimated_bytes(li.select("l_orderkey")))
     fn = completeness.completeness_batch(state, out, "l_orderkey", "l_returnflag", REQUIRED_FLAGS,
                                          buckets=buckets)
-    for _ in range(2):                           # second run replays the last batch
-        stream = delivery.read_file_stream(spark, src, li.schema, max_files_per_trigger=1)
-        delivery.start_delivery(stream, ckpt, fn).awaitTermination()
-        _drop_last_commit(spark, ckpt)
+    _stream_with_replay(spark, src, li.schema, ckpt, fn)
     # explicit schema: the folder holds no data file when nothing completed
     return spark.read.schema("l_orderkey bigint, batch_id bigint").parquet(out).select("l_orderkey")
 
