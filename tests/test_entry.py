@@ -7,12 +7,8 @@ from conftest import SF_SMOKE
 
 TABLES = "part lineitem events documents".split()
 
-# Queries that take long at the smallest scale run in the oracle check
-# tool instead (tools/check_oracle.py); here a fast subset.
-FAST = ["band_filter", "string_map", "double_add", "json_round_trip", "json_field",
-        "nonempty_body", "bind_params", "reverse_key", "template_rows", "intersect_keys",
-        "group_complete", "window_read", "quarantine", "text_scan", "cell_upsert", "keyed_upsert",
-        "cell_dense", "quarantined"]
+# Every registered query is checked against its oracle at the smallest scale.
+ALL = sorted(entry.queries())
 
 
 def test_entry_runs(spark):
@@ -40,7 +36,7 @@ def _canon(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", ALL)
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMOKE)
     res = duck.execute(entry.oracle_sql()[name])
