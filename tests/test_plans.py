@@ -2,7 +2,6 @@
 
 import re
 
-from tidewater.operators import groups
 from tidewater.operators.upsert import latest_per_key
 from tidewater.plans import queries as q
 from tidewater.sinks import files
