@@ -281,3 +281,26 @@ def test_window_source_requires_start_and_step():
         _WindowReader({"step_seconds": "60"})
     with pytest.raises(ValueError, match="step_seconds"):
         _WindowReader({"start": "2024-01-01T00:00:00"})
+
+
+def test_window_source_with_a_processing_time_trigger(spark, scratch):
+    """Live cadence: windows end as the clock moves; stop between batches."""
+    import time as _time
+    from datetime import timezone
+    from tidewater.streaming import window_source as ws
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    assert tz == "UTC"
+    now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    start, step = now - timedelta(seconds=10), timedelta(seconds=2)
+    src = spark.createDataFrame([(i, start + timedelta(milliseconds=500 * i)) for i in range(20)],
+                                "id long, ts timestamp_ntz")
+    root = scratch("live")
+    out = f"{root}/out"
+    deliver = lambda df, pending: ingest.write_windows(df.select("id", ingest.WINDOW_COL), out)
+    q = delivery.start_delivery(ws.window_stream(spark, start, step), f"{root}/ckpt",
+                                ws.windows_batch(src, "ts", step, deliver),
+                                trigger=delivery.poll_trigger("500"))
+    _time.sleep(4)
+    q.processAllAvailable()          # stop between batches, not inside one
+    q.stop()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(20))
