@@ -131,3 +131,14 @@ def test_put_cells_must_exist(spark, scratch):
     with pytest.raises(FileNotFoundError):
         cells.put_cells(spark, scratch("missing"), cells.event_cells(ev, "m", "k", "cf", ORDER), ORDER,
                         must_exist=True)
+
+
+def test_outgrown_buckets_warn(spark, scratch, monkeypatch):
+    import pytest
+    from tidewater.plans import sizing
+    path = scratch("outgrown")
+    base = spark.createDataFrame([(k, 1, "v") for k in range(50)], "k long, o long, v string")
+    upsert.upsert_table(spark, path, base, ["k"], ["o"], buckets=2)
+    monkeypatch.setattr(sizing, "TARGET_BUCKET_BYTES", 1)
+    with pytest.warns(UserWarning, match="rebucket"):
+        upsert.upsert_table(spark, path, base.limit(1), ["k"], ["o"])

@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -165,6 +166,7 @@ def table_buckets(spark: SparkSession, path: str, sample: DataFrame | None = Non
 
 
 MERGE_PARTITION_BYTES = 256 * 1024 * 1024
+OUTGROWN_FACTOR = 4          # warn when a bucket holds this many times its target size
 
 
 def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
@@ -206,9 +208,15 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
 
 def _merge_and_swap(spark, path, batch, hit, reduce, keys, n, fmt, before_swap) -> None:
     from ..plans.sizing import estimated_bytes
+    from ..plans.sizing import TARGET_BUCKET_BYTES
     stored = read_buckets(spark, path, batch.schema, hit, fmt)
     # touched share of the stored bytes (one metadata call) plus the batch
-    stored_bytes = paths.size(spark, path) * len(hit) // max(1, n or 1)
+    table_bytes = paths.size(spark, path)
+    per_bucket = table_bytes // max(1, n or 1)
+    if per_bucket > OUTGROWN_FACTOR * TARGET_BUCKET_BYTES:
+        warnings.warn(f"keyed table {path} holds {per_bucket} bytes per bucket; "
+                      f"consider files.rebucket with more buckets", stacklevel=3)
+    stored_bytes = per_bucket * len(hit)
     parts = max(1, math.ceil((stored_bytes + estimated_bytes(batch)) / MERGE_PARTITION_BYTES))
     both = stored.unionByName(batch).repartitionByRange(
         parts, F.col(BUCKET_COL), *[F.col(k) for k in keys])
