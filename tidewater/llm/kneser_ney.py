@@ -11,7 +11,6 @@ from .common import map_rows, table
 
 ORDER = 4
 TRUSTED_DOCS = 20_000   # bound of the labelled sample: smallest hashes of doc_id
-PREFIX = 4000           # bytes of a sample document that are counted
 QUANTILE, MARGIN = 0.99, 1.25   # cut: quantile of log perplexity times margin
 MIN_BYTES = 64
 
@@ -33,7 +32,7 @@ def count_grams(texts):
     then sharded by n-gram and summed."""
     def run(batches):
         for b in batches:
-            parts = [grams(b"\n\n\n" + (t or "").encode()[:PREFIX], ORDER) for t in b.column(0).to_pylist()]
+            parts = [grams(b"\n\n\n" + (t or "").encode(), ORDER) for t in b.column(0).to_pylist()]
             if parts:
                 code, n = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n)], ["g", "n"])
@@ -103,7 +102,7 @@ class Model:
 
 def train(docs, labels):
     """Model of the trusted documents (quality 1): at most TRUSTED_DOCS of them,
-    so at most TRUSTED_DOCS * PREFIX n-grams come to the driver."""
+    so the distinct byte n-grams of that sample come to the driver."""
     good = labels.where("quality = 1").select("doc_id").distinct()
     good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_DOCS)
     trusted = docs.select("doc_id", "text").join(good, "doc_id", "left_semi")
