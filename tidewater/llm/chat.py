@@ -35,7 +35,8 @@ def assemble(pieces):
     out = np.empty(int(offs[-1]), np.uint8)
     step = 1 << 16
     for i in range(0, len(pieces), step):
-        l, o = lens[i:i + step], offs[i:i + step]
+        l = lens[i:i + step]
+        o = offs[i:i + len(l)]
         src = np.frombuffer(b"".join(pieces[i:i + step]), np.uint8)
         at = np.arange(len(src)) - np.repeat(np.cumsum(l) - l, l) + np.repeat(o, l)
         out[at] = src
