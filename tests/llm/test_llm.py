@@ -1,0 +1,234 @@
+"""The training-data operators against brute force, round trips and edge cases."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from tidewater.llm import (chat, decontaminate, extract, kneser_ney, licenses, log_bilinear, order_minhash, pack,
+                           repeats, rules)
+from tidewater.llm.common import words
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def make(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], DOCS)
+
+
+def vocabulary(n, seed=1):
+    r = random.Random(seed)
+    return ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+
+
+EDGE = [None, "", "  \n", "Ä ö ü", "one", "x " * 3000, "same text here now ok", "same text here now ok"]
+
+
+def test_decontaminate_matches_brute_force(spark):
+    r, v = random.Random(3), vocabulary(30)
+    items = [" ".join(r.choice(v) for _ in range(n)) for n in (20, 13, 5, 1)] + ["", None]
+    texts = [" ".join(r.choice(v) for _ in range(40)) + " " + r.choice(items[:3]) for _ in range(30)] + EDGE
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+    wins = defaultdict(set)
+    for i, t in enumerate(items):
+        w = words(t)
+        m = min(13, len(w))
+        for k in range(len(w) - m + 1 if m else 0):
+            wins[tuple(w[k:k + m])].add(str(i))
+    for row in decontaminate.decontaminate(make(spark, texts), bench).collect():
+        w, hit, ids = words(texts[row.doc_id]), set(), set()
+        for win, own in wins.items():
+            for k in range(len(w) - len(win) + 1):
+                if tuple(w[k:k + len(win)]) == win:
+                    hit |= set(range(k, k + len(win)))
+                    ids |= own
+        assert (row.n_words, row.n_hit, row.n_items) == (len(w), len(hit), len(ids))
+        assert row.items_sha256 == hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+        assert row.contaminated == (len(hit) > 0 and 20 * len(hit) >= len(w))
+
+
+def test_pack_round_trip(spark):
+    path = pack.default_path()
+    texts = EDGE + ["hello world " * 700, "<|endoftext|>"]
+    rows = pack.pack(make(spark, texts).repartition(3), path).collect()
+    t, by_doc, by_seq = pack.encoder(path), defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_seq[r.sequence_id].append(r)
+    for i, text in enumerate(texts):
+        ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        at = 0
+        for r in sorted(by_doc[i], key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(ids[at:at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    for s, got in by_seq.items():
+        at = 0
+        for r in sorted(got, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at == 1024 or s == max(by_seq)
+
+
+@pytest.mark.parametrize("raw", [b"", b"</s>[INST] ok [/INST]", b"<\\|x|\\\\>", b"[\\INST] <|end|>\n", b"a<", b"|", b"<\\/s>"])
+def test_chat_escape_round_trip(raw):
+    assert chat.unescape(chat.escape(raw)) == raw
+    assert not re.search(rb"<\||\|>|</?s>|\[/?INST\]", chat.escape(raw))
+
+
+def test_chat_rows(spark):
+    rows = spark.createDataFrame([(1, 1, "assistant", "é<|x|>"), (1, 0, "user", None), (None, None, None, "n"),
+                                  (1, 1, "assistant", "é<|x|>")], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.digest(chat.format_turns(rows)).collect()}
+    t = "é<|x|>"
+    assert got[1].n_turns == 3 and got[1].loss_chars == 2 * len(t)
+    assert got[1].turns_sha256 == hashlib.sha256(f"user\n\nassistant\n{t}\nassistant\n{t}\n".encode()).hexdigest()
+    assert got[1].loss_sha256 == hashlib.sha256((t * 2).encode()).hexdigest()
+    assert got[None].n_turns == 1
+
+
+def test_licenses(spark):
+    texts = EDGE + ["Under the MIT License. x Apache License, Version 2 and CC BY-NC 4.0; under the mit license",
+                    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+                    "associated documentation files (the \"Software\"), to deal in the Software without restriction",
+                    "permission is hereby granted free of cost to any person"]
+    got = {r.doc_id: r for r in licenses.scan_licenses(make(spark, texts)).collect()}
+    n = len(EDGE)
+    assert (got[n].n_base, got[n].first_word, got[n].last_word) == (4, 0, 15)
+    assert got[n].base_labels == "apache-2,cc-by-nc,mit"
+    assert "mit-text" in got[n + 1].labels and got[n + 1].score == 1.0
+    assert got[n + 2].labels == "" and got[0].first_word is None
+
+
+def test_rules_base_counts(spark):
+    texts = EDGE + ["a b c d a b c\na b c d a b c\n#x", "z " * 10 + "\n\nz\n"]
+    for r in rules.quality(make(spark, texts)).collect():
+        t = texts[r.doc_id] or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        g = list(zip(w, w[1:], w[2:]))
+        cover = {k + d for k, x in enumerate(g) if g.count(x) > 1 for d in range(3)} if len(w) < 100 else set(range(len(w)))
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert (r.n_words, r.word_chars, r.n_repeat_words, r.n_dup_lines) == (
+            len(w), sum(map(len, w)), len(cover), len(lines) - len(set(lines)))
+        assert r.kept is False
+
+
+def test_order_minhash_classes(spark):
+    r, v = random.Random(5), vocabulary(3000)
+    base = [[r.choice(v) for _ in range(200)] for _ in range(6)]
+    texts = [" ".join(b) for b in base]
+    for b in base[:3]:
+        for _ in range(15):
+            c = list(b)
+            for _ in range(2):
+                c[r.randrange(len(c))] = r.choice(v)
+            texts.append(" ".join(c))
+    texts += EDGE
+    s = [order_minhash.shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i in range(len(texts)):
+        for j in range(i):
+            if (texts[i] or "") == (texts[j] or "") or order_minhash.similarity(s[i], s[j]) >= 0.8:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    got = {r.doc_id: r.class_id for r in order_minhash.classes(make(spark, texts)).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+
+
+def test_alignment_is_longest_common_subsequence():
+    r = random.Random(7)
+    for _ in range(50):
+        a = [r.randrange(8) for _ in range(30)]
+        b = [x for x in a if r.random() < 0.95]
+        row = [0] * (len(b) + 1)
+        for x in a:
+            old = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = old[j] + 1 if x == y else max(old[j + 1], row[j])
+        assert order_minhash.aligned(a, b) == row[-1]
+
+
+def test_repeats_find_shared_passages(spark):
+    r, v = random.Random(9), vocabulary(5000)
+    shared = " ".join(r.choice(v) for _ in range(55))
+    text = lambda n: " ".join(r.choice(v) for _ in range(n))
+    texts = [f"{text(r.randrange(5, 90))} {shared} {text(r.randrange(5, 90))}" for _ in range(12)] + [text(120)] + EDGE[:5]
+    got = repeats.repeats(make(spark, texts).repartition(4)).collect()
+    by = {(x.doc_id, x.role): texts[x.doc_id].encode()[x.start_byte:x.end_byte].decode() for x in got}
+    assert all(by[i, "repeat"] == shared for i in range(1, 12)) and by[0, "first"] == shared
+    assert {d for d, _ in by} == set(range(12))
+
+
+def test_pipeline_cut_keeps_columns(spark):
+    docs = make(spark, EDGE)
+    out = repeats.stage(spark, docs, SF)
+    assert out.columns == docs.columns and out.count() == len(EDGE)
+    kept = {r.doc_id: r.text for r in out.collect()}
+    assert kept[0] is None and kept[4] == "one"
+
+
+def test_kneser_ney_sums_to_one_and_separates(spark):
+    texts = [" ".join(vocabulary(80, i)) for i in range(40)] + ["###$$$ %%% " * 60] + EDGE
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    docs = make(spark, texts)
+    model, _ = kneser_ney.train(docs, labels)
+    for c in (b"\n\n\n", b"abc", b"zzz"):
+        base = int.from_bytes(c, "big") << 8
+        assert abs(model.prob(np.arange(base, base + 256), 4).sum() - 1) < 1e-6
+    got = {r.doc_id: r.kept for r in kneser_ney.classify(docs, labels).collect()}
+    assert all(got[i] for i in range(40)) and not got[40] and got[41] and got[42]
+    assert kneser_ney.classify(docs, labels.limit(0)).where("NOT kept").count() == 0
+
+
+def test_lm_base_score_and_normalised(spark):
+    texts = [" ".join(random.Random(i).choices(vocabulary(20), k=30)).title() for i in range(40)] + EDGE
+    rows = {r.doc_id: r for r in log_bilinear.score(make(spark, texts)).collect()}
+    toks = {i: [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())] + [b"\n"] for i, t in enumerate(texts)}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in toks}
+    c = defaultdict(int)
+    for i, w in toks.items():
+        if not held[i]:
+            for x in w:
+                c[x] += 1
+    n, v = sum(c.values()), len(c)
+    for i, w in toks.items():
+        assert rows[i].held_out == held[i] and rows[i].n_tokens == len(w) and rows[i].train_tokens == n
+        assert rows[i].n_known == sum(c.get(x, 0) > 0 for x in w)
+        want = sum(np.log10((c.get(x, 0) + 0.5) / (n + 0.5 * (v + 1))) for x in w)
+        assert abs(rows[i].base_score - want) < 1e-6 and rows[i].score < 0
+    table = log_bilinear.train(np.array([5, 6]), np.array([1.0, 3.0]))
+    assert np.allclose((10.0 ** table.astype(float)).sum(-1), 1, atol=1e-4)
+
+
+def test_extract(spark):
+    page = ('<html><head><title>T</title><script>var a="<p>";</script></head><body><nav><ul><li><a href="/x">menu</a></li>'
+            '</ul></nav><div class="ad">buy</div><article><h1>Head &amp; &am</h1><p>one <b>tw</b>o\n three<br>four</p>'
+            '<div class="comments"><p>reader</p></div></article><footer>foot</footer>')
+    rows = [(i, "u", page.replace("one", f"one{i}")) for i in range(30)] + [(98, None, None), (99, "u", "")]
+    got = {r.page_id: r for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3].text == "Head & &am one3 two three four" and got[3].n_chars == len(got[3].text)
+    assert got[98].text == "" and got[99].n_chars == 0
+
+
+@pytest.mark.parametrize("fn", [order_minhash.classes, licenses.scan_licenses, rules.quality, repeats.repeats, log_bilinear.score])
+def test_empty_table(spark, fn):
+    assert fn(make(spark, ["x"]).limit(0)).count() == 0
+
+
+def test_pipeline_runs_whole(spark):
+    out = corpus_pipeline.run(spark, SF)
+    assert out.count() > 0 and {"doc_id", "sequence_id", "offset", "length"} <= set(out.columns)
+    assert "pipeline" in entry.queries()
