@@ -62,11 +62,12 @@ def column_cells(df: DataFrame, key_col: str, value_cols: Sequence[str], family:
     cols = list(value_cols)
     as_text = df.select(
         reverse_key(F.col(key_col), on_null_key).alias("rowkey"),
-        *[F.col(c) for c in order],
+        *[F.col(c).alias(f"_order_{c}") for c in order],     # an order column may be a cell too
         *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)).alias(c) for c in cols],
     )
-    long = as_text.unpivot(["rowkey", *order], cols, "qualifier", "value")
-    return long.select("rowkey", F.lit(family).alias("family"), "qualifier", "value", *order)
+    long = as_text.unpivot(["rowkey", *[f"_order_{c}" for c in order]], cols, "qualifier", "value")
+    return long.select("rowkey", F.lit(family).alias("family"), "qualifier", "value",
+                       *[F.col(f"_order_{c}").alias(c) for c in order])
 
 
 def merge_cells(cells: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -60,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current.isDefined():
             root = current.get()
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError(f"{CHECKPOINT_KEY} must name a shared folder on {sc.master}")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         sc.setCheckpointDir(root)
     elif not sc._jsc.sc().getCheckpointDir().isDefined():

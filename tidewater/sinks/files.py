@@ -74,6 +74,7 @@ def staged_overwrite(df: DataFrame, path: str, fmt: str = "parquet",
     """Replace the table at ``path`` with ``df``, even if ``df`` reads it.
     ``before_swap`` may add files to the complete staged folder."""
     spark = df.sparkSession
+    recover_overwrite(spark, path)       # a swap cut short by a crash comes first
     staging = _sibling(path, "staging")
     writer = df.write.mode("errorifexists").format(fmt)
     if partition_by:
@@ -124,8 +125,10 @@ SWAP_FILE = "_swap.json"
 
 
 def recover(spark: SparkSession, path: str) -> None:
-    """Finish a bucket swap at ``path`` that a crash interrupted (no-op when
-    none is pending). Each step checks what is already done."""
+    """Finish whatever swap at ``path`` a crash interrupted, of the whole table
+    or of some buckets (no-op when none is pending). Each step checks what is
+    already done."""
+    recover_overwrite(spark, path)
     marker = f"{path}/{SWAP_FILE}"
     m = _read_manifest(spark, marker)
     if m is None:
@@ -152,15 +155,16 @@ def table_buckets(spark: SparkSession, path: str, sample: DataFrame | None = Non
     """The bucket count of the keyed table at ``path``.
 
     Fixed when the table is created (an explicit ``buckets`` or sized from
-    the optimizer's estimate of ``sample``) and stored beside the data, so
+    the measured bytes of ``sample``) and stored beside the data, so
     every later batch hashes keys to the same buckets.
     """
+    recover(spark, path)
     marker = f"{path}/{BUCKETS_FILE}"
     if paths.exists(spark, marker):
         return int(paths.read_text(spark, marker).strip())
     if buckets is None:
-        from ..plans.sizing import choose_buckets, estimated_bytes
-        buckets = choose_buckets(estimated_bytes(sample)) if sample is not None else 1
+        from ..plans.sizing import choose_buckets, measured_bytes
+        buckets = choose_buckets(measured_bytes(sample)) if sample is not None else 1
     paths.write_text(spark, marker, str(int(buckets)))
     return int(buckets)
 
@@ -188,11 +192,7 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
         raise TypeError(f"{BUCKET_COL} must be an int column")
     recover(spark, path)                 # a swap cut short by a crash comes first
     n = _bucket_count(spark, path)
-    if n == 1:
-        # A one-bucket table is rewritten whole: no job to find touched
-        # buckets. An empty batch rewrites the stored rows unchanged.
-        _merge_and_swap(spark, path, batch, [0], reduce, keys, n, fmt, before_swap)
-        return [0]
+    batch = _like_stored(spark, path, batch, keys, fmt)
     # The reduced batch (one row per key) is used twice: for the touched
     # buckets and for the merge. Keep it on the executors instead of running
     # the upstream plan again; a lost block is recomputed from lineage.
@@ -206,8 +206,26 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
         batch.unpersist()
 
 
+def _like_stored(spark, path, batch, keys, fmt) -> DataFrame:
+    """``batch`` with the stored column types. A batch that lacks stored columns
+    would wipe them, and a key of another type hashes to another bucket: both
+    are refused."""
+    if not any(n.startswith(BUCKET_COL + "=") for n in paths.list_names(spark, path)):
+        return batch
+    stored = {f.name: f.dataType for f in spark.read.format(fmt).load(path).schema if f.name != BUCKET_COL}
+    missing = [c for c in stored if c not in batch.columns]
+    if missing:
+        raise ValueError(f"the batch lacks stored columns {missing} of {path}")
+    own = {f.name: f.dataType for f in batch.schema}
+    changed = [k for k in keys if k in stored and own[k] != stored[k]]
+    if changed:
+        raise TypeError(f"the key columns {changed} have another type in {path}; cast them first")
+    return batch.select(*[F.col(c).cast(stored[c]).alias(c) if c in stored and own[c] != stored[c] else F.col(c)
+                          for c in batch.columns])
+
+
 def _merge_and_swap(spark, path, batch, hit, reduce, keys, n, fmt, before_swap) -> None:
-    from ..plans.sizing import estimated_bytes
+    from ..plans.sizing import measured_bytes
     from ..plans.sizing import TARGET_BUCKET_BYTES
     stored = read_buckets(spark, path, batch.schema, hit, fmt)
     # touched share of the stored bytes (one metadata call) plus the batch
@@ -217,7 +235,7 @@ def _merge_and_swap(spark, path, batch, hit, reduce, keys, n, fmt, before_swap)
         warnings.warn(f"keyed table {path} holds {per_bucket} bytes per bucket; "
                       f"consider files.rebucket with more buckets", stacklevel=3)
     stored_bytes = per_bucket * len(hit)
-    parts = max(1, math.ceil((stored_bytes + estimated_bytes(batch)) / MERGE_PARTITION_BYTES))
+    parts = max(1, math.ceil((stored_bytes + measured_bytes(batch)) / MERGE_PARTITION_BYTES))
     both = stored.unionByName(batch).repartitionByRange(
         parts, F.col(BUCKET_COL), *[F.col(k) for k in keys])
     replace_buckets(spark, reduce(both).select(*batch.columns), path, hit, fmt, before_swap)

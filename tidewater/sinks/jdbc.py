@@ -59,8 +59,9 @@ def merge_statement(target: str, staging: str, columns: Sequence[str], keys: Seq
     on = " AND ".join(f"t.{quote(k, q)} = s.{quote(k, q)}" for k in keys)
     sets = ", ".join(f"{quote(c, q)} = s.{quote(c, q)}" for c in cols if c not in keys)
     guard = f" AND ({_newer(order, q=q)})" if order else ""
-    stmt = (f"MERGE INTO {target} t USING {staging} s ON {on} "
-            f"WHEN MATCHED{guard} THEN UPDATE SET {sets}")
+    stmt = f"MERGE INTO {target} t USING {staging} s ON {on}"
+    if sets:                             # nothing to set when every column is a key
+        stmt += f" WHEN MATCHED{guard} THEN UPDATE SET {sets}"
     if mode == "upsert":
         names = ", ".join(quote(c, q) for c in cols)
         vals = ", ".join(f"s.{quote(c, q)}" for c in cols)

@@ -20,7 +20,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .windows import TIME_FORMAT, read_window
+from .windows import read_window
 
 
 @dataclass
@@ -72,7 +72,7 @@ def scan_options(target: JdbcTarget, table: str | None = None, query: str | None
 
 
 def _bound_text(v) -> str:
-    return v.strftime(TIME_FORMAT) if isinstance(v, datetime) else str(v)
+    return v.isoformat(sep=" ") if isinstance(v, datetime) else str(v)
 
 
 def read_jdbc(spark: SparkSession, target: JdbcTarget, table: str | None = None,
@@ -116,7 +116,7 @@ def bind_window_sql(sql: str, lo: datetime, hi: datetime) -> str:
     taken from data. Whether each edge is open or closed is up to the SQL
     text; ``ts >= ? AND ts < ?`` gives the half-open windows used elsewhere.
     """
-    values = [lo.strftime(TIME_FORMAT), hi.strftime(TIME_FORMAT)]
+    values = [lo.isoformat(sep=" "), hi.isoformat(sep=" ")]
     out, quote, n = [], None, 0
     for ch in sql:
         if quote:

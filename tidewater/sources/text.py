@@ -45,7 +45,7 @@ def _field_checks(parts: Column, schema: T.StructType) -> tuple[list[Column], Co
             ok = ok & raw.rlike(_INT_PATTERN) & typed.isNotNull()
         elif isinstance(field.dataType, T.StringType):
             typed = raw
-            ok = ok & raw.isNotNull() & (F.length(raw) > 0)
+            ok = ok & raw.isNotNull()          # an empty text field is a value
         else:
             typed = raw.try_cast(field.dataType)
             ok = ok & typed.isNotNull()

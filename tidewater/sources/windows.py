@@ -2,7 +2,7 @@
 
 A window is half-open, ``lo <= t < hi``: consecutive windows neither
 overlap nor leave a gap, and a row stamped exactly at ``hi`` belongs to the
-next window. Bounds are wall-clock text ``yyyy-MM-dd HH:mm:ss`` cast to the
+next window. Bounds are wall-clock text, fractions of a second included, cast to the
 column's own type (timestamp or timestamp_ntz), so both comparisons reach
 the scan as pushed filters (parquet row-group skipping, JDBC WHERE).
 """
@@ -14,13 +14,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed import TIME_FORMAT
-
-
 
 def _bound(df: DataFrame, time_col: str, value) -> Column:
     if isinstance(value, datetime):
-        value = value.strftime(TIME_FORMAT)
+        value = value.isoformat(sep=" ")
     return F.lit(value).cast(df.schema[time_col].dataType)
 
 
@@ -47,7 +44,7 @@ def split_windows(start: datetime, end: datetime, step: timedelta) -> list[tuple
 
 
 def truncate_to_second(t: datetime) -> datetime:
-    """Window bounds are whole seconds."""
+    """A poll starts and ends on whole seconds; window bounds between may not."""
     return t.replace(microsecond=0)
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import paths
 from ..fixed import DEFAULT_INTERVAL_MS
 from ..functions.rows import is_event_object, is_nonempty, parse_event
 
@@ -56,7 +57,11 @@ def read_file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Keyed write: replace exactly partition ``batch_id=N`` of ``path``."""
+    """Keyed write: replace exactly partition ``batch_id=N`` of ``path``; an
+    empty result leaves no rows there."""
+    if df.isEmpty():
+        paths.delete(df.sparkSession, f"{path}/{BATCH_COL}={batch_id}")
+        return
     (df.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(BATCH_COL).format(fmt).save(path))
@@ -126,6 +131,19 @@ def start_delivery(stream: DataFrame, checkpoint: str,
 
 
 
+def drain(start: Callable[[], StreamingQuery]) -> int:
+    """Run a query that stops by itself again and again until a run finds no
+    input; returns the number of runs. For sources that cap a batch, such as
+    the window source with ``max_windows``: one such run ends with input left."""
+    runs = 0
+    while True:
+        query = start()
+        query.awaitTermination()
+        runs += 1
+        if not any(p["numInputRows"] for p in query.recentProgress):
+            return runs
+
+
 def upsert_batch(path: str, keys: list[str], order: list[str], buckets: int | None = None,
                  body_col: str | None = None, schema=None,
                  quarantine_path: str | None = None) -> Callable[[DataFrame, int], None]:

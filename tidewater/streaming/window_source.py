@@ -33,7 +33,8 @@ class WindowSource(DataSource):
     """Options: ``start`` (ISO time), ``step_seconds``, optional
     ``lag_seconds`` (default 0), ``end`` (ISO time: stop there; otherwise
     the current wall clock in zone ``tz``) and ``max_windows`` per batch
-    (default 1000)."""
+    (default: all complete
+    ones; with a cap, ``delivery.drain`` delivers the rest over more runs)."""
 
     @classmethod
     def name(cls) -> str:
@@ -57,7 +58,8 @@ class _WindowReader(SimpleDataSourceStreamReader):
             raise ValueError("step_seconds must be positive")
         self.lag = timedelta(seconds=float(options.get("lag_seconds", "0")))
         self.end = datetime.fromisoformat(options["end"]) if options.get("end") else None
-        self.max_windows = int(options.get("max_windows", "1000"))
+        cap = options.get("max_windows")
+        self.max_windows = int(cap) if cap else None
         self.tz = options.get("tz")
 
     def _now(self) -> datetime:
@@ -82,7 +84,8 @@ class _WindowReader(SimpleDataSourceStreamReader):
 
     def read(self, start):
         a = int(start["next"])
-        b = max(a, min(self._complete(), a + self.max_windows))
+        b = self._complete()
+        b = max(a, b if self.max_windows is None else min(b, a + self.max_windows))
         return iter(self._rows(a, b)), {"next": b}
 
     def readBetweenOffsets(self, start, end):
@@ -91,7 +94,7 @@ class _WindowReader(SimpleDataSourceStreamReader):
 
 def window_stream(spark: SparkSession, start: datetime, step: timedelta,
                   lag: timedelta = timedelta(0), end: datetime | None = None,
-                  max_windows: int = 1000) -> DataFrame:
+                  max_windows: int | None = None) -> DataFrame:
     """A stream of complete windows ``(window_id, lo, hi)``."""
     # The source runs in Spark's Python workers, which need not have this
     # package installed: ship its classes by value, not as an import path.
@@ -101,8 +104,9 @@ def window_stream(spark: SparkSession, start: datetime, step: timedelta,
               .option("start", start.isoformat())
               .option("step_seconds", str(step.total_seconds()))
               .option("lag_seconds", str(lag.total_seconds()))
-              .option("max_windows", str(max_windows))
               .option("tz", spark.conf.get("spark.sql.session.timeZone")))
+    if max_windows is not None:
+        reader = reader.option("max_windows", str(max_windows))
     if end is not None:
         reader = reader.option("end", end.isoformat())
     return reader.load()

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import paths
-from ..sources.windows import TIME_FORMAT, read_window, truncate_to_second
+from ..sources.windows import read_window, truncate_to_second
 
 CONTROL_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), False),
@@ -122,7 +122,11 @@ class StopAfterWrite(RuntimeError):
 
 
 def write_window(df: DataFrame, path: str, window_id: int, fmt: str = "parquet") -> None:
-    """Keyed delivery: replace exactly the partition ``window_id=N``."""
+    """Keyed delivery: replace exactly the partition ``window_id=N``; an empty
+    result leaves no rows there."""
+    if df.isEmpty():
+        paths.delete(df.sparkSession, f"{path}/{WINDOW_COL}={window_id}")
+        return
     (df.withColumn(WINDOW_COL, F.lit(window_id).cast("long"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(WINDOW_COL).format(fmt).save(path))
@@ -141,7 +145,7 @@ def assign_windows(table: DataFrame, time_col: str, pending: list[Window],
     rows = read_window(table, time_col, first.lo, last.hi)
     step_us = int(step / timedelta(microseconds=1))
     wall = F.col(time_col).cast("timestamp_ntz")
-    base = F.lit(first.lo.strftime(TIME_FORMAT)).cast("timestamp_ntz")
+    base = F.lit(first.lo.isoformat(sep=" ")).cast("timestamp_ntz")
     diff = F.timestamp_diff("MICROSECOND", base, wall)
     idx = F.floor(diff / F.lit(step_us)).cast("long")
     lo = F.timestamp_add("MICROSECOND", idx * F.lit(step_us), base)
@@ -202,8 +206,23 @@ def run_windows_one_by_one(spark: SparkSession, source: str, table: TableOrFacto
     return done
 
 
-def write_windows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Keyed delivery of many windows: replace exactly their partitions."""
+def write_windows(df: DataFrame, path: str, fmt: str = "parquet",
+                  windows: list[Window] | None = None) -> None:
+    """Keyed delivery of many windows: replace exactly their partitions.
+
+    Rows are arranged by window first, so the files of a window do not grow
+    with the tasks. With ``windows`` (the windows of this delivery), those
+    without rows in the new result are cleared.
+    """
+    if windows:
+        full = {r[0] for r in df.select(WINDOW_COL).distinct().collect()}   # at most one row a window
+        for w in windows:
+            if w.window_id not in full:
+                paths.delete(df.sparkSession, f"{path}/{WINDOW_COL}={w.window_id}")
+        if not full:
+            return
+    df = df.repartitionByRange(WINDOW_COL, "window_lo") if "window_lo" in df.columns \
+        else df.repartitionByRange(WINDOW_COL)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(WINDOW_COL).format(fmt).save(path))
 
