@@ -14,6 +14,7 @@ K = 5             # words of a shingle
 ELL = 3           # minima of a sketch, in text order
 SKETCHES = 20     # at similarity 0.8, a pair shares one with probability above 0.999999
 SIMILARITY = 0.8
+STARS = 2         # rounds in which a bucket is compared with one text
 
 
 def shingles(text):
@@ -136,10 +137,10 @@ def classes(docs):
     if the similarity of their five-word shingles, aligned in order, is 0.8 or
     more; a class is a connected group. Texts without words are linked to the
     same text only. Rows without doc_id are left out; repeated rows count once.
-    Candidates share one of SKETCHES Order MinHash keys. Round one compares each
-    text with the smallest of its bucket; round two compares all texts of a
-    bucket that are still in different groups, so no candidate is lost and no
-    group of copies is expanded into pairs.
+    Candidates share one of SKETCHES Order MinHash keys. The first STARS rounds
+    compare the texts of a bucket with the one of them that meets most others;
+    the last round compares all texts of a bucket that are still in different
+    groups, so no candidate is lost and groups of copies are not expanded.
     """
     spark = docs.sparkSession
     docs = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -159,11 +160,24 @@ def classes(docs):
         return one
 
     buckets = map_rows(texts, "key long, id long, n long", start)
-    hubs = buckets.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("c")).where("c > 1")
-    shared = written(spark, buckets.join(hubs, "key").select("key", "id", "n", "hub"), "buckets")
-    star = shared.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = written(spark, verify(star, texts), "links")
-    comp = components(spark, links)
+    sized = buckets.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    shared = written(spark, buckets.join(sized, "key"), "buckets")
+    # the text that meets most others is the likely origin of a group of copies
+    met = shared.groupBy("id").agg(F.sum("c").alias("d"))
+    shared = written(spark, shared.join(met, "id").select("key", "id", "n", "d"), "buckets")
+    rest, tried, links = shared.withColumn("root", F.col("id")), None, None
+    for _ in range(STARS):
+        top = F.max(F.struct("d", (-F.col("id")).alias("i"), "n", "root")).alias("h")
+        rest = rest.join(rest.groupBy("key").agg(top), "key").where("root != h.root")
+        star = rest.where(F.least("n", "h.n") >= SIMILARITY * F.greatest("n", "h.n")).select(
+            F.least("id", -F.col("h.i")).alias("a"), F.greatest("id", -F.col("h.i")).alias("b")).distinct()
+        star = written(spark, star if tried is None else star.join(tried, ["a", "b"], "left_anti"), "star")
+        found = verify(star, texts)
+        links = written(spark, found if links is None else links.unionByName(found), "links")
+        tried = star if tried is None else tried.unionByName(star)
+        comp = components(spark, links)
+        rest = rest.select("key", "id", "n", "d").join(comp, "id", "left").withColumn(
+            "root", F.coalesce("root", "id"))
     rest = shared.join(comp, "id", "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
     mixed = rest.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("key")
     rest = written(spark, rest.join(mixed, "key"), "mixed")
@@ -171,7 +185,7 @@ def classes(docs):
     left = (rest.join(other, "key").where(
         (F.col("root") != F.col("r")) & (F.col("id") < F.col("b")) &
         (F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")))
-        .select(F.col("id").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti"))
+        .select(F.col("id").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti"))
     links = links.unionByName(verify(left, texts))
     comp = components(spark, written(spark, links, "links"))
     return member.join(comp, "id", "left").select("doc_id", F.coalesce("root", "id").alias("class_id"))
