@@ -56,9 +56,9 @@ def test_decontaminate_matches_brute_force(spark):
 
 def test_pack_round_trip(spark):
     path = pack.default_path()
-    texts = EDGE + ["hello world " * 700, "<|endoftext|>"]
+    texts = EDGE + ["hello world " * 700, "<|endoftext|>", "it's  a\n\n b\t\u00a0c\u3000 7é  \n"]
     rows = pack.pack(make(spark, texts).repartition(3), path).collect()
-    t, by_doc, by_seq = pack.encoder(path), defaultdict(list), defaultdict(list)
+    t, by_doc, by_seq = pack.tokenizer(path), defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append(r)
         by_seq[r.sequence_id].append(r)

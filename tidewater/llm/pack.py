@@ -13,20 +13,43 @@ from .common import map_rows, table, written
 LENGTH = 1024
 
 
-def encoder(path):
+# Fixed value: the pattern by which byte-level BPE of this vocabulary cuts a text.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+CACHED = 400_000
+
+
+def tokenizer(path):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
     return t
 
 
+def encoder(path):
+    """Function from a text to its ids. Pieces are encoded on their own and kept
+    in a cache that is emptied at CACHED entries."""
+    import regex
+    t, cut, cache = tokenizer(path), regex.compile(PIECES), {}
+
+    def encode(text):
+        pieces = cut.findall(text)
+        new = list({p for p in pieces if p not in cache})
+        if new:
+            if len(cache) + len(new) > CACHED:
+                cache.clear()
+                new = list(set(pieces))
+            cache.update(zip(new, [e.ids for e in t.encode_batch(new, add_special_tokens=False)]))
+        return list(itertools.chain.from_iterable(map(cache.__getitem__, pieces)))
+    return encode
+
+
 def tokenise(docs, path):
     """(part, begin, doc_id, ids): begin is the count of ids before it in its part."""
     def start():
-        t, at = encoder(path), [0]
+        encode, at = encoder(path), [0]
 
         def one(row):
-            ids = np.array(t.encode(row["text"] or "", add_special_tokens=False).ids + [0], "<u4")
+            ids = np.array(encode(row["text"] or "") + [0], "<u4")
             yield (row["part"], at[0], row["doc_id"], ids.tobytes())
             at[0] += len(ids)
         return one
