@@ -29,16 +29,18 @@ def encoder(path):
     """Function from a text to its ids. Pieces are encoded on their own and kept
     in a cache that is emptied at CACHED entries."""
     import regex
-    t, cut, cache = tokenizer(path), regex.compile(PIECES), {}
+    model, cut, cache = tokenizer(path).model, regex.compile(PIECES), {}
+    # byte-level BPE writes each byte as a visible character: its own, or the next from 256 on
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    chars = {b: chr(b) for b in shown} | {
+        b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in set(shown))}
 
     def encode(text):
         pieces = cut.findall(text)
-        new = list({p for p in pieces if p not in cache})
-        if new:
-            if len(cache) + len(new) > CACHED:
-                cache.clear()
-                new = list(set(pieces))
-            cache.update(zip(new, [e.ids for e in t.encode_batch(new, add_special_tokens=False)]))
+        if len(cache) > CACHED:
+            cache.clear()
+        for p in set(pieces).difference(cache):
+            cache[p] = [x.id for x in model.tokenize(p.encode().decode("latin-1").translate(chars))]
         return list(itertools.chain.from_iterable(map(cache.__getitem__, pieces)))
     return encode
 
