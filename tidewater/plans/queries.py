@@ -270,7 +270,7 @@ def _stamped_windows(out: str):
     def deliver(df, pending):
         stamped = df.select("event_id", "value", ingest.WINDOW_COL,
                             F.date_format("window_lo", "yyyy-MM-dd HH:mm:ss").alias("window_lo"))
-        ingest.write_windows(stamped, out)
+        ingest.write_windows(stamped, out, windows=pending)
     return deliver
 
 
@@ -377,7 +377,7 @@ def ingest_to_cells(spark, sf_dir):
 
     def to_inbox(df, pending):
         body = rows.to_json_event(["user_id", "event_type", "value"]).alias("body")
-        ingest.write_windows(df.select(body, "ts", "event_id", ingest.WINDOW_COL), inbox)
+        ingest.write_windows(df.select(body, "ts", "event_id", ingest.WINDOW_COL), inbox, windows=pending)
 
     ingest.run_windows(spark, "events", ev, "ts", control, to_inbox, start,
                        hi + timedelta(seconds=1), DAY * 7)
