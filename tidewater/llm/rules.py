@@ -11,6 +11,7 @@ from .common import table
 SPACE = r"[\x20\x09-\x0D]+"
 CLASSES = {"lower": r"[a-z]", "upper": r"[A-Z]", "digit": r"[0-9]", "mark": r"[!-/:-@\[-`{-~]", "wide": r"[^\x00-\x7F]"}
 COMMON = 16          # common words a language
+MAX_LANGS = 1000     # references (under 1 KB each) that may be broadcast
 MIN_CHARS = 200      # below, the class histogram is not judged
 MIN_COMMON = 20      # fewer common words: their histogram is not judged
 MAX_CLASS = 0.25     # Jensen-Shannon distances above which a text is rejected
@@ -71,7 +72,10 @@ def quality(docs):
     refs = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("r", "word", "count"))).alias("t"))
     refs = refs.select("lang", F.col("t.word").alias("ref_words"), F.col("t.count").alias("ref_counts"))
     classes = df.groupBy("lang").agg(F.array(*[F.sum(k) for k in CLASSES]).alias("ref_classes"))
-    df = df.join(refs, "lang", "left").join(classes, "lang", "left")
+    # one short row a language: broadcast up to MAX_LANGS of them, else a shuffled join
+    few = docs.select("lang").distinct().limit(MAX_LANGS + 1).count() <= MAX_LANGS
+    side = F.broadcast if few else (lambda x: x)
+    df = df.join(side(refs), "lang", "left").join(side(classes), "lang", "left")
     df = (df.withColumn("cw", F.expr("concat(' ', array_join(filter(w, x -> array_contains(ref_words, x)), '  '), ' ')"))
           .withColumn("own_words", F.expr(
               "transform(ref_words, c -> (length(cw) - length(replace(cw, concat(' ', c, ' '), ''))) div (length(c) + 2))"))
