@@ -57,3 +57,16 @@ def map_rows(df, schema, start):
             [pa.array(c, arrow.field(n).type) for c, n in zip(cols, names)], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def keep_rows(df, columns, start):
+    """The rows of df, with all their columns, that are kept by the function that
+    start() returns (called once a task; from a dict of the named columns to a bool)."""
+    def run(batches):
+        fn = start()
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                yield part.filter(pa.array([fn(r) for r in part.select(columns).to_pylist()], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -7,7 +7,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from .common import map_rows, table, words
+from .common import keep_rows, map_rows, table, words
 
 WINDOW = 13
 ITEMS_PER_BLOCK = 20_000
@@ -64,41 +64,46 @@ def covered(spans):
     return n
 
 
-def decontaminate(docs, benchmark):
-    """One row per document: words, hit words, items, contaminated.
-
-    Null text has no words; an item without id hits but is not counted; an
-    empty benchmark hits nothing; repeated rows give repeated results. The
-    items are searched in blocks of at most ITEMS_PER_BLOCK: each block is
-    broadcast alone, and partial hits are merged per document text.
-    """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+def judge(benchmark):
+    """A function from a text to (words, hit words, item ids, contaminated). The items
+    are searched in blocks of at most ITEMS_PER_BLOCK: each block is broadcast alone,
+    and the hits of all blocks are merged for each text."""
+    sc = benchmark.sparkSession.sparkContext
     items = benchmark.select(F.col("item_id").cast("string").alias("i"), "text")
     blocks, block = [], []
     for r in items.toLocalIterator():
         block.append((r.i, r.text))
         if len(block) == ITEMS_PER_BLOCK:
-            blocks.append(spark.sparkContext.broadcast(build(block)))
+            blocks.append(sc.broadcast(build(block)))
             block = []
-    blocks.append(spark.sparkContext.broadcast(build(block)))
-
-    def start():
-        def one(row):
-            w = words(row["text"])
-            spans, found = [], set()
-            for tables in blocks:
-                s, f = search(w, tables.value)
-                spans += s
-                found |= f
-            n = covered(spans)
-            ids = sorted(x for x in found if x is not None)
-            yield (row["doc_id"], len(w), n, len(ids),
-                   hashlib.sha256(",".join(ids).encode()).hexdigest(), n > 0 and 20 * n >= len(w))
-        return one
-
-    return map_rows(docs, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
-                    "contaminated boolean", start)
+    blocks.append(sc.broadcast(build(block)))
+
+    def one(text):
+        w = words(text)
+        spans, found = [], set()
+        for tables in blocks:
+            s, f = search(w, tables.value)
+            spans += s
+            found |= f
+        n = covered(spans)
+        return len(w), n, sorted(x for x in found if x is not None), n > 0 and 20 * n >= len(w)
+    return one
+
+
+def decontaminate(docs, benchmark):
+    """One row per document: words, hit words, items, contaminated.
+
+    Null text has no words; an item without id hits but is not counted; an
+    empty benchmark hits nothing; repeated rows give repeated results.
+    """
+    judged = judge(benchmark)
+
+    def one(row):
+        n_words, n_hit, ids, bad = judged(row["text"])
+        yield row["doc_id"], n_words, n_hit, len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bad
+
+    return map_rows(docs.select("doc_id", "text"), "doc_id long, n_words long, n_hit long, n_items long, "
+                    "items_sha256 string, contaminated boolean", lambda: one)
 
 
 def op9(spark, sf_dir):
@@ -106,6 +111,6 @@ def op9(spark, sf_dir):
 
 
 def stage(spark, docs, sf_dir):
-    """Drop contaminated documents; rows without id are kept."""
-    bad = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id")
-    return docs.join(bad.distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Drop contaminated rows, in one pass over the texts."""
+    judged = judge(table(spark, sf_dir, "benchmark"))
+    return keep_rows(docs, ["text"], lambda: lambda row: not judged(row["text"])[-1])

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import map_rows, table
+from .common import keep_rows, map_rows, table, written
 
 ORDER = 4
 TRUSTED_DOCS = 20_000   # bound of the labelled sample: smallest hashes of doc_id
@@ -101,18 +101,49 @@ class Model:
 
 
 def train(docs, labels):
-    """Model of the trusted documents (quality 1): at most TRUSTED_DOCS of them,
-    so the distinct byte n-grams of that sample come to the driver."""
+    """Model of the trusted documents (quality 1): at most TRUSTED_DOCS of them, so
+    their ids may be broadcast, and the distinct byte n-grams of that sample come to
+    the driver. Returns the model (None if nothing is trusted) and the documents."""
+    spark = docs.sparkSession
     good = labels.where("quality = 1").select("doc_id").distinct()
-    good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_DOCS)
-    trusted = docs.select("doc_id", "text").join(good, "doc_id", "left_semi")
+    good = written(spark, good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_DOCS), "trusted")
+    trusted = docs.join(F.broadcast(good), "doc_id", "left_semi")
     counts = []
-    for level in lower_orders(count_grams(trusted)):
+    for level in lower_orders(written(spark, count_grams(trusted), "grams")):
         t = level.toPandas()
         counts.append((t["g"].to_numpy(np.int64), t["n"].to_numpy(np.int64)))
-    if not len(counts[0][0]):
-        return None, good
-    return Model(counts[::-1]), good
+    return (Model(counts[::-1]) if len(counts[0][0]) else None), trusted
+
+
+def judge(docs, labels):
+    """Train, and find the cuts. Returns a function that is called once a task and
+    gives one from (text, lang) to (n_bytes, log2_prob, perplexity, cut, kept)."""
+    spark = docs.sparkSession
+    docs = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"))
+    model, trusted = train(docs, labels)
+    shared = spark.sparkContext.broadcast(model)
+
+    def measure(text):
+        raw, m = (text or "").encode(), shared.value
+        n, s = m.score(raw) if m else (len(raw), 0.0)
+        return n, s, 2.0 ** (-s / n) if n else 1.0
+
+    cuts, every = {}, None
+    if model:
+        sample = map_rows(trusted, "lang string, n_bytes long, log2_prob double, perplexity double",
+                          lambda: lambda row: [(row["lang"], *measure(row["text"]))])
+        sample = written(spark, sample.where(F.col("n_bytes") >= MIN_BYTES), "sample")
+        cut = (F.percentile("perplexity", QUANTILE) * MARGIN).alias("cut")
+        cuts = {r.lang: r.cut for r in sample.groupBy("lang").agg(cut).collect()}   # one row a language
+        every = sample.agg(cut).first().cut
+
+    def start():
+        def one(text, lang):
+            n, s, perplexity = measure(text)
+            cut = cuts.get(lang or "", every)
+            return n, s, perplexity, cut, n < MIN_BYTES or cut is None or perplexity <= cut
+        return one
+    return start
 
 
 def classify(docs, labels):
@@ -123,34 +154,13 @@ def classify(docs, labels):
     document that stay under the cut of all languages, else those under the cut
     of their language. Repeated rows give repeated results.
     """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"))
-    model, good = train(docs, labels)
-    if model is None:
-        return docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-                           F.lit(0.0).alias("log2_prob"), F.lit(1.0).alias("perplexity"),
-                           F.lit(None).cast("double").alias("cut"), F.lit(True).alias("kept"))
-    shared = spark.sparkContext.broadcast(model)
+    judged = judge(docs, labels)
 
     def start():
-        m = shared.value
-
-        def one(row):
-            n, s = m.score((row["text"] or "").encode())
-            yield row["doc_id"], row["lang"], n, s, 2.0 ** (-s / n) if n else 1.0
-        return one
-
-    schema = "doc_id long, lang string, n_bytes long, log2_prob double, perplexity double"
-    scored = map_rows(docs, schema, start)
-    sample = map_rows(docs.join(good, "doc_id", "left_semi"), schema, start).where(F.col("n_bytes") >= MIN_BYTES)
-    cut = (F.percentile("perplexity", QUANTILE) * MARGIN).alias("cut")
-    cuts = {r.lang: r.cut for r in sample.groupBy("lang").agg(cut).collect()}   # one row a language
-    every = sample.agg(cut).first().cut
-    pick = F.lit(every).cast("double")
-    for lang, value in cuts.items():
-        pick = F.when(F.col("lang") == lang, value).otherwise(pick)
-    return scored.withColumn("cut", pick).withColumn(
-        "kept", (F.col("n_bytes") < MIN_BYTES) | F.col("cut").isNull() | (F.col("perplexity") <= F.col("cut"))).drop("lang")
+        one = judged()
+        return lambda row: [(row["doc_id"], *one(row["text"], row["lang"]))]
+    return map_rows(docs.select("doc_id", "text", "lang"), "doc_id long, n_bytes long, log2_prob double, "
+                    "perplexity double, cut double, kept boolean", start)
 
 
 def op4(spark, sf_dir):
@@ -158,6 +168,10 @@ def op4(spark, sf_dir):
 
 
 def stage(spark, docs, sf_dir):
-    """Keep the accepted documents; the verdict joins back by doc_id."""
-    bad = classify(docs, table(spark, sf_dir, "labels")).where("NOT kept").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """Keep the accepted rows, in one pass over the texts."""
+    judged = judge(docs, table(spark, sf_dir, "labels"))
+
+    def start():
+        one = judged()
+        return lambda row: one(row["text"], row["lang"])[-1]
+    return keep_rows(docs, ["text", "lang"], start)
