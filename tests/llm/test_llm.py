@@ -148,6 +148,22 @@ def test_order_minhash_classes(spark):
     assert got == {i: find(i) for i in range(len(texts))}
 
 
+def test_parity_bits_never_rule_out_a_similar_pair():
+    r, v = random.Random(11), vocabulary(400)
+    close = 0
+    for _ in range(300):
+        a = [r.choice(v) for _ in range(r.choice([5, 9, 60, 900]))]
+        b = [x if r.random() > r.choice([0, 0.02, 0.2]) else r.choice(v) for x in a]
+        x, y = (order_minhash.shingles(" ".join(w)) for w in (a, b))
+        bits = sum(((p ^ q) & (2 ** 64 - 1)).bit_count() for p, q in zip(order_minhash.parity(x), order_minhash.parity(y)))
+        both = len(np.intersect1d(order_minhash.labelled(x), order_minhash.labelled(y)))
+        assert bits <= len(x) + len(y) - 2 * both
+        if order_minhash.similarity(x, y) >= 0.8:
+            close += 1
+            assert 9 * bits <= len(x) + len(y)
+    assert close > 50
+
+
 def test_alignment_is_longest_common_subsequence():
     r = random.Random(7)
     for _ in range(50):

@@ -15,6 +15,7 @@ ELL = 3           # minima of a sketch, in text order
 SKETCHES = 20     # at similarity 0.8, a pair shares one with probability above 0.999999
 SIMILARITY = 0.8
 STARS = 2         # rounds in which a bucket is compared with one text
+LONGS = 16        # 64-bit words of a text's parity bits
 
 
 def shingles(text):
@@ -72,6 +73,15 @@ def sketches(s):
         yield hashlib.blake2b(x[at].tobytes() + bytes([i]), digest_size=8).digest()
 
 
+def parity(s):
+    """LONGS numbers: one bit for each remainder of the labelled shingle hashes, set
+    where an odd number of them falls. Two texts differ in at least as many shingles
+    as they differ in bits, so the bits rule out pairs without losing a similar one."""
+    at = (labelled(s) % np.uint64(64 * LONGS)).astype(np.int64)
+    odd = (np.bincount(at, minlength=64 * LONGS) & 1).astype(np.uint8)
+    return np.packbits(odd).view("<i8").tolist()
+
+
 def aligned(a, b):
     """Longest common subsequence of a and b inside the band that every alignment
     of similarity SIMILARITY keeps to; bit-parallel, one row for each shingle of b."""
@@ -139,8 +149,10 @@ def classes(docs):
     same text only. Rows without doc_id are left out; repeated rows count once.
     Candidates share one of SKETCHES Order MinHash keys. The first STARS rounds
     compare the texts of a bucket with the one of them that meets most others;
-    the last round compares all texts of a bucket that are still in different
-    groups, so no candidate is lost and groups of copies are not expanded.
+    the last round looks at all texts of a bucket that are still in different
+    groups, so no candidate is lost and groups of copies are not expanded. There
+    the pairs whose parity bits allow a similarity of 0.8 are aligned: at 0.8, at
+    most one shingle in nine of both texts is in one of them only.
     """
     spark = docs.sparkSession
     docs = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -181,12 +193,21 @@ def classes(docs):
     rest = shared.join(comp, "id", "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
     mixed = rest.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("key")
     rest = written(spark, rest.join(mixed, "key"), "mixed")
-    other = rest.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("root").alias("r"))
+
+    def sign():
+        return lambda row: [(row["id"], *parity(shingles(row["text"])))]
+
+    signs = map_rows(texts.join(rest.select("id").distinct(), "id", "left_semi"),
+                     "id long, " + ", ".join(f"s{i} long" for i in range(LONGS)), sign)
+    rest = written(spark, rest.join(signs, "id"), "signed")
+    other = rest.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("root").alias("r"),
+                        *[F.col(f"s{i}").alias(f"t{i}") for i in range(LONGS)])
+    differ = F.expr(" + ".join(f"bit_count(s{i} ^ t{i})" for i in range(LONGS)))
     left = (rest.join(other, "key").where(
         (F.col("root") != F.col("r")) & (F.col("id") < F.col("b")) &
-        (F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")))
+        (F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")) & (9 * differ <= F.col("n") + F.col("m")))
         .select(F.col("id").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti"))
-    links = links.unionByName(verify(left, texts))
+    links = links.unionByName(verify(written(spark, left, "left"), texts))
     comp = components(spark, written(spark, links, "links"))
     return member.join(comp, "id", "left").select("doc_id", F.coalesce("root", "id").alias("class_id"))
 
