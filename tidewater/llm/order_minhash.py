@@ -64,13 +64,22 @@ def labelled(s):
     return out
 
 
+SALTS = np.array([(i + 1) * 0x2545F4914F6CDD1D % 2 ** 64 for i in range(SKETCHES)], np.uint64)
+
+
 def sketches(s):
-    """SKETCHES keys: each hashes the ELL smallest labelled shingles in text order."""
+    """SKETCHES keys: each hashes the ELL smallest labelled shingles in text order.
+    Short texts take all salts in one array; long ones take them one by one."""
     x = labelled(s)
-    for i in range(SKETCHES):
-        v = mix(x ^ np.uint64((i + 1) * 0x2545F4914F6CDD1D % 2 ** 64))
-        at = np.sort(np.argpartition(v, ELL - 1)[:ELL]) if len(v) > ELL else np.arange(len(v))
-        yield hashlib.blake2b(x[at].tobytes() + bytes([i]), digest_size=8).digest()
+    step = SKETCHES if len(x) <= 4096 else 1
+    for i in range(0, SKETCHES, step):
+        if len(x) > ELL:
+            v = mix(x ^ SALTS[i:i + step, None])
+            at = np.sort(np.argpartition(v, ELL - 1, axis=1)[:, :ELL], axis=1)
+        else:
+            at = np.broadcast_to(np.arange(len(x)), (step, len(x)))
+        for k, row in enumerate(x[at], i):
+            yield hashlib.blake2b(row.tobytes() + bytes([k]), digest_size=8).digest()
 
 
 def parity(s):
