@@ -188,6 +188,34 @@ def test_repeats_find_shared_passages(spark):
     assert {d for d, _ in by} == set(range(12))
 
 
+def test_repeats_match_brute_force(spark):
+    r, v = random.Random(13), vocabulary(5000)
+    shared = [r.choice(v) for _ in range(70)]
+    texts = []
+    for i in range(24):     # every third text agrees with others around the same 32 words only
+        part = list(shared)
+        if i % 3 == 1:
+            part[10], part[55] = r.choice(v), r.choice(v)
+        elif i % 3 == 2:
+            part = part[r.randrange(12):70 - r.randrange(8)]
+        words_of = lambda n: [r.choice(v) for _ in range(n)]
+        texts.append(" ".join([*words_of(r.randrange(60)), *part, *words_of(r.randrange(60))]))
+    texts += ["a " * 130, "b c " * 60]
+    seen = defaultdict(list)
+    for i, t in enumerate(texts):
+        w = t.split()
+        for k in range(len(w) - 49):
+            seen[tuple(w[k:k + 50])].append((i, k))
+    want = {"repeat": set(), "first": set()}
+    for at in seen.values():
+        for role, places in (("repeat", at[1:]), ("first", at[:-1])):
+            want[role] |= {(i, k + d) for i, k in places for d in range(50)}
+    got = {"repeat": set(), "first": set()}
+    for x in repeats.repeats(make(spark, texts).repartition(3)).collect():
+        got[x.role] |= {(x.doc_id, k) for k in range(x.start, x.end)}
+    assert got == want
+
+
 def test_pipeline_cut_keeps_columns(spark):
     docs = make(spark, EDGE)
     out = repeats.stage(spark, docs, SF)

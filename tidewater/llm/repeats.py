@@ -31,9 +31,9 @@ def rolling(h, k):
     return mix(out)
 
 
-def minimisers(h):
-    """Places of the retained suffixes: the last smallest seed of each window of
-    GAP suffixes that still have CONTEXT words."""
+def window_minimisers(h):
+    """Place of the minimiser of each window of LENGTH words: the last smallest seed
+    of its GAP suffixes that still have CONTEXT words."""
     n = len(h) - CONTEXT + 1
     if n < GAP:
         return np.empty(0, np.int64)
@@ -43,7 +43,12 @@ def minimisers(h):
     for i in range(0, len(win), 100_000):
         w = win[i:i + 100_000]
         out.append(i + np.arange(len(w)) + GAP - 1 - np.argmin(w[:, ::-1], axis=1))
-    return np.unique(np.concatenate(out))
+    return np.concatenate(out)
+
+
+def minimisers(h):
+    """Places of the retained suffixes."""
+    return np.unique(window_minimisers(h))
 
 
 def suffixes(docs):
@@ -61,17 +66,20 @@ def suffixes(docs):
     return map_rows(docs.select("doc_id", "text"), "key long, doc_id long, pos long", start)
 
 
-def neighbours(rows):
-    """Sort the suffixes globally and compare each with the one before it.
+def in_order(rows):
+    """The suffixes sorted globally and written, with the number of their part. The
+    range partitioning includes doc_id and pos, so equal suffixes of any number
+    spread over tasks."""
+    order = ["key", "doc_id", "pos"]
+    return written(rows.sparkSession, rows.repartitionByRange(*order).sortWithinPartitions(*order)
+                   .withColumn("part", F.spark_partition_id()), "suffixes")
 
-    The range partitioning includes doc_id and pos, so equal suffixes of any
-    number spread over tasks; the last suffix of each part meets the first of
-    the next through one boundary record a part.
-    """
+
+def neighbours(rows):
+    """Compare each suffix of in_order with the one before it; the last suffix of
+    each part meets the first of the next through one boundary record a part."""
     spark = rows.sparkSession
     order = ["key", "doc_id", "pos"]
-    rows = written(spark, rows.repartitionByRange(*order).sortWithinPartitions(*order)
-                   .withColumn("part", F.spark_partition_id()), "suffixes")
     ends = rows.groupBy("part").agg(F.min(F.struct(*order)).alias("lo"), F.max(F.struct(*order)).alias("hi"))
     ends = sorted(ends.collect(), key=lambda r: r.part)   # one record a part
     cols = ["key", "doc_id", "pos", "doc_id2", "pos2"]
@@ -96,6 +104,26 @@ def neighbours(rows):
     return found.unionByName(more).drop("key")
 
 
+def crowded_windows(rows, texts):
+    """(key, doc_id, pos): hash and start of each window of LENGTH words whose
+    minimiser begins CONTEXT words that are found three times or more.
+
+    Equal windows have equal minimisers, so every repeat in such a group is among
+    them; in a group of two, the neighbours alone show it.
+    """
+    many = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 2").select("key")
+    at = rows.join(many, "key").groupBy("doc_id").agg(F.collect_list("pos").alias("at"))
+
+    def start():
+        def one(row):
+            h = word_hashes(*tokens(row["text"]))
+            starts = np.flatnonzero(np.isin(window_minimisers(h), row["at"]))
+            for k, p in zip(rolling(h, LENGTH)[starts].astype(np.int64).tolist(), starts.tolist()):
+                yield k, row["doc_id"], p
+        return one
+    return map_rows(at.join(texts, "doc_id").select("doc_id", "text", "at"), "key long, doc_id long, pos long", start)
+
+
 def extend(x, y, starts):
     """Spans (in x, in y) of at least LENGTH equal words around the pairs of places
     in starts, extended left and right along each diagonal."""
@@ -140,7 +168,8 @@ def repeats(docs):
     member = keyed.join(keyed.groupBy("h").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c")), "h")
     member = written(spark, member.select("doc_id", "rep", "c"), "copies")
     texts = docs.join(member.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi")
-    pairs = written(spark, neighbours(suffixes(texts)).groupBy("doc_id", "doc_id2").agg(
+    rows = in_order(suffixes(texts))
+    pairs = written(spark, neighbours(rows).groupBy("doc_id", "doc_id2").agg(
         F.collect_list(F.struct("pos", "pos2")).alias("at")), "pairs")
     both = (pairs.join(texts.hint("merge"), "doc_id")
             .join(texts.select(F.col("doc_id").alias("doc_id2"), F.col("text").alias("text2")).hint("merge"), "doc_id2"))
@@ -155,6 +184,12 @@ def repeats(docs):
         return one
 
     found = map_rows(both, spans, start)
+    # neighbours that differ around the context may part two places that agree
+    same = neighbours(in_order(crowded_windows(rows, texts)))
+    for doc, pos, role in (("doc_id", "pos", "repeat"), ("doc_id2", "pos2", "first")):
+        found = found.unionByName(same.select(
+            F.col(doc).alias("doc_id"), F.col(pos).alias("start"), (F.col(pos) + LENGTH).alias("end"),
+            F.lit(role).alias("role")))
     copies = docs.join(member.where("c > 1"), "doc_id").select(
         "doc_id", F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long").alias("end"),
         F.when(F.col("doc_id") == F.col("rep"), "first").otherwise("repeat").alias("role")).where(F.col("end") >= LENGTH)
