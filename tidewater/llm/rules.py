@@ -11,6 +11,7 @@ from .common import table
 SPACE = r"[\x20\x09-\x0D]+"
 CLASSES = {"lower": r"[a-z]", "upper": r"[A-Z]", "digit": r"[0-9]", "mark": r"[!-/:-@\[-`{-~]", "wide": r"[^\x00-\x7F]"}
 COMMON = 16          # common words a language
+SHARDS = 256         # parts in which the words of a language are ranked first
 MAX_LANGS = 1000     # references (under 1 KB each) that may be broadcast
 MIN_CHARS = 200      # below, the class histogram is not judged
 MIN_COMMON = 20      # fewer common words: their histogram is not judged
@@ -67,8 +68,11 @@ def quality(docs):
     freq = (docs.select(F.coalesce("lang", F.lit("")).alias("lang"), one).where("word != ''")
             .groupBy("lang", "word").count())
     # bounded: COMMON words for each language
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
-    top = freq.withColumn("r", rank).where(F.col("r") <= COMMON)
+    # first among the words of a shard, so no task sees all words of a language
+    rank = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy(F.desc("count"), "word"))
+    top = freq.withColumn("shard", F.pmod(F.xxhash64("word"), F.lit(SHARDS)))
+    top = top.withColumn("r", rank("shard")).where(F.col("r") <= COMMON)
+    top = top.withColumn("r", rank()).where(F.col("r") <= COMMON)
     refs = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("r", "word", "count"))).alias("t"))
     refs = refs.select("lang", F.col("t.word").alias("ref_words"), F.col("t.count").alias("ref_counts"))
     classes = df.groupBy("lang").agg(F.array(*[F.sum(k) for k in CLASSES]).alias("ref_classes"))
