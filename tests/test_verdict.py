@@ -13,9 +13,11 @@ from tidewater.sinks import files
 from tidewater.sinks.jdbc import merge_statement
 from tidewater.sources.text import parse_lines
 from tidewater.sources.windows import read_window
-from tidewater.streaming.delivery import drain, start_delivery, write_batch
+from tidewater.operators.groups import complete_groups
+from tidewater.streaming.completeness import completeness_batch
+from tidewater.streaming.delivery import decode_bodies, drain, start_delivery, write_batch
 from tidewater.streaming.window_source import window_stream
-from tidewater.streaming.windows import write_window
+from tidewater.streaming.windows import ControlTable, poll_windows, write_window
 
 
 def test_fractional_bounds(spark):
@@ -90,3 +92,47 @@ def test_small_operator_faults(spark):
     cells = column_cells(spark.createDataFrame([("a", 1)], "k string, ts int"), "k", ["ts"], "f", ["ts"]).collect()
     assert cells[0].qualifier == "ts" and cells[0].value == "1" and cells[0].ts == 1
     assert "UPDATE" not in merge_statement("t", "s", ["k"], ["k"], [])
+
+
+def test_strict_decode_keeps_wrong_types_and_null_keys_apart(spark):
+    bodies = ['{"k":1,"v":1.5}', '{"k":"abc","v":1.5}', '{"v":2.0}', '{"k":null}', "[1]", '[{"k":1}]', "x", "", None, "{}",
+              ' {"k":2,"v":null}']
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    dec = decode_bodies(df, "body", "k bigint, v double", "quarantine", required=["k"])
+    assert [tuple(r) for r in dec.good.select("event.*").orderBy("k").collect()] == [(1, 1.5), (2, None)]
+    assert {r.body for r in dec.bad.collect()} == {b for b in bodies[1:8] if b} | {"{}"}
+    with pytest.raises(Exception, match="undecodable"):
+        decode_bodies(df, "body", "k bigint, v double").good.collect()
+
+
+def test_update_keeps_columns_it_does_not_name(spark, scratch):
+    path = scratch("partial")
+    full = spark.createDataFrame([(i, 1, "v", "w") for i in range(10)], "k int, o int, v string, w string")
+    upsert_table(spark, path, full, ["k"], ["o"], 3)
+    some = spark.createDataFrame([(1, 2, "new"), (1, 3, "newer"), (2, 0, "old"), (99, 2, "none")], "k int, o int, v string")
+    upsert_table(spark, path, some, ["k"], ["o"], mode="update")
+    got = {r.k: (r.o, r.v, r.w) for r in spark.read.parquet(path).collect()}
+    assert len(got) == 10 and got[1] == (3, "newer", "w") and got[2] == (1, "v", "w")
+
+
+def test_poll_backs_off_logs_and_gives_up(spark, scratch, caplog):
+    slept = []
+
+    def broken(rows, pending):
+        raise OSError("sink is down")
+    t0 = datetime(2024, 1, 1)
+    df = spark.range(1).select(F.lit(t0).cast("timestamp_ntz").alias("t"))
+    with pytest.raises(OSError):
+        poll_windows(spark, "s", df, "t", ControlTable(spark, scratch("mark")), broken, t0, timedelta(hours=1), 1000,
+                     now=lambda: t0 + timedelta(hours=1), sleep=slept.append, max_failures=4)
+    assert slept == [1.0, 2.0] and "sink is down" in caplog.text
+
+
+def test_completeness_takes_any_number_of_names(spark, scratch):
+    names = [f"n{i}" for i in range(130)]
+    df = spark.createDataFrame([("a", n) for n in names] + [("b", n) for n in names[:-1]], "g string, m string")
+    assert [r.g for r in complete_groups(df, "g", "m", names).collect()] == ["a"]
+    fn = completeness_batch(scratch("state"), out := scratch("out"), "g", "m", names, buckets=2)
+    fn(df.where("m <> 'n7'"), 0)
+    fn(df.where("m = 'n7'"), 1)
+    assert [r.g for r in spark.read.parquet(out).collect()] == ["a"]

@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..fixed import NULL_TEXT
 
@@ -83,13 +84,30 @@ def is_nonempty(body: ColumnOrName) -> Column:
     return b.isNotNull() & (F.length(b) > 0)
 
 
-def is_event_object(body: ColumnOrName) -> Column:
-    """The body is a JSON object (``{}`` included).
+MALFORMED = "_malformed"
 
-    Checked apart from decoding: with a struct schema ``from_json`` turns
-    undecodable text into a struct of nulls, not into null.
+
+def strict_event(body: ColumnOrName, schema=None, required: Sequence[str] = ()) -> Column:
+    """The decoded event, or null where the body is not a JSON object, a field
+    does not have its type in ``schema``, or a ``required`` field is null.
+
+    One parse: with a struct schema the parser itself keeps the text of a
+    malformed record in a column of its own.
     """
-    return F.json_object_keys(_col(body)).isNotNull()
+    body = _col(body)
+    ok = body.rlike(r"^\s*\{")
+    if schema is None:
+        event = parse_event(body)
+        ok = ok & event.isNotNull()
+    else:
+        fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        marked = T.StructType([*fields.fields, T.StructField(MALFORMED, T.StringType())])
+        parsed = F.from_json(body, marked, {"columnNameOfCorruptRecord": MALFORMED})
+        ok = ok & parsed[MALFORMED].isNull()
+        event = parsed.dropFields(MALFORMED)
+    for name in required:
+        ok = ok & event.getItem(name).isNotNull()
+    return F.when(ok, event)
 
 
 # --- P8 / P9: named fields to positional parameters ---------------------------

@@ -5,7 +5,7 @@ matched by name (never by position).
 
 X2 ``group_completeness``: a group is complete when every required member
 name occurs among its members. Implemented as one aggregation whose state
-is a single bit mask per group, so map-side partial aggregation collapses
+is a bit mask per group (one long for each 62 names), so map-side partial aggregation collapses
 any hot group to one row per task before the shuffle; no member list is
 ever materialised per group.
 """
@@ -17,8 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Required sets up to this size use one 64-bit mask; larger ones fall back to
-# counting distinct required members (still partial-aggregated, no lists).
+# Required names per long mask; a larger set takes several masks.
 MASK_BITS = 62
 
 
@@ -47,6 +46,8 @@ def intersect_by_name(left: DataFrame, right: DataFrame,
 
 
 def _member_bit(member: Column, required: Sequence[str]) -> Column:
+    if not required:
+        return F.lit(0).cast("long")
     pos = F.array_position(F.array(*[F.lit(r) for r in required]), member)
     one = F.lit(1).cast("long")
     return F.when(pos > 0, F.call_function("shiftleft", one, (pos - 1).cast("int"))) \
@@ -74,15 +75,7 @@ def group_completeness(df: DataFrame, group: str | Sequence[str], member: str,
     req = list(dict.fromkeys(required))
     if not req:
         return df.groupBy(*keys).agg(F.lit(True).alias("complete"))
-    if len(req) <= MASK_BITS:
-        bits = df.select(*keys, _member_bit(F.col(member), req).alias("_bit"))
-        return (bits.groupBy(*keys)
-                .agg(F.bit_or("_bit").alias("_mask"))
-                .select(*keys, (F.col("_mask") == F.lit(full_mask(len(req)))).alias("complete")))
-    hits = df.select(*keys, F.when(F.col(member).isin(req), F.col(member)).alias("_m"))
-    return (hits.groupBy(*keys)
-            .agg(F.count_distinct("_m").alias("_n"))
-            .select(*keys, (F.col("_n") == F.lit(len(req))).alias("complete")))
+    return _masks(df, keys, member, req).select(*keys, is_full(len(req)).alias("complete"))
 
 
 def complete_groups(df: DataFrame, group: str | Sequence[str], member: str,
@@ -93,9 +86,25 @@ def complete_groups(df: DataFrame, group: str | Sequence[str], member: str,
 
 
 def member_mask(df: DataFrame, group: str, member: str, required: Sequence[str]) -> DataFrame:
-    """Partial state for incremental completeness: ``(group, mask)``."""
-    req = list(dict.fromkeys(required))
-    if len(req) > MASK_BITS:
-        raise ValueError(f"incremental completeness supports up to {MASK_BITS} required names")
-    return (df.select(F.col(group), _member_bit(F.col(member), req).alias("_bit"))
-            .groupBy(group).agg(F.bit_or("_bit").alias("mask")))
+    """Partial state for incremental completeness: ``(group, *mask_columns)``."""
+    return _masks(df, [group], member, list(dict.fromkeys(required)))
+
+
+def _masks(df: DataFrame, keys: list[str], member: str, req: list[str]) -> DataFrame:
+    names = mask_columns(len(req))
+    bits = [_member_bit(F.col(member), req[i * MASK_BITS:(i + 1) * MASK_BITS]).alias(n)
+            for i, n in enumerate(names)]
+    return df.select(*keys, *bits).groupBy(*keys).agg(*[F.bit_or(n).alias(n) for n in names])
+
+
+def mask_columns(n: int) -> list[str]:
+    """Names of the mask columns of ``n`` required names (at least one)."""
+    return ["mask", *[f"mask{i}" for i in range(1, -(-n // MASK_BITS))]]
+
+
+def is_full(n: int) -> Column:
+    """All ``n`` required names are in the masks."""
+    full = F.lit(True)
+    for i, name in enumerate(mask_columns(n)):
+        full = full & (F.col(name) == F.lit(full_mask(min(MASK_BITS, n - i * MASK_BITS))).cast("long"))
+    return full

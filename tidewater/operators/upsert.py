@@ -47,10 +47,12 @@ def _has_rows(spark: SparkSession, path: str) -> bool:
 
 def update_existing(spark: SparkSession, path: str, updates: DataFrame,
                     keys: Sequence[str]) -> DataFrame:
-    """The rows of ``updates`` whose key is already stored at ``path``:
-    a left-semi join against the stored key columns only (column-pruned)."""
-    stored_keys = spark.read.parquet(path).select(*keys).distinct()
-    return updates.join(stored_keys, list(keys), "left_semi")
+    """The rows of ``updates`` (one per key) whose key is already stored at
+    ``path``, with the stored values of the columns they do not name: a join
+    that reads the key and those columns only. A stored key is unique."""
+    stored = spark.read.parquet(path)
+    unnamed = [c for c in stored.columns if c not in updates.columns and c != files.BUCKET_COL]
+    return updates.join(stored.select(*keys, *unnamed), list(keys))
 
 
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
@@ -60,14 +62,15 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Seque
     Rows are hash-bucketed on the key; only buckets present in the batch are
     read, merged and swapped in. A replayed batch yields the same buckets.
     The bucket count is fixed at creation (``buckets`` or sized from the
-    first batch's estimate). ``mode='update'`` changes existing keys only.
+    first batch's measured bytes). ``mode='update'`` changes existing keys
+    only; columns that ``updates`` does not name keep their stored values.
     """
     keys, order = list(keys), list(order)
     if mode == "update":
         files.recover(spark, path)
         if not _has_rows(spark, path):
             return                       # nothing stored: nothing to update
-        updates = update_existing(spark, path, updates, keys)
+        updates = update_existing(spark, path, latest_per_key(updates, keys, order), keys)
     elif mode != "upsert":
         raise ValueError("file tables support update or upsert; use an append for insert")
     bkeys = keys + [files.BUCKET_COL]

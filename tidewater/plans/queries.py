@@ -243,11 +243,23 @@ def keyed_upsert(spark, sf_dir):
     order = ["ts", "event_id"]
     base = windows.read_until(ev, "ts", HALF_SPLIT)
     updates = windows.read_since(ev, "ts", HALF_SPLIT)
-    upsert.upsert_table(spark, path, upsert.latest_per_key(base, ["user_id"], order), ["user_id"], order)
+    upsert.upsert_table(spark, path, base, ["user_id"], order)
     upsert.upsert_table(spark, path, updates, ["user_id"], order)
     return spark.read.parquet(path).select("user_id", "event_id", "event_type", "value")
 
 
+def partial_update(spark, sf_dir):
+    """An update that names some columns: existing keys change, new keys are
+    not added, and the column it does not name (``event_type``) stays."""
+    ev = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    path = session.scratch_path(spark, "partial_update")
+    order = ["ts", "event_id"]
+    upsert.upsert_table(spark, path, windows.read_until(ev, "ts", HALF_SPLIT), ["user_id"], order)
+    updates = windows.read_since(ev, "ts", HALF_SPLIT).drop("event_type")
+    upsert.upsert_table(spark, path, updates, ["user_id"], order, mode="update")
+    return spark.read.parquet(path).select("user_id", "event_id", "event_type", "value")
+
+
 # --- K2 K6 -------------------------------------------------------------------
 
 def staged_overwrite(spark, sf_dir):
@@ -263,6 +275,7 @@ def staged_overwrite(spark, sf_dir):
 # --- S3 S5 T1 ----------------------------------------------------------------
 
 DAY = timedelta(days=1)
+WINDOWS_PER_BATCH = 10
 
 
 def _stamped_windows(out: str):
@@ -313,8 +326,9 @@ def window_stream(spark, sf_dir):
 
     fn = window_source.windows_batch(ev, "ts", DAY, deliver)
     for i, poll_end in enumerate((mid, end, end)):
-        stream = window_source.window_stream(spark, start, DAY, end=poll_end)
-        delivery.start_delivery(stream, ckpt, fn).awaitTermination()
+        # fewer windows a batch than are pending: drained over several batches
+        delivery.drain(lambda: delivery.start_delivery(window_source.window_stream(
+            spark, start, DAY, end=poll_end, max_windows=WINDOWS_PER_BATCH), ckpt, fn))
         if i == 1:
             _drop_last_commit(spark, ckpt)       # the third run replays the last batch
     return spark.read.parquet(out).select("event_id", "value", "window_lo")
@@ -332,8 +346,9 @@ def _drop_last_commit(spark, checkpoint):
 
 def _stream_with_replay(spark, src, schema, ckpt, batch_fn):
     """Drain the folder ``src`` one file per batch, lose the last batch's
-    acknowledgement, and run again: the second run replays that batch."""
-    for i in range(2):
+    acknowledgement, and run again: the second run replays that batch, the
+    third finds no new file and changes nothing."""
+    for i in range(3):
         stream = delivery.read_file_stream(spark, src, schema, max_files_per_trigger=1)
         delivery.start_delivery(stream, ckpt, batch_fn).awaitTermination()
         if i == 0:
@@ -395,23 +410,77 @@ def ingest_to_cells(spark, sf_dir):
 
 # --- T3 ----------------------------------------------------------------------
 
+MIXED_SCHEMA = "event_id bigint, value double"
+
+
 def _mixed_bodies(spark, sf_dir):
-    """Events as JSON bodies mixed with prose bodies that are not JSON."""
-    ev = load(spark, sf_dir, "events").select(rows.to_json_event(["event_id", "value"]).alias("body"))
+    """Events as JSON bodies, mixed with bodies that are not JSON (prose), that
+    hold a text where a number belongs, and that lack the key."""
+    ev = load(spark, sf_dir, "events")
+    good = ev.select(rows.to_json_event(["event_id", "value"]).alias("body"))
+    typed = ev.select(F.concat(F.lit('{"event_id":"x'), "event_id", F.lit('","value":1.5}')).alias("body"))
+    keyless = ev.select(F.concat(F.lit('{"event_id":null,"user":'), "user_id", F.lit("}")).alias("body"))
     docs = load(spark, sf_dir, "documents").select(F.col("text").alias("body"))
-    return ev.unionByName(docs)
+    return good.unionByName(typed).unionByName(keyless).unionByName(docs)
+
+
+def _mixed_decoded(spark, sf_dir):
+    return delivery.decode_bodies(_mixed_bodies(spark, sf_dir), "body", MIXED_SCHEMA,
+                                  on_bad=delivery.ON_BAD_QUARANTINE, required=["event_id"])
 
 
 def quarantine(spark, sf_dir):
-    dec = delivery.decode_bodies(_mixed_bodies(spark, sf_dir), "body",
-                                 "event_id bigint, value double", on_bad=delivery.ON_BAD_QUARANTINE)
-    return dec.good.select("event.event_id", "event.value")
+    return _mixed_decoded(spark, sf_dir).good.select("event.event_id", "event.value")
 
 
 def quarantined(spark, sf_dir):
-    dec = delivery.decode_bodies(_mixed_bodies(spark, sf_dir), "body",
-                                 on_bad=delivery.ON_BAD_QUARANTINE)
-    return dec.bad.select(F.sha2("body", 256).alias("body_sha"), F.length("body").alias("body_len"))
+    return _mixed_decoded(spark, sf_dir).bad.select(
+        F.sha2("body", 256).alias("body_sha"), F.length("body").alias("body_len"))
+
+
+def stream_quarantine(spark, sf_dir):
+    """Decode, bind and insert in a stream; failing events are kept apart."""
+    root = session.scratch_path(spark, "quarantine_stream")
+    src, out, bad, ckpt = f"{root}/in", f"{root}/out", f"{root}/bad", f"{root}/checkpoint"
+    source_files.stage_files(_mixed_bodies(spark, sf_dir), src)
+    names = rows.split_param_names("event_id,value")
+    fn = delivery.delivery_batch(out, lambda good: good.select(*rows.bind_params("event", names)),
+                                 quarantine_path=bad, body_col="body", schema=MIXED_SCHEMA,
+                                 required=["event_id"])
+    _stream_with_replay(spark, src, "body string", ckpt, fn)
+    good = spark.read.parquet(out).select("p1", "p2", F.lit(None).cast("string").alias("body_sha"))
+    return good.unionByName(spark.read.parquet(bad).select(
+        F.lit(None).cast("bigint").alias("p1"), F.lit(None).cast("double").alias("p2"),
+        F.sha2("body", 256).alias("body_sha")))
+
+
+# --- P9 P10 K4: text parameters, reversed key, keyed table --------------------
+
+def param_upsert(spark, sf_dir):
+    """JSON stream bound as text, the key reversed, merged by that key."""
+    ev = load(spark, sf_dir, "events")
+    root = session.scratch_path(spark, "param_upsert")
+    src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
+    body = rows.to_json_event(["user_id", "event_type", "value"]).alias("body")
+    source_files.stage_files(ev.select(body, "ts", "event_id"), src)
+    names = rows.split_param_names("user_id,event_type,value,missing")
+    bound = rows.bind_params("event", names, as_text=True, prefix="t", reverse_field="user_id")
+    fn = delivery.upsert_batch(out, ["t1"], ["ts", "event_id"], body_col="body",
+                               columns=[*bound, "ts", "event_id"])
+    _stream_with_replay(spark, src, EVENT_SCHEMA, ckpt, fn)
+    return spark.read.parquet(out).select("t1", "t2", "t3", "t4", "event_id")
+
+
+# --- T1 T2: a replay without rows ----------------------------------------------
+
+def replay_empty(spark, sf_dir):
+    """Batches keyed by id; the replay of one has no rows, so none of it stays."""
+    ev = load(spark, sf_dir, "events").select("event_id", "value")
+    out = session.scratch_path(spark, "replay_empty")
+    for batch_id in range(4):
+        delivery.write_batch(ev.where(F.col("event_id") % 4 == batch_id), out, batch_id)
+    delivery.write_batch(ev.where("false"), out, 2)
+    return spark.read.parquet(out).select("event_id", "value")
 
 
 # --- X2 stream form -----------------------------------------------------------
@@ -457,10 +526,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine": quarantine,
     "quarantined": quarantined,
     "stream_complete": stream_complete,
+    "partial_update": partial_update,
+    "stream_quarantine": stream_quarantine,
+    "param_upsert": param_upsert,
+    "replay_empty": replay_empty,
 }
 
 
 _TS_SPLIT = "TIMESTAMP '2024-01-16 00:00:00'"
+_BAD_BODIES = ("SELECT text AS body FROM documents UNION ALL "
+               "SELECT '{\"event_id\":\"x' || event_id || '\",\"value\":1.5}' FROM events UNION ALL "
+               "SELECT '{\"event_id\":null,\"user\":' || user_id || '}' FROM events")
+_LATEST = "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
 
 ORACLE_SQL: dict[str, str] = {
     "band_filter": BAND_SQL.format(view="part"),
@@ -526,7 +603,22 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT user_id, event_id, event_type, value FROM events "
         "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"),
     "quarantine": "SELECT event_id, value FROM events",
-    "quarantined": "SELECT sha256(text) AS body_sha, CAST(length(text) AS INTEGER) AS body_len FROM documents",
+    "quarantined": (
+        f"SELECT sha256(body) AS body_sha, CAST(length(body) AS INTEGER) AS body_len FROM ({_BAD_BODIES}) "
+        "WHERE length(body) > 0"),
+    "stream_quarantine": (
+        "SELECT event_id AS p1, value AS p2, CAST(NULL AS VARCHAR) AS body_sha FROM events UNION ALL "
+        f"SELECT NULL, NULL, sha256(body) FROM ({_BAD_BODIES}) WHERE length(body) > 0"),
+    "partial_update": (
+        f"WITH b AS (SELECT * FROM events WHERE ts < {_TS_SPLIT} {_LATEST}), "
+        f"u AS (SELECT * FROM events WHERE ts >= {_TS_SPLIT} {_LATEST}) "
+        "SELECT b.user_id, coalesce(u.event_id, b.event_id) AS event_id, b.event_type, "
+        "CASE WHEN u.user_id IS NULL THEN b.value ELSE u.value END AS value "
+        "FROM b LEFT JOIN u ON b.user_id = u.user_id"),
+    "param_upsert": (
+        "SELECT reverse(CAST(user_id AS VARCHAR)) AS t1, event_type AS t2, CAST(value AS VARCHAR) AS t3, "
+        f"'null' AS t4, event_id FROM events {_LATEST}"),
+    "replay_empty": "SELECT event_id, value FROM events WHERE event_id % 4 <> 2",
     "stream_complete": (
         "SELECT l_orderkey FROM lineitem WHERE l_returnflag IN ('A', 'R') "
         "GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag) = 2"),

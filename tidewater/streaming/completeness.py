@@ -2,7 +2,7 @@
 members first cover the required set (X2, stream form).
 
 State is a keyed file table ``(group, mask, completed_batch, bucket)``
-holding one 64-bit member mask per group. Per micro-batch:
+holding the member mask of each group (a long for each 62 names). Per micro-batch:
 
 1. the batch is reduced to ``(group, bit_or(member bits))`` with map-side
    partial aggregation (a hot group costs one row per task);
@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.groups import full_mask, member_mask
+from ..operators.groups import is_full, mask_columns, member_mask
 from ..sinks import files
 from .delivery import write_batch
 
@@ -33,7 +33,7 @@ def completeness_batch(state_path: str, out_path: str, group: str, member: str,
                        required: Sequence[str], buckets: int = 16):
     """``foreachBatch`` function maintaining completeness state."""
     req = list(dict.fromkeys(required))
-    full = full_mask(len(req))
+    masked = mask_columns(len(req))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
@@ -46,10 +46,10 @@ def completeness_batch(state_path: str, out_path: str, group: str, member: str,
 
         def reduce(both: DataFrame) -> DataFrame:
             agg = both.groupBy(group, files.BUCKET_COL).agg(
-                F.bit_or("mask").alias("mask"),
+                *[F.bit_or(m).alias(m) for m in masked],
                 F.min("completed_batch").alias("_prev"))
-            done = F.when(F.col("mask") == F.lit(full), F.lit(batch_id).cast("long"))
-            return agg.select(group, "mask",
+            done = F.when(is_full(len(req)), F.lit(batch_id).cast("long"))
+            return agg.select(group, *masked,
                               F.coalesce(F.col("_prev"), done).alias("completed_batch"),
                               files.BUCKET_COL)
 

@@ -15,16 +15,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import paths
 from ..fixed import DEFAULT_INTERVAL_MS
-from ..functions.rows import is_event_object, is_nonempty, parse_event
+from ..functions.rows import is_nonempty, strict_event
 
 BATCH_COL = "batch_id"
 ON_BAD_FAIL = "fail"
@@ -71,46 +73,65 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -
 class Decoded:
     good: DataFrame
     bad: DataFrame | None
+    rows: DataFrame      # both, to persist before good and bad are written
 
 
 def decode_bodies(df: DataFrame, body_col: str = "body", schema=None,
-                  on_bad: str = ON_BAD_FAIL, event_col: str = "event") -> Decoded:
+                  on_bad: str = ON_BAD_FAIL, event_col: str = "event",
+                  required: Sequence[str] = ()) -> Decoded:
     """P6 + P7 + T3 on a batch: skip empty bodies, decode the rest.
 
-    Good rows carry the decoded ``event_col`` next to the input columns.
-    With ``on_bad='fail'`` a non-empty body that is not a JSON object fails
-    the task; with ``'quarantine'`` such rows are returned in ``bad``.
+    Good rows carry the decoded ``event_col`` next to the input columns. A
+    non-empty body is bad if it is not a JSON object, if a field does not
+    have its type in ``schema``, or if a ``required`` field (a key) is null.
+    With ``on_bad='fail'`` a bad body fails the task; with ``'quarantine'``
+    such rows are returned in ``bad``.
     """
+    event = strict_event(body_col, schema, required)
     present = df.filter(is_nonempty(body_col))
-    ok = is_event_object(body_col)
     if on_bad == ON_BAD_FAIL:
         failed = F.raise_error(F.concat(F.lit("undecodable event body: "),
                                         F.substring(F.col(body_col), 1, 200)))
-        event = F.when(ok, parse_event(body_col, schema)).otherwise(failed)
-        return Decoded(present.withColumn(event_col, event), None)
+        good = present.withColumn(event_col, F.coalesce(event, failed))
+        return Decoded(good, None, good)
     if on_bad != ON_BAD_QUARANTINE:
         raise ValueError("on_bad must be 'fail' or 'quarantine'")
-    flagged = present.withColumn("_ok", ok)
-    good = flagged.filter(F.col("_ok")).drop("_ok").withColumn(event_col, parse_event(body_col, schema))
-    return Decoded(good, flagged.filter(~F.col("_ok")).drop("_ok"))
+    both = present.withColumn(event_col, event)
+    return Decoded(both.filter(F.col(event_col).isNotNull()),
+                   both.filter(F.col(event_col).isNull()).drop(event_col), both)
+
+
+@contextmanager
+def _decoded(batch: DataFrame, batch_id: int, body_col: str, schema,
+             quarantine_path: str | None, required: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """The good rows of a micro-batch; its bad rows go to ``quarantine_path``.
+    The batch is decoded once for both outputs."""
+    if quarantine_path is None:
+        yield decode_bodies(batch, body_col, schema, ON_BAD_FAIL, required=required).good
+        return
+    dec = decode_bodies(batch, body_col, schema, ON_BAD_QUARANTINE, required=required)
+    dec.rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_batch(dec.bad, quarantine_path, batch_id)
+        yield dec.good
+    finally:
+        dec.rows.unpersist()
 
 
 def delivery_batch(out_path: str, transform: Callable[[DataFrame], DataFrame] | None = None,
                    quarantine_path: str | None = None, body_col: str | None = None,
-                   schema=None) -> Callable[[DataFrame, int], None]:
+                   schema=None, required: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: decode (optional), transform, keyed write."""
 
+    def deliver(df: DataFrame, batch_id: int) -> None:
+        write_batch(transform(df) if transform is not None else df, out_path, batch_id)
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        df = batch
-        if body_col is not None:
-            mode = ON_BAD_QUARANTINE if quarantine_path else ON_BAD_FAIL
-            dec = decode_bodies(df, body_col, schema, mode)
-            if dec.bad is not None:
-                write_batch(dec.bad, quarantine_path, batch_id)
-            df = dec.good
-        if transform is not None:
-            df = transform(df)
-        write_batch(df, out_path, batch_id)
+        if body_col is None:
+            deliver(batch, batch_id)
+            return
+        with _decoded(batch, batch_id, body_col, schema, quarantine_path, required) as good:
+            deliver(good, batch_id)
 
     return run
 
@@ -146,27 +167,32 @@ def drain(start: Callable[[], StreamingQuery]) -> int:
 
 def upsert_batch(path: str, keys: list[str], order: list[str], buckets: int | None = None,
                  body_col: str | None = None, schema=None,
-                 quarantine_path: str | None = None) -> Callable[[DataFrame, int], None]:
+                 quarantine_path: str | None = None,
+                 columns: Sequence[Column | str] | None = None,
+                 required: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function for K4 in a stream: merge each micro-batch
     into the keyed file table at ``path``. Replays are harmless: the merge
     keeps the greatest order tuple per key.
 
     With ``body_col`` the batch holds JSON bodies: empty ones are skipped,
-    the rest decoded with ``schema`` (a struct whose fields become the
-    table's columns); undecodable bodies fail the batch or, with
-    ``quarantine_path``, are written there keyed by batch id.
+    the rest decoded with ``schema``; ``columns`` of the decoded batch become
+    the table's columns (default: the fields of the event; parameters bound
+    by ``rows.bind_params`` are the other use). Bad bodies, and those whose
+    ``required`` fields are null (default: the keys that are event fields),
+    fail the batch or, with ``quarantine_path``, are written there keyed by
+    batch id.
     """
     from ..operators.upsert import upsert_table
+    if required is None:
+        required = keys if columns is None else ()
+    columns = ["event.*"] if columns is None else columns
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        df = batch
-        if body_col is not None:
-            mode = ON_BAD_QUARANTINE if quarantine_path else ON_BAD_FAIL
-            dec = decode_bodies(df, body_col, schema, mode)
-            if dec.bad is not None:
-                write_batch(dec.bad, quarantine_path, batch_id)
-            df = dec.good.select("event.*")
-        upsert_table(df.sparkSession, path, df, keys, order, buckets)
+        if body_col is None:
+            upsert_table(batch.sparkSession, path, batch, keys, order, buckets)
+            return
+        with _decoded(batch, batch_id, body_col, schema, quarantine_path, required) as good:
+            upsert_table(good.sparkSession, path, good.select(*columns), keys, order, buckets)
 
     return run
 

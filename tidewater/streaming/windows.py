@@ -18,11 +18,14 @@ folded into one file once there are many.
 
 from __future__ import annotations
 
+import logging
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +42,8 @@ CONTROL_SCHEMA = T.StructType([
 
 WINDOW_COL = "window_id"
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Window:
@@ -234,26 +239,37 @@ def poll_windows(spark: SparkSession, source: str, table: TableOrFactory, time_c
                  now: Callable[[], datetime] = datetime.now,
                  sleep: Callable[[float], None] | None = None,
                  on_error: Callable[[Exception], None] | None = None,
-                 max_windows: int | None = None) -> int:
+                 max_windows: int | None = None, max_failures: int = 10) -> int:
     """The polling loop (S4 around T1): deliver what is pending, then wait.
 
-    A successful poll is followed by ``interval_ms`` of sleep; a failed one
-    is retried at once (the mark did not move, so the next poll covers the
-    failed windows again). Each poll is one batch job; nothing loops over
-    rows on the driver. ``now`` gives wall-clock time in the session zone.
-    Returns the number of polls run (``max_polls`` bounds it, for tests).
+    A successful poll is followed by ``interval_ms`` of sleep. A failed one
+    is logged and tried again at once, then after 1, 2, 4 ... seconds, at most
+    a minute (the mark did not move, so the next poll covers the failed windows
+    again). ``max_failures`` failures in a row, or an error in the query
+    itself, end the loop with that error. Each poll is one batch job; nothing
+    loops over rows on the driver. ``now`` gives wall-clock time in the
+    session zone. Returns the number of polls run (``max_polls`` bounds it,
+    for tests).
     """
-    import time
     sleep = sleep or time.sleep
-    polls = 0
+    polls = failures = 0
     while max_polls is None or polls < max_polls:
         polls += 1
         try:
             run_windows(spark, source, table, time_col, control, deliver, start, now(), step, lag,
                         max_windows=max_windows)
+        except AnalysisException:       # would fail in the same way again
+            raise
         except Exception as e:  # noqa: BLE001 - a failed poll is retried
+            failures += 1
+            log.warning("poll of %s failed (%d in a row): %s", source, failures, e)
             if on_error is not None:
                 on_error(e)
+            if failures >= max_failures:
+                raise
+            if failures > 1:
+                sleep(min(60.0, 2.0 ** (failures - 2)))
             continue
+        failures = 0
         sleep(interval_ms / 1000.0)
     return polls
