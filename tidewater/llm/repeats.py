@@ -13,6 +13,7 @@ LENGTH = 50     # words of the shortest repeat
 CONTEXT = 32    # first words of a suffix that order it
 GAP = LENGTH - CONTEXT + 1      # every window of GAP suffixes holds a minimiser
 SEED = 8        # words whose hash selects minimisers
+POWERS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 2 ** 64) for i in range(GAP - 1 + LENGTH)], np.uint64)
 
 
 def tokens(text):
@@ -52,7 +53,8 @@ def minimisers(h):
 
 
 def suffixes(docs):
-    """(key, doc_id, pos): hash of the first CONTEXT words of each retained suffix."""
+    """(key, doc_id, pos, around): hash of the first CONTEXT words of each retained
+    suffix, and of all words that its windows of LENGTH words can hold."""
     def start():
         def one(row):
             raw, spans = tokens(row["text"])
@@ -60,10 +62,17 @@ def suffixes(docs):
                 return
             h = word_hashes(raw, spans)
             at = minimisers(h)
-            for k, p in zip(rolling(h, CONTEXT)[at].astype(np.int64).tolist(), at.tolist()):
-                yield k, row["doc_id"], p
+            for k, p, a in zip(rolling(h, CONTEXT)[at].astype(np.int64).tolist(), at.tolist(), around(h, at).tolist()):
+                yield k, row["doc_id"], p, a
         return one
-    return map_rows(docs.select("doc_id", "text"), "key long, doc_id long, pos long", start)
+    return map_rows(docs.select("doc_id", "text"), "key long, doc_id long, pos long, around long", start)
+
+
+def around(h, at):
+    """Hash of the words from GAP - 1 before to LENGTH after each place; beyond the
+    text they count as 0, so a place near its ends differs from one inside."""
+    padded = np.concatenate([np.zeros(GAP - 1, np.uint64), h, np.zeros(LENGTH, np.uint64)])
+    return (padded[at[:, None] + np.arange(len(POWERS))] * POWERS).sum(axis=1, dtype=np.uint64).astype(np.int64)
 
 
 def in_order(rows):
@@ -89,7 +98,7 @@ def neighbours(rows):
     def run(batches):
         last = None
         for b in batches:
-            k, d, p, part = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            k, d, p, part = (b.column(c).to_numpy(zero_copy_only=False) for c in (*order, "part"))
             if last is not None:
                 k, d, p, part = (np.append(x, y) for x, y in zip(last, (k, d, p, part)))
             i = np.flatnonzero((k[1:] == k[:-1]) & (part[1:] == part[:-1]))
@@ -98,7 +107,7 @@ def neighbours(rows):
             last = k[-1], d[-1], p[-1], part[-1]
 
     # rows of a part are in one file in order; sorting again keeps that if a file is split or merged
-    found = (rows.repartition("part").sortWithinPartitions("part", *order)
+    found = (rows.select(*order, "part").repartition("part").sortWithinPartitions("part", *order)
              .mapInArrow(run, "key long, doc_id long, pos long, doc_id2 long, pos2 long"))
     more = spark.createDataFrame(edge, "key long, doc_id long, pos long, doc_id2 long, pos2 long")
     return found.unionByName(more).drop("key")
@@ -106,12 +115,14 @@ def neighbours(rows):
 
 def crowded_windows(rows, texts):
     """(key, doc_id, pos): hash and start of each window of LENGTH words whose
-    minimiser begins CONTEXT words that are found three times or more.
+    minimiser begins CONTEXT words that are found three times or more, with
+    different words around them.
 
     Equal windows have equal minimisers, so every repeat in such a group is among
-    them; in a group of two, the neighbours alone show it.
+    them; in a group of two, or of one context, the neighbours alone show it.
     """
-    many = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 2").select("key")
+    many = rows.groupBy("key").agg(F.count("*").alias("c"), F.min("around").alias("x"), F.max("around").alias("y"))
+    many = many.where("c > 2 AND x != y").select("key")
     at = rows.join(many, "key").groupBy("doc_id").agg(F.collect_list("pos").alias("at"))
 
     def start():
