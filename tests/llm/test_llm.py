@@ -237,6 +237,16 @@ def test_kneser_ney_sums_to_one_and_separates(spark):
     assert kneser_ney.classify(docs, labels.limit(0)).where("NOT kept").count() == 0
 
 
+def test_kneser_ney_catches_toxic_text(spark):
+    v, r = vocabulary(60, 3), random.Random(4)
+    text = lambda bad: " ".join(["zqxwv" if bad and k % 40 == 7 else r.choice(v) for k in range(120)])
+    texts = [text(i % 4 == 0) for i in range(160)]      # labels cover the first 120, all of quality 1
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.kept for r in kneser_ney.classify(make(spark, texts), labels).collect()}
+    assert not any(got[i] for i in range(0, 160, 4))
+    assert sum(not got[i] for i in range(160) if i % 4) <= 4
+
+
 def test_lm_base_score_and_normalised(spark):
     texts = [" ".join(random.Random(i).choices(vocabulary(20), k=30)).title() for i in range(40)] + EDGE
     rows = {r.doc_id: r for r in log_bilinear.score(make(spark, texts)).collect()}

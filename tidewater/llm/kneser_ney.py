@@ -1,18 +1,24 @@
 """Quality classifier: interpolated modified Kneser-Ney model of byte n-grams
-trained on trusted text; language-specific quantiles of per-byte perplexity."""
+trained on trusted text; language-specific quantiles of per-byte perplexity. A
+second model of toxic labelled text is compared with it over windows."""
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import keep_rows, map_rows, table, written
+from .common import table, written
 
 ORDER = 4
-TRUSTED_DOCS = 20_000   # bound of the labelled sample: smallest hashes of doc_id
+SAMPLE_DOCS = 20_000    # bound of the fitting samples, trusted and toxic: smallest hashes of doc_id
+WINDOW = 16     # bytes over which the toxic and the clean model are compared
 QUANTILE, MARGIN = 0.99, 1.25   # cut: quantile of log perplexity times margin
 MIN_BYTES = 64
+SCORES = "n_bytes long, log2_prob double, perplexity double, toxicity double"
 
 
 def grams(raw, n):
@@ -28,15 +34,16 @@ def grams(raw, n):
 
 
 def count_grams(texts):
-    """Distributed counts of the highest order: partial counts in each task,
-    then sharded by n-gram and summed."""
+    """Distributed counts of the highest order of (text, part): partial counts in
+    each task, then sharded by part * 2^32 + n-gram and summed."""
     def run(batches):
         for b in batches:
-            parts = [grams(b"\n\n\n" + (t or "").encode(), ORDER) for t in b.column(0).to_pylist()]
+            parts = [grams(b"\n\n\n" + (t or "").encode(), ORDER).astype(np.int64) | k << 32
+                     for t, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
             if parts:
                 code, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n)], ["g", "n"])
-    return texts.select("text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["g", "n"])
+    return texts.select("text", "part").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
 
 
 def lower_orders(top):
@@ -44,7 +51,8 @@ def lower_orders(top):
     number of different bytes that precede it (a sharded count for each order)."""
     out, cur = [top], top
     for n in range(ORDER - 1, 0, -1):
-        cur = cur.select((F.col("g") % (1 << (8 * n))).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
+        part = F.col("g") - F.col("g") % (1 << 32)
+        cur = cur.select((part + F.col("g") % (1 << (8 * n))).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
         out.append(cur)
     return out
 
@@ -100,67 +108,123 @@ class Model:
         return len(raw), total
 
 
-def train(docs, labels):
-    """Model of the trusted documents (quality 1): at most TRUSTED_DOCS of them, so
-    their ids may be broadcast, and the distinct byte n-grams of that sample come to
-    the driver. Returns the model (None if nothing is trusted) and the documents."""
-    spark = docs.sparkSession
-    good = labels.where("quality = 1").select("doc_id").distinct()
-    good = written(spark, good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_DOCS), "trusted")
-    trusted = docs.join(F.broadcast(good), "doc_id", "left_semi")
-    counts = []
-    for level in lower_orders(written(spark, count_grams(trusted), "grams")):
+def toxicity(pair, raw):
+    """Largest log2 ratio of the toxic to the clean model of a pair over windows of
+    WINDOW bytes, at least 0: a few words show in a long text."""
+    (clean, toxic), best, step, before = pair, 0.0, 1 << 20, np.empty(0)
+    for i in range(0, len(raw), step):
+        u, at = np.unique(grams((b"\n\n\n" + raw[:step]) if i == 0 else raw[i - 3:i + step], ORDER), return_inverse=True)
+        u = u.astype(np.int64)
+        ratio = np.append(before, (np.log2(toxic.prob(u, ORDER)) - np.log2(clean.prob(u, ORDER)))[at])
+        total, w = np.append(0.0, np.cumsum(ratio)), min(WINDOW, len(ratio))
+        best, before = max(best, float((total[w:] - total[:-w]).max())), ratio[1 - WINDOW:]
+    return best
+
+
+def marked(labels):
+    """One row a labelled document: trusted (quality 1 and not toxic), toxic."""
+    toxic = F.coalesce(F.max("toxic") == 1, F.lit(False))
+    return labels.groupBy("doc_id").agg((F.coalesce(F.max("quality") == 1, F.lit(False)) & ~toxic).alias("trusted"),
+                                        toxic.alias("toxic"))
+
+
+def fitted(top, parts):
+    """Model of each part, None for a part without counts."""
+    counts = [[] for _ in range(parts)]
+    for level in lower_orders(top):
         t = level.toPandas()
-        counts.append((t["g"].to_numpy(np.int64), t["n"].to_numpy(np.int64)))
-    return (Model(counts[::-1]) if len(counts[0][0]) else None), trusted
+        g, n = t["g"].to_numpy(np.int64), t["n"].to_numpy(np.int64)
+        for k, c in enumerate(counts):
+            c.append((g[g >> 32 == k] & 0xFFFFFFFF, n[g >> 32 == k]))
+    return [Model(c[::-1]) if len(c[0][0]) else None for c in counts]
+
+
+def sampled(docs, labels):
+    """(doc_id, toxic) of the documents to fit on: at most SAMPLE_DOCS trusted and as
+    many toxic ones, so their ids may be broadcast."""
+    marks = marked(labels)
+    first = [marks.where(kind).select("doc_id", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+             for kind in ("trusted", "toxic")]
+    return written(docs.sparkSession, first[0].unionByName(first[1]), "sampled")
 
 
-def judge(docs, labels):
-    """Train, and find the cuts. Returns a function that is called once a task and
-    gives one from (text, lang) to (n_bytes, log2_prob, perplexity, cut, kept)."""
+def train(docs, labels):
+    """The model of the trusted sample (None if nothing is trusted), and two pairs
+    (clean model, toxic model). Texts are halved by their crc32, and pair h is fitted on
+    the other half only: no text is compared by models that have seen it, so labelled
+    and other texts have the same scores. Without toxic labels the pairs are None.
+    The distinct byte n-grams of the sample come to the driver."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"))
-    model, trusted = train(docs, labels)
-    shared = spark.sparkContext.broadcast(model)
+    half = F.crc32(F.coalesce("text", F.lit(""))) % 2
+    picked = docs.join(F.broadcast(sampled(docs, labels)), "doc_id").select(
+        "text", (F.col("toxic").cast("long") * 2 + half).alias("part"))
+    halves = written(spark, count_grams(picked), "grams")
+    both = halves.where(F.col("g") < 2 << 32).groupBy((F.col("g") % (1 << 32) + (4 << 32)).alias("g")).agg(F.sum("n").alias("n"))
+    *clean, toxic0, toxic1, model = fitted(written(spark, halves.unionByName(both), "grams"), 5)
+    clean, toxic = clean[::-1], [toxic1, toxic0]
+    pairs = [(c, t) if c and t else None for c, t in zip(clean, toxic)]
+    return model, [pairs[0] or pairs[1], pairs[1] or pairs[0]]
+
+
+def scored(docs, labels, columns):
+    """The given columns of docs, and SCORES of each text; each text is read once."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
     def measure(text):
-        raw, m = (text or "").encode(), shared.value
+        raw, (m, pairs) = (text or "").encode(), shared.value
         n, s = m.score(raw) if m else (len(raw), 0.0)
-        return n, s, 2.0 ** (-s / n) if n else 1.0
-
-    cuts, every = {}, None
-    if model:
-        sample = map_rows(trusted, "lang string, n_bytes long, log2_prob double, perplexity double",
-                          lambda: lambda row: [(row["lang"], *measure(row["text"]))])
-        sample = written(spark, sample.where(F.col("n_bytes") >= MIN_BYTES), "sample")
-        cut = (F.percentile("perplexity", QUANTILE) * MARGIN).alias("cut")
-        cuts = {r.lang: r.cut for r in sample.groupBy("lang").agg(cut).collect()}   # one row a language
-        every = sample.agg(cut).first().cut
-
-    def start():
-        def one(text, lang):
-            n, s, perplexity = measure(text)
-            cut = cuts.get(lang or "", every)
-            return n, s, perplexity, cut, n < MIN_BYTES or cut is None or perplexity <= cut
-        return one
-    return start
+        pair = pairs[zlib.crc32(raw) % 2]
+        return n, s, 2.0 ** (-s / n) if n else 1.0, toxicity(pair, raw) if pair else 0.0
+
+    names, kinds = [x.split()[0] for x in SCORES.split(", ")], [pa.int64(), *[pa.float64()] * 3]
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                got = zip(*[measure(t) for t in part.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns),
+                                                  *(pa.array(x, k) for x, k in zip(got, kinds))], [*columns, *names])
+
+    schema = StructType([docs.schema[c] for c in columns] + StructType.fromDDL(SCORES).fields)
+    return docs.select(*dict.fromkeys([*columns, "text"])).mapInArrow(run, schema)
+
+
+def judged(docs, labels, columns):
+    """The given columns of docs (doc_id and lang among them), SCORES, cut, toxic_cut
+    and kept. The scores are written once, the cuts are quantiles of the trusted."""
+    spark = docs.sparkSession
+    rows = written(spark, scored(docs, labels, columns), "scores").withColumn("_lang", F.coalesce("lang", F.lit("")))
+    trusted = rows.select("doc_id", "_lang", "n_bytes", "perplexity", "toxicity").join(
+        sampled(docs, labels).where("NOT toxic"), "doc_id")
+    long_enough = F.when(F.col("n_bytes") >= MIN_BYTES, F.col("perplexity"))
+    cuts = [(F.percentile(long_enough, QUANTILE) * MARGIN).alias("cut"),
+            F.percentile("toxicity", QUANTILE).alias("toxic_cut")]
+    by_lang, every = trusted.groupBy("_lang").agg(*cuts).collect(), trusted.agg(*cuts).first()   # one row a language
+
+    def of_lang(name):
+        table = [F.lit(x) for r in by_lang for x in (r["_lang"], r[name])]
+        own = F.element_at(F.create_map(*table), F.col("_lang")) if table else F.lit(None)
+        return F.coalesce(own, F.lit(every[name])).cast("double").alias(name)
+
+    rows = rows.select("*", of_lang("cut"), of_lang("toxic_cut"))
+    good = (F.col("n_bytes") < MIN_BYTES) | F.col("cut").isNull() | (F.col("perplexity") <= F.col("cut"))
+    mild = F.col("toxic_cut").isNull() | (F.col("toxicity") <= F.col("toxic_cut"))
+    return rows.withColumn("kept", good & mild).drop("_lang")
 
 
 def classify(docs, labels):
-    """One row per document: n_bytes, log2_prob, perplexity (per byte), cut, kept.
+    """One row per document: n_bytes, log2_prob, perplexity (per byte), cut, toxicity,
+    toxic_cut, kept.
 
-    Kept: texts under MIN_BYTES (too short to judge, as are null and empty ones),
+    Good: texts under MIN_BYTES (too short to judge, as are null and empty ones),
     all texts if nothing is trusted, texts of a language without a trusted
     document that stay under the cut of all languages, else those under the cut
-    of their language. Repeated rows give repeated results.
+    of their language. Kept are good texts whose toxicity stays under its cut,
+    found in the same way. Repeated rows give repeated results.
     """
-    judged = judge(docs, labels)
-
-    def start():
-        one = judged()
-        return lambda row: [(row["doc_id"], *one(row["text"], row["lang"]))]
-    return map_rows(docs.select("doc_id", "text", "lang"), "doc_id long, n_bytes long, log2_prob double, "
-                    "perplexity double, cut double, kept boolean", start)
+    return judged(docs, labels, ["doc_id", "lang"]).select(
+        "doc_id", "n_bytes", "log2_prob", "perplexity", "cut", "kept", "toxicity", "toxic_cut")
 
 
 def op4(spark, sf_dir):
@@ -169,9 +233,4 @@ def op4(spark, sf_dir):
 
 def stage(spark, docs, sf_dir):
     """Keep the accepted rows, in one pass over the texts."""
-    judged = judge(docs, table(spark, sf_dir, "labels"))
-
-    def start():
-        one = judged()
-        return lambda row: one(row["text"], row["lang"])[-1]
-    return keep_rows(docs, ["text", "lang"], start)
+    return judged(docs, table(spark, sf_dir, "labels"), docs.columns).where("kept").select(*docs.columns)
