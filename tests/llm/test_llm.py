@@ -247,6 +247,21 @@ def test_kneser_ney_catches_toxic_text(spark):
     assert sum(not got[i] for i in range(160) if i % 4) <= 4
 
 
+def test_kneser_ney_cuts_cover_all_trusted_documents(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "SAMPLE_DOCS", 8)
+    rows = [(i, " ".join(random.Random(i).choices(vocabulary(60, i % 3), k=60)), "de" if i % 12 == 5 else "en", "s", 0)
+            for i in range(72)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(72)], "doc_id long, quality int, toxic int")
+    got = kneser_ney.classify(docs, labels).collect()
+    for lang in ("en", "de"):
+        own = [r for r in got if rows[r.doc_id][2] == lang]
+        want = np.quantile([r.perplexity for r in own], kneser_ney.QUANTILE) * kneser_ney.MARGIN
+        assert all(abs(r.cut - want) < 1e-3 for r in own)
+    assert {r.toxic for r in kneser_ney.sampled(docs, labels).collect()} == {False}
+    assert kneser_ney.sampled(docs, labels).where("doc_id % 12 = 5").count() == 6    # a rare language is whole
+
+
 def test_lm_base_score_and_normalised(spark):
     texts = [" ".join(random.Random(i).choices(vocabulary(20), k=30)).title() for i in range(40)] + EDGE
     rows = {r.doc_id: r for r in log_bilinear.score(make(spark, texts)).collect()}

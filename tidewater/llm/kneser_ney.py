@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from .common import table, written
 
 ORDER = 4
-SAMPLE_DOCS = 20_000    # bound of the fitting samples, trusted and toxic: smallest hashes of doc_id
+SAMPLE_DOCS = 20_000    # bound of the fitting samples of a language, trusted and toxic, by hashes of doc_id
 WINDOW = 16     # bytes over which the toxic and the clean model are compared
 QUANTILE, MARGIN = 0.99, 1.25   # cut: quantile of log perplexity times margin
 MIN_BYTES = 64
@@ -140,12 +140,13 @@ def fitted(top, parts):
 
 
 def sampled(docs, labels):
-    """(doc_id, toxic) of the documents to fit on: at most SAMPLE_DOCS trusted and as
-    many toxic ones, so their ids may be broadcast."""
-    marks = marked(labels)
-    first = [marks.where(kind).select("doc_id", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-             for kind in ("trusted", "toxic")]
-    return written(docs.sparkSession, first[0].unionByName(first[1]), "sampled")
+    """(doc_id, toxic) of the documents to fit on: about SAMPLE_DOCS trusted and as
+    many toxic ones of each language, so their ids may be broadcast."""
+    langs = docs.groupBy("doc_id").agg(F.coalesce(F.min("lang"), F.lit("")).alias("lang"))
+    of = written(docs.sparkSession, marked(labels).where("trusted OR toxic").join(langs, "doc_id"), "marked")
+    share = of.groupBy("lang", "toxic").agg((SAMPLE_DOCS / F.count("*")).alias("share"))   # two rows a language
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
+    return of.join(F.broadcast(share), ["lang", "toxic"]).where(place < F.col("share")).select("doc_id", "toxic")
 
 
 def train(docs, labels):
@@ -192,14 +193,15 @@ def scored(docs, labels, columns):
 
 def judged(docs, labels, columns):
     """The given columns of docs (doc_id and lang among them), SCORES, cut, toxic_cut
-    and kept. The scores are written once, the cuts are quantiles of the trusted."""
+    and kept. The scores are written once, the cuts are quantiles of all trusted
+    documents (of scores to 4 places, so equal ones are counted together)."""
     spark = docs.sparkSession
     rows = written(spark, scored(docs, labels, columns), "scores").withColumn("_lang", F.coalesce("lang", F.lit("")))
     trusted = rows.select("doc_id", "_lang", "n_bytes", "perplexity", "toxicity").join(
-        sampled(docs, labels).where("NOT toxic"), "doc_id")
-    long_enough = F.when(F.col("n_bytes") >= MIN_BYTES, F.col("perplexity"))
+        marked(labels).where("trusted").select("doc_id"), "doc_id")
+    long_enough = F.when(F.col("n_bytes") >= MIN_BYTES, F.round("perplexity", 4))
     cuts = [(F.percentile(long_enough, QUANTILE) * MARGIN).alias("cut"),
-            F.percentile("toxicity", QUANTILE).alias("toxic_cut")]
+            F.percentile(F.round("toxicity", 4), QUANTILE).alias("toxic_cut")]
     by_lang, every = trusted.groupBy("_lang").agg(*cuts).collect(), trusted.agg(*cuts).first()   # one row a language
 
     def of_lang(name):
