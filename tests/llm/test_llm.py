@@ -262,6 +262,14 @@ def test_kneser_ney_cuts_cover_all_trusted_documents(spark, monkeypatch):
     assert kneser_ney.sampled(docs, labels).where("doc_id % 12 = 5").count() == 6    # a rare language is whole
 
 
+def test_kneser_ney_judges_short_text(spark):
+    texts = [" ".join(vocabulary(80, i % 7)[k:k + (80 if i % 2 else 6)]) for i in range(80) for k in [i % 60]]
+    texts += ["#$% &*( #$% &*( #$%", texts[0], None, ""]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.kept for r in kneser_ney.classify(make(spark, texts), labels).collect()}
+    assert not got[80] and got[81] and got[82] and got[83]
+
+
 def test_lm_base_score_and_normalised(spark):
     texts = [" ".join(random.Random(i).choices(vocabulary(20), k=30)).title() for i in range(40)] + EDGE
     rows = {r.doc_id: r for r in log_bilinear.score(make(spark, texts)).collect()}

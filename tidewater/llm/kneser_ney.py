@@ -17,7 +17,7 @@ ORDER = 4
 SAMPLE_DOCS = 20_000    # bound of the fitting samples of a language, trusted and toxic, by hashes of doc_id
 WINDOW = 16     # bytes over which the toxic and the clean model are compared
 QUANTILE, MARGIN = 0.99, 1.25   # cut: quantile of log perplexity times margin
-MIN_BYTES = 64
+LONG, FEW = 6, 20   # bands of length: 2^k bytes and more up to 2^LONG; trusted texts that a short band needs
 SCORES = "n_bytes long, log2_prob double, perplexity double, toxicity double"
 
 
@@ -191,39 +191,69 @@ def scored(docs, labels, columns):
     return docs.select(*dict.fromkeys([*columns, "text"])).mapInArrow(run, schema)
 
 
+def quantiles(trusted):
+    """Cuts of perplexity by (band, language), by band and of toxicity by language;
+    the key "" stands for all languages. A few rows a language."""
+    cut = (F.percentile(F.round("perplexity", 4), QUANTILE) * MARGIN).alias("cut")
+    mild = F.percentile(F.round("toxicity", 4), QUANTILE).alias("toxic_cut")
+    own = {(r.band, r._lang): (r.cut, r.n) for r in trusted.where("n_bytes > 0").groupBy("band", "_lang").agg(
+        cut, F.count("*").alias("n")).collect()}
+    every = {r.band: r.cut for r in trusted.where("n_bytes > 0").groupBy("band").agg(cut).collect()}
+    toxic = {r._lang: r.toxic_cut for r in trusted.groupBy("_lang").agg(mild).collect()}
+    return own, every, toxic | {"": trusted.agg(mild).first().toxic_cut}
+
+
+def cut_table(own, every, langs):
+    """(band, language) to cut. A band below the longest needs FEW trusted texts of the
+    language, or else has the cut of all languages; a band without any trusted text has
+    that of the next longer one that has some, or else of the next shorter."""
+    if not every:
+        return {}
+    out = {}
+    for band in range(LONG + 1):
+        near = next((k for k in [*range(band, LONG + 1), *range(band - 1, -1, -1)] if k in every))
+        for lang in [*langs, ""]:
+            cut, n = own.get((band, lang), (None, 0))
+            out[band, lang] = cut if lang and (n >= FEW or n and band == LONG) else every[near]
+    return out
+
+
 def judged(docs, labels, columns):
     """The given columns of docs (doc_id and lang among them), SCORES, cut, toxic_cut
     and kept. The scores are written once, the cuts are quantiles of all trusted
     documents (of scores to 4 places, so equal ones are counted together)."""
     spark = docs.sparkSession
-    rows = written(spark, scored(docs, labels, columns), "scores").withColumn("_lang", F.coalesce("lang", F.lit("")))
-    trusted = rows.select("doc_id", "_lang", "n_bytes", "perplexity", "toxicity").join(
-        marked(labels).where("trusted").select("doc_id"), "doc_id")
-    long_enough = F.when(F.col("n_bytes") >= MIN_BYTES, F.round("perplexity", 4))
-    cuts = [(F.percentile(long_enough, QUANTILE) * MARGIN).alias("cut"),
-            F.percentile(F.round("toxicity", 4), QUANTILE).alias("toxic_cut")]
-    by_lang, every = trusted.groupBy("_lang").agg(*cuts).collect(), trusted.agg(*cuts).first()   # one row a language
-
-    def of_lang(name):
-        table = [F.lit(x) for r in by_lang for x in (r["_lang"], r[name])]
-        own = F.element_at(F.create_map(*table), F.col("_lang")) if table else F.lit(None)
-        return F.coalesce(own, F.lit(every[name])).cast("double").alias(name)
-
-    rows = rows.select("*", of_lang("cut"), of_lang("toxic_cut"))
-    good = (F.col("n_bytes") < MIN_BYTES) | F.col("cut").isNull() | (F.col("perplexity") <= F.col("cut"))
+    band = F.least(F.floor(F.log2(F.greatest("n_bytes", F.lit(1)))), F.lit(LONG)).cast("int")
+    rows = written(spark, scored(docs, labels, columns), "scores").withColumns(
+        {"_lang": F.coalesce("lang", F.lit("")), "band": band})
+    trusted = written(spark, rows.select("doc_id", "_lang", "band", "n_bytes", "perplexity", "toxicity").join(
+        marked(labels).where("trusted").select("doc_id"), "doc_id"), "trusted")
+    own, every, toxic = quantiles(trusted)
+    langs = sorted({lang for _, lang in own} - {""})
+    cuts = {f"{b}:{lang}": x for (b, lang), x in cut_table(own, every, langs).items()}
+
+    def look(table, name, *keys):
+        pairs = [F.lit(x) for kv in table.items() for x in kv]
+        found = [F.element_at(F.create_map(*pairs), k) for k in keys] if table else []
+        return F.coalesce(*found, F.lit(None)).cast("double").alias(name)
+
+    rows = rows.select(
+        "*", look(cuts, "cut", F.concat_ws(":", "band", "_lang"), F.concat_ws(":", "band", F.lit(""))),
+        look({k: v for k, v in toxic.items() if v is not None}, "toxic_cut", F.col("_lang"), F.lit("")))
+    good = F.col("cut").isNull() | (F.col("n_bytes") == 0) | (F.col("perplexity") <= F.col("cut"))
     mild = F.col("toxic_cut").isNull() | (F.col("toxicity") <= F.col("toxic_cut"))
-    return rows.withColumn("kept", good & mild).drop("_lang")
+    return rows.withColumn("kept", good & mild).drop("_lang", "band")
 
 
 def classify(docs, labels):
     """One row per document: n_bytes, log2_prob, perplexity (per byte), cut, toxicity,
     toxic_cut, kept.
 
-    Good: texts under MIN_BYTES (too short to judge, as are null and empty ones),
-    all texts if nothing is trusted, texts of a language without a trusted
-    document that stay under the cut of all languages, else those under the cut
-    of their language. Kept are good texts whose toxicity stays under its cut,
-    found in the same way. Repeated rows give repeated results.
+    Good: null and empty texts, all texts if nothing is trusted, texts of a language
+    without a trusted document that stay under the cut of all languages, else those
+    under the cut of their language; texts under 2^LONG bytes have cuts by their
+    length (see cut_table). Kept are good texts whose toxicity stays under its cut,
+    of their language or of all. Repeated rows give repeated results.
     """
     return judged(docs, labels, ["doc_id", "lang"]).select(
         "doc_id", "n_bytes", "log2_prob", "perplexity", "cut", "kept", "toxicity", "toxic_cut")
