@@ -108,6 +108,19 @@ def test_licenses(spark):
     assert got[n + 2].labels == "" and got[0].first_word is None
 
 
+def test_licenses_need_the_whole_text(spark):
+    fill = lambda k: re.sub(r"\{\{\d+\}\}", "the authors", re.sub(r"\[\[|\]\]", "", licenses.TEMPLATES[k]))
+    whole = ["mit-text", "bsd-2-text", "bsd-3-text", "bsd-4-text", "isc-text", "0bsd-text"]
+    changed = [fill("mit-text").replace("the software the software is", "the software the software shall be used for "
+                                        "good not evil the software is"),
+               fill("bsd-2-text").replace("must retain", "may retain"), fill("bsd-3-text").rsplit(" ", 9)[0],
+               fill("isc-text").replace("appear in all copies", "appear in some copies")]
+    got = {r.doc_id: r for r in licenses.scan_licenses(make(spark, [f"Copyright X. {fill(k)} end" for k in whole] + changed)).collect()}
+    assert [got[i].labels for i in range(6)] == whole
+    assert [got[i].labels for i in range(6, 10)] == ["mit-text-start", "bsd-text-start", "bsd-text-start", "isc-text-start"]
+    assert all(got[i].score > 0.9 for i in range(6)) and all(got[i].score < 0.5 for i in range(6, 10))
+
+
 def test_rules_base_counts(spark):
     texts = EDGE + ["a b c d a b c\na b c d a b c\n#x", "z " * 10 + "\n\nz\n"]
     for r in rules.quality(make(spark, texts)).collect():
