@@ -313,6 +313,16 @@ def test_extract(spark):
     assert got[98].text == "" and got[99].n_chars == 0
 
 
+@pytest.mark.parametrize("head", ["<head><title>T</title><meta charset=x><style>p{}</style>", "<head><title>T<meta charset=x>",
+                                  "<head><title>T</title><noscript><body>", "<head><title>a < b</title></head>",
+                                  "<head><title>T</title><template>", "<head><script>x='<p>'</script></head>"])
+def test_extract_head_without_end(head):
+    body = "<article><h1>Head</h1><p>one</p></article><title>svg</title><noscript>n</noscript><header>top</header>"
+    blocks = extract.leaves(f"<!doctype html><html>{head}{body}")
+    assert [t for _, t in blocks] == ["Head", "one", "top"]
+    assert all("head" not in path for path, _ in blocks)
+
+
 @pytest.mark.parametrize("fn", [order_minhash.classes, licenses.scan_licenses, rules.quality, repeats.repeats, log_bilinear.score])
 def test_empty_table(spark, fn):
     assert fn(make(spark, ["x"]).limit(0)).count() == 0
