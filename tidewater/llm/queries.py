@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (chat, decontaminate, extract, kneser_ney, licenses, log_bilinear, order_minhash, pack, repeats,
-               rules)
+from . import (chat, decontaminate, extract, kneser_ney, licenses, log_bilinear, order_minhash, pack, permuterm,
+               repeats, rules, simhash, va_file)
 
 QUERIES = {
     "op1_order_minhash": order_minhash.op1,
@@ -16,11 +16,42 @@ QUERIES = {
     "op8_extract": extract.op8,
     "op9_decontaminate": decontaminate.op9,
     "op10_log_bilinear": log_bilinear.op10,
+    "op11_simhash": simhash.op11,
+    "op12_va_file": va_file.op12,
+    "op13_permuterm": permuterm.op13,
 }
 
 WORD = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def cluster_sql(k=va_file.CENTROIDS, rounds=va_file.ROUNDS, dims=va_file.DIMS, scale=va_file.SCALE):
+    """The clustering of op12 by comparing every vector with every centroid."""
+    parts = [f"""
+v AS (SELECT vec_id, row_number() OVER () AS r,
+        [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+      WHERE len(embedding) = {dims} AND len([x FOR x IN embedding IF isfinite(x)]) = {dims}),
+c0 AS (SELECT k, c FROM (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS k, v AS c
+                         FROM v) WHERE k < {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS (SELECT r, min(struct_pack(d := CAST(list_sum([(x[1] - x[2]) * (x[1] - x[2])
+           FOR x IN list_zip(v, c)]) AS BIGINT), k := k)) AS m FROM v, c{i} GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""
+s{i} AS (SELECT m.k AS k, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n
+         FROM a{i} JOIN v USING (r), range(1, {dims + 1}) AS t(i) GROUP BY m.k, i),
+c{i + 1} AS (SELECT k, coalesce(x, c) AS c FROM c{i} LEFT JOIN
+             (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM s{i} GROUP BY k) USING (k))""")
+    return f"""WITH {','.join(parts)},
+o AS (SELECT vec_id, CAST(m.k AS INTEGER) AS cluster, m.d AS distance FROM a{rounds} JOIN v USING (r))
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM o JOIN c{rounds} ON cluster = k"""
+
+
 ORACLE_SQL = {
+    "op12_va_file": cluster_sql(),
     "op9_decontaminate": f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce({WORD}, []) AS w FROM documents),
 i AS (SELECT item_id, coalesce({WORD}, []) AS w FROM benchmark),
