@@ -5,7 +5,7 @@ import __spark_entry__ as entry
 
 from conftest import SF_SMOKE
 
-TABLES = "part lineitem events documents".split()
+TABLES = "part lineitem events documents conversations".split()
 
 # Every registered query is checked against its oracle at the smallest scale.
 # The training-data queries have tests of their own.

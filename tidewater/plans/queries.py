@@ -276,14 +276,15 @@ def staged_overwrite(spark, sf_dir):
 
 DAY = timedelta(days=1)
 WINDOWS_PER_BATCH = 10
+SKEW_FILE_BYTES = 4 * 1024 * 1024        # small, so that a test table's window is split
 
 
 def _stamped_windows(out: str):
     """Deliver (event_id, value, window start as text) keyed by window id."""
     def deliver(df, pending):
-        stamped = df.select("event_id", "value", ingest.WINDOW_COL,
+        stamped = df.select("event_id", "value", ingest.WINDOW_COL, "ts",
                             F.date_format("window_lo", "yyyy-MM-dd HH:mm:ss").alias("window_lo"))
-        ingest.write_windows(stamped, out, windows=pending)
+        ingest.write_windows(stamped, out, windows=pending, time_col="ts", drop_time=True)
     return deliver
 
 
@@ -309,6 +310,32 @@ def window_replay(spark, sf_dir):
     return spark.read.parquet(out).select("event_id", "value", "window_lo")
 
 
+def window_skew(spark, sf_dir):
+    """The turns of all conversations as one uneven run of windows: nearly all rows
+    fall into one window and a third of them on one instant. Large windows are
+    written by several tasks, in files of bounded size; a replay replaces them."""
+    turns = load(spark, sf_dir, "conversations")
+    n = F.length(F.coalesce("text", F.lit("")))
+    second = F.when(n % 3 == 0, F.lit(0)).otherwise((F.col("conv_id") * 7919 + F.col("turn") * 104729) % 90_000)
+    start = datetime(2024, 1, 1)
+    stamped = turns.withColumn("ts", F.timestamp_add("SECOND", second, F.lit(start).cast("timestamp_ntz")))
+    root = session.scratch_path(spark, "window_skew")
+    control, out = ingest.ControlTable(spark, f"{root}/control"), f"{root}/out"
+
+    def deliver(df, pending):
+        ingest.write_windows(df.select("conv_id", "turn", "text", "ts", ingest.WINDOW_COL), out, windows=pending,
+                             time_col="ts", target_bytes=SKEW_FILE_BYTES)
+
+    for crash in (True, False):
+        try:
+            ingest.run_windows(spark, "turns", stamped, "ts", control, deliver, start, start + 3 * DAY, DAY,
+                               stop_after_write=crash)
+        except ingest.StopAfterWrite:
+            pass
+    return spark.read.parquet(out).select("conv_id", "turn", F.col(ingest.WINDOW_COL).cast("bigint").alias("window_id"),
+                                          F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha"))
+
+
 def window_stream(spark, sf_dir):
     """The same windows run by Structured Streaming: a window source whose
     checkpoint is the mark; two polls (the second sees more time) and a
@@ -392,7 +419,8 @@ def ingest_to_cells(spark, sf_dir):
 
     def to_inbox(df, pending):
         body = rows.to_json_event(["user_id", "event_type", "value"]).alias("body")
-        ingest.write_windows(df.select(body, "ts", "event_id", ingest.WINDOW_COL), inbox, windows=pending)
+        ingest.write_windows(df.select(body, "ts", "event_id", ingest.WINDOW_COL), inbox, windows=pending,
+                             time_col="ts")
 
     ingest.run_windows(spark, "events", ev, "ts", control, to_inbox, start,
                        hi + timedelta(seconds=1), DAY * 7)
@@ -519,6 +547,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyed_upsert": keyed_upsert,
     "staged_overwrite": staged_overwrite,
     "window_replay": window_replay,
+    "window_skew": window_skew,
     "window_stream": window_stream,
     "file_stream": file_stream,
     "stream_upsert": stream_upsert,
@@ -598,6 +627,10 @@ ORACLE_SQL: dict[str, str] = {
     "window_replay": (
         "SELECT event_id, value, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_lo "
         "FROM events"),
+    "window_skew": (
+        "SELECT conv_id, turn, CAST(CASE WHEN length(coalesce(text, '')) % 3 = 0 THEN 0 "
+        "ELSE ((conv_id * 7919 + turn * 104729) % 90000) // 86400 END AS BIGINT) AS window_id, "
+        "sha256(coalesce(text, '')) AS text_sha FROM conversations"),
     "file_stream": "SELECT event_id, value FROM events",
     "stream_upsert": (
         "SELECT user_id, event_id, event_type, value FROM events "

@@ -21,6 +21,7 @@ from __future__ import annotations
 import logging
 import time
 import uuid
+from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import paths
+from ..sinks import layout
 from ..sources.windows import read_window, truncate_to_second
 
 CONTROL_SCHEMA = T.StructType([
@@ -41,6 +43,7 @@ CONTROL_SCHEMA = T.StructType([
 ])
 
 WINDOW_COL = "window_id"
+MAX_PENDING = layout.MAX_GROUPS      # windows that are held and delivered at a time
 
 log = logging.getLogger(__name__)
 
@@ -170,8 +173,9 @@ def run_windows(spark: SparkSession, source: str, table: TableOrFactory, time_co
                 start: datetime, now: datetime, step: timedelta,
                 lag: timedelta = timedelta(0), stop_after_write: bool = False,
                 max_windows: int | None = None) -> list[Window]:
-    """Deliver the pending windows of ``table`` (at most ``max_windows``) in
-    one batch job.
+    """Deliver the pending windows of ``table`` (at most ``max_windows``), up to
+    ``MAX_PENDING`` in one batch job; the mark moves after each job. Returns the
+    delivered windows, the last ``MAX_PENDING`` of them.
 
     ``table`` is a DataFrame, or a factory ``(lo, hi) -> DataFrame`` called
     with the bounds of this poll (e.g. a JDBC read partitioned on the time
@@ -183,15 +187,24 @@ def run_windows(spark: SparkSession, source: str, table: TableOrFactory, time_co
     are appended afterwards, in one write. ``stop_after_write`` (tests)
     raises between the two to exercise the replay path.
     """
-    pending = next_windows(control.last(source), start, now, step, lag, max_windows)
-    if not pending:
-        return []
-    src = _source(table, pending[0].lo, pending[-1].hi)
-    deliver(assign_windows(src, time_col, pending, step), pending)
-    if stop_after_write:
-        raise StopAfterWrite(f"stopped after writing windows {pending[0].window_id}..")
-    control.commit_all(source, pending)
-    return pending
+    done: deque[Window] = deque(maxlen=MAX_PENDING)
+    while True:
+        cap = MAX_PENDING if max_windows is None else min(MAX_PENDING, max_windows)
+        pending = next_windows(control.last(source), start, now, step, lag, cap)
+        if not pending:
+            return list(done)
+        src = _source(table, pending[0].lo, pending[-1].hi)
+        deliver(assign_windows(src, time_col, pending, step), pending)
+        if stop_after_write:
+            raise StopAfterWrite(f"stopped after writing windows {pending[0].window_id}..")
+        control.commit_all(source, pending)
+        done.extend(pending)
+        if len(pending) < cap:
+            return list(done)
+        if max_windows is not None:
+            max_windows -= len(pending)
+            if not max_windows:
+                return list(done)
 
 
 def run_windows_one_by_one(spark: SparkSession, source: str, table: TableOrFactory, time_col: str,
@@ -201,35 +214,34 @@ def run_windows_one_by_one(spark: SparkSession, source: str, table: TableOrFacto
                            stop_after_write: int | None = None) -> list[Window]:
     """The polling form: one read, one write and one mark per window, for
     sinks that take a window at a time."""
-    done = []
-    for w in next_windows(control.last(source), start, now, step, lag):
-        deliver(read_window(_source(table, w.lo, w.hi), time_col, w.lo, w.hi), w)
-        if stop_after_write is not None and w.window_id == stop_after_write:
-            raise StopAfterWrite(f"stopped after writing window {w.window_id}")
-        control.commit(source, w)
-        done.append(w)
-    return done
+    done: deque[Window] = deque(maxlen=MAX_PENDING)
+    while pending := next_windows(control.last(source), start, now, step, lag, MAX_PENDING):
+        for w in pending:
+            deliver(read_window(_source(table, w.lo, w.hi), time_col, w.lo, w.hi), w)
+            if stop_after_write is not None and w.window_id == stop_after_write:
+                raise StopAfterWrite(f"stopped after writing window {w.window_id}")
+            control.commit(source, w)
+            done.append(w)
+    return list(done)
 
 
 def write_windows(df: DataFrame, path: str, fmt: str = "parquet",
-                  windows: list[Window] | None = None) -> None:
+                  windows: list[Window] | None = None, time_col: str | None = None,
+                  drop_time: bool = False, target_bytes: int = layout.TARGET_BYTES) -> None:
     """Keyed delivery of many windows: replace exactly their partitions.
 
-    Rows are arranged by window first, so the files of a window do not grow
-    with the tasks. With ``windows`` (the windows of this delivery), those
-    without rows in the new result are cleared.
+    Tasks and files hold about ``target_bytes`` at most, however the rows are
+    spread over the windows; with ``time_col`` a large window is cut by time
+    (``drop_time``: that column is not stored). With ``windows`` (the windows of
+    this delivery), those without rows in the new result are cleared.
     """
-    if windows:
-        full = {r[0] for r in df.select(WINDOW_COL).distinct().collect()}   # at most one row a window
+    full = layout.write_groups(df, path, WINDOW_COL, time_col, target_bytes, fmt, drop_time)
+    if windows and len(full) < len(windows):
+        spark = df.sparkSession
+        stored = set(paths.list_names(spark, path))
         for w in windows:
-            if w.window_id not in full:
-                paths.delete(df.sparkSession, f"{path}/{WINDOW_COL}={w.window_id}")
-        if not full:
-            return
-    df = df.repartitionByRange(WINDOW_COL, "window_lo") if "window_lo" in df.columns \
-        else df.repartitionByRange(WINDOW_COL)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(WINDOW_COL).format(fmt).save(path))
+            if w.window_id not in full and f"{WINDOW_COL}={w.window_id}" in stored:
+                paths.delete(spark, f"{path}/{WINDOW_COL}={w.window_id}")
 
 
 def poll_windows(spark: SparkSession, source: str, table: TableOrFactory, time_col: str,
