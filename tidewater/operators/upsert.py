@@ -13,21 +13,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sinks import files
 
 
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the row with the greatest ``order`` tuple.
 
-    Ties on the whole order tuple are broken by the remaining columns, so
-    the result is deterministic; callers should make ties impossible.
+    Ties on the whole order tuple are broken by the remaining columns (maps and
+    variants, which have no order, by their JSON text), so the result is
+    deterministic; callers should make ties impossible.
     """
     keys, order = list(keys), list(order)
     if set(keys) & set(order):
         raise ValueError("a column cannot be both a key and an order column")
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_latest")
+    row = F.struct(*[F.col(c) for c in order + rest])
+    loose = [c for c in rest if not _orderable(df.schema[c].dataType)]
+    if loose:
+        by = [F.col(c) for c in order + [c for c in rest if c not in loose]]
+        packed = F.max_by(row, F.struct(*by, F.to_json(F.struct(*loose)).alias("_text")))
+    else:
+        packed = F.max(row)
+    packed = packed.alias("_latest")
     return (df.groupBy(*keys).agg(packed)
             .select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in order + rest])
             .select(*df.columns))
