@@ -89,6 +89,12 @@ def test_null_or_too_many_groups_are_refused(spark, scratch, monkeypatch):
         ingest.write_windows(_rows(spark, 5, "id").withColumn("window_id", F.col("id")), scratch("y"))
 
 
+def test_small_window_over_a_long_time(spark, scratch):
+    path = scratch("long")
+    ingest.write_windows(_rows(spark, 10, "id * 1000000"), path, time_col="ts")
+    assert spark.read.parquet(path).count() == 10
+
+
 def test_plan_parts():
     got, n = layout.plan_parts({1: [10], 2: [10, 95, 250, 10], 3: [0]}, 100)
     assert got == {1: ([0], [1]), 2: ([0, 1, 2, 5], [1, 1, 3, 1]), 3: ([5], [1])} and n == 6

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,13 +62,24 @@ def to_json_event(cols: Sequence[str] | None = None, keep_nulls: bool = True) ->
 
     Null fields are written as ``null`` rather than dropped, so an absent
     value and a null value stay distinguishable downstream only when the
-    caller asks for it (``keep_nulls=False`` reproduces Spark's default).
+    caller asks for it (``keep_nulls=False`` reproduces Spark's default). A
+    column that is named twice is written once. For a frame in which several
+    columns have the same name, use ``json_events``.
     """
-    target = F.struct(*cols) if cols else F.struct("*")
+    target = F.struct(*dict.fromkeys(cols)) if cols else F.struct("*")
     opts = {"ignoreNullFields": "false" if keep_nulls else "true"}
     return F.to_json(target, opts)
 
 
+def json_events(df: DataFrame, body_col: str = "body", keep_nulls: bool = True) -> DataFrame:
+    """The rows of ``df`` as JSON events. Of columns that share a name, as after a
+    join, the last one is the event's field."""
+    last = {name: i for i, name in enumerate(df.columns)}
+    by_place = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    target = F.struct(*[F.col(f"c{i}").alias(name) for name, i in last.items()])
+    return by_place.select(F.to_json(target, {"ignoreNullFields": "false" if keep_nulls else "true"}).alias(body_col))
+
+
 def parse_event(body: ColumnOrName, schema=None) -> Column:
     """JSON object text -> ``map<string,string>`` (or the given struct).
 
@@ -84,27 +95,42 @@ def is_nonempty(body: ColumnOrName) -> Column:
     return b.isNotNull() & (F.length(b) > 0)
 
 
-MALFORMED = "_malformed"
+FLAT_OBJECT = r"^\s*\{[^{}]*\}\s*$"      # its braces are the first and the last, so nothing follows them
+
+
+def is_one_object(body: ColumnOrName) -> Column:
+    """True when the whole text is one JSON object: the parser itself stops after
+    the first value. A text with further braces is parsed as the first item of an
+    array whose second item is the text's own hash: both must come back."""
+    body = _col(body)
+    own = F.xxhash64(body).cast("string")
+    items = F.from_json(F.concat(F.lit("["), body, F.lit(","), own, F.lit("]")), "array<string>")
+    whole = (F.size(items) == 2) & (F.get(items, F.lit(1)) == own)
+    return F.when(body.rlike(FLAT_OBJECT), F.lit(True)).otherwise(
+        body.rlike(r"^\s*\{") & F.coalesce(whole, F.lit(False)))
 
 
 def strict_event(body: ColumnOrName, schema=None, required: Sequence[str] = ()) -> Column:
-    """The decoded event, or null where the body is not a JSON object, a field
-    does not have its type in ``schema``, or a ``required`` field is null.
+    """The decoded event, or null where the body is not exactly one JSON object, a
+    field does not have its type in ``schema``, or a ``required`` field is null.
 
-    One parse: with a struct schema the parser itself keeps the text of a
-    malformed record in a column of its own.
+    With a struct schema the parser itself keeps the text of a malformed record
+    in a column of its own, whose name no field has.
     """
     body = _col(body)
-    ok = body.rlike(r"^\s*\{")
+    ok = is_one_object(body)
     if schema is None:
         event = parse_event(body)
         ok = ok & event.isNotNull()
     else:
         fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        marked = T.StructType([*fields.fields, T.StructField(MALFORMED, T.StringType())])
-        parsed = F.from_json(body, marked, {"columnNameOfCorruptRecord": MALFORMED})
-        ok = ok & parsed[MALFORMED].isNull()
-        event = parsed.dropFields(MALFORMED)
+        malformed = "_malformed"
+        while malformed in fields.names:
+            malformed += "_"
+        marked = T.StructType([*fields.fields, T.StructField(malformed, T.StringType())])
+        parsed = F.from_json(body, marked, {"columnNameOfCorruptRecord": malformed})
+        ok = ok & parsed[malformed].isNull()
+        event = parsed.dropFields(malformed)
     for name in required:
         ok = ok & event.getItem(name).isNotNull()
     return F.when(ok, event)

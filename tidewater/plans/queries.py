@@ -12,14 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed, session
 from .sizing import choose_buckets, estimated_bytes
 from ..functions import rows
 from ..operators import cells, groups, select, upsert
-from ..sinks import files, tables
+from ..sinks import files, keyed, tables, versions
 from ..sources import files as source_files
 from ..sources import text, windows
 from ..streaming import completeness, delivery
@@ -260,6 +260,72 @@ def partial_update(spark, sf_dir):
     return spark.read.parquet(path).select("user_id", "event_id", "event_type", "value")
 
 
+# --- K4 K5 with deltas ---------------------------------------------------------
+
+TURN_PARTS = 6
+TURN_BUCKET_BYTES = 512 * 1024      # small, so that a test table splits its buckets
+
+
+def _turn_part(part: int) -> Column:
+    return F.pmod(F.col("conv_id") * 31 + F.col("turn"), F.lit(TURN_PARTS)) == part
+
+
+def delta_upsert(spark, sf_dir):
+    """The latest turn of each conversation: turns arrive as JSON bodies in a stream,
+    a delta a batch; the last batch is replayed, and an old one comes again."""
+    turns = load(spark, sf_dir, "conversations")
+    root = session.scratch_path(spark, "delta_upsert")
+    src, ckpt = f"{root}/in", f"{root}/checkpoint"
+    table = keyed.KeyedTable(spark, f"{root}/table", ["conv_id"], ["turn"], bucket_bytes=TURN_BUCKET_BYTES)
+    body = rows.to_json_event(["conv_id", "turn", "role", "text"]).alias("body")
+    source_files.stage_files(turns.select(body), src)
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    fn = delivery.upsert_batch(table.path, table.keys, table.order, body_col="body", schema=schema, table=table)
+    _stream_with_replay(spark, src, "body string", ckpt, fn)
+    table.apply(turns.where(_turn_part(0)))
+    return table.read().select("conv_id", "turn", "role", F.sha2("text", 256).alias("text_sha"))
+
+
+def delta_growth(spark, sf_dir):
+    """A keyed table that begins with few rows and grows over several batches: full
+    buckets split, and the first batch, applied again, changes nothing."""
+    turns = load(spark, sf_dir, "conversations")
+    table = keyed.KeyedTable(spark, session.scratch_path(spark, "delta_growth"), ["conv_id", "turn"], ["role"],
+                             bucket_bytes=TURN_BUCKET_BYTES)
+    first = turns.where("conv_id % 100 = 0")
+    for batch in [first, *[turns.where(_turn_part(i)) for i in range(TURN_PARTS)], first]:
+        table.apply(batch)
+    return table.read().select("conv_id", "turn", "role", F.sha2("text", 256).alias("text_sha"))
+
+
+def delta_cells(spark, sf_dir):
+    """Cells in a keyed table with deltas: for each conversation and role, the latest
+    text; a row's cells lie in one bucket."""
+    turns = load(spark, sf_dir, "conversations")
+    table = keyed.KeyedTable(spark, session.scratch_path(spark, "delta_cells"), ["rowkey", "family", "qualifier"],
+                             ["turn"], bucket_bytes=TURN_BUCKET_BYTES, hashed=["rowkey"])
+    for part in (2, 0, 1):
+        one = turns.where(F.col("turn") % 3 == part).select(
+            "conv_id", "turn", F.create_map("role", F.coalesce("text", F.lit(""))).alias("m"))
+        made = cells.event_cells(one.withColumn("m", F.map_concat("m", F.create_map(
+            F.lit("conv_id"), F.col("conv_id").cast("string")))), "m", "conv_id", CELL_FAMILY, order=["turn"])
+        table.apply(made)
+    return table.read().select("rowkey", "family", "qualifier", "turn", F.sha2("value", 256).alias("value_sha"))
+
+
+# --- K2 with versions ----------------------------------------------------------
+
+def versioned_overwrite(spark, sf_dir):
+    """A table is overwritten by a job that reads it, while a reader that was opened
+    before goes on reading the version it opened."""
+    path = session.scratch_path(spark, "versioned_overwrite")
+    versions.overwrite(load(spark, sf_dir, "conversations"), path)
+    reader = versions.read(spark, path)
+    versions.overwrite(reader.where("role = 'assistant'").withColumn("turn", F.col("turn") + 1000), path)
+    old = reader.select(F.lit(0).alias("version"), "conv_id", "turn", "role")
+    return old.unionByName(versions.read(spark, path).select(F.lit(1).alias("version"), "conv_id", "turn", "role"))
+
+
 # --- K2 K6 -------------------------------------------------------------------
 
 def staged_overwrite(spark, sf_dir):
@@ -559,6 +625,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_quarantine": stream_quarantine,
     "param_upsert": param_upsert,
     "replay_empty": replay_empty,
+    "delta_upsert": delta_upsert,
+    "delta_growth": delta_growth,
+    "delta_cells": delta_cells,
+    "versioned_overwrite": versioned_overwrite,
 }
 
 
@@ -651,6 +721,19 @@ ORACLE_SQL: dict[str, str] = {
     "param_upsert": (
         "SELECT reverse(CAST(user_id AS VARCHAR)) AS t1, event_type AS t2, CAST(value AS VARCHAR) AS t3, "
         f"'null' AS t4, event_id FROM events {_LATEST}"),
+    "delta_upsert": (
+        "SELECT conv_id, turn, role, sha256(text) AS text_sha FROM conversations "
+        "QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1"),
+    "delta_growth": "SELECT conv_id, turn, role, sha256(text) AS text_sha FROM conversations",
+    "delta_cells": (
+        "WITH c AS (SELECT conv_id, turn, role AS qualifier, coalesce(text, '') AS value FROM conversations "
+        "UNION ALL SELECT conv_id, turn, 'conv_id', CAST(conv_id AS VARCHAR) FROM conversations) "
+        f"SELECT reverse(CAST(conv_id AS VARCHAR)) AS rowkey, '{CELL_FAMILY}' AS family, qualifier, turn, "
+        "sha256(value) AS value_sha FROM c "
+        "QUALIFY row_number() OVER (PARTITION BY conv_id, qualifier ORDER BY turn DESC) = 1"),
+    "versioned_overwrite": (
+        "SELECT 0 AS version, conv_id, turn, role FROM conversations UNION ALL "
+        "SELECT 1, conv_id, turn + 1000, role FROM conversations WHERE role = 'assistant'"),
     "replay_empty": "SELECT event_id, value FROM events WHERE event_id % 4 <> 2",
     "stream_complete": (
         "SELECT l_orderkey FROM lineitem WHERE l_returnflag IN ('A', 'R') "

@@ -120,8 +120,8 @@ def write_groups(df: DataFrame, path: str, group_col: str, time_col: str | None
     per_file = max(1, math.floor(target_bytes / max(r.b / r.n for r in totals.values())))
     plan = spark.createDataFrame([(g, *steps[g], *parts[g]) for g in parts],
                                  "_g long, _lo long, _step long, _first array<int>, _count array<int>")
-    at = F.floor((when - F.col("_lo")) / F.col("_step")).cast("int")
-    at = F.least(at, F.size("_first") - 1)
+    at = F.floor((when - F.col("_lo")) / F.col("_step"))
+    at = F.least(at, (F.size("_first") - 1).cast("long")).cast("int")
     part = F.get("_first", at) + F.pmod(row_hash(df), F.get("_count", at)).cast("int")
     columns = [c for c in df.columns if not (drop_time and c == time_col)]
     order = [group_col, time_col] if time_col else [group_col]

@@ -27,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import paths
 from ..fixed import DEFAULT_INTERVAL_MS
 from ..functions.rows import is_nonempty, strict_event
+from ..sinks.keyed import KeyedTable
 
 BATCH_COL = "batch_id"
 ON_BAD_FAIL = "fail"
@@ -84,15 +85,20 @@ def decode_bodies(df: DataFrame, body_col: str = "body", schema=None,
     Good rows carry the decoded ``event_col`` next to the input columns. A
     non-empty body is bad if it is not a JSON object, if a field does not
     have its type in ``schema``, or if a ``required`` field (a key) is null.
-    With ``on_bad='fail'`` a bad body fails the task; with ``'quarantine'``
-    such rows are returned in ``bad``.
+    With ``on_bad='fail'`` a bad body fails the task, also if the event is not
+    used further on; with ``'quarantine'`` such rows are returned in ``bad``.
     """
     event = strict_event(body_col, schema, required)
     present = df.filter(is_nonempty(body_col))
     if on_bad == ON_BAD_FAIL:
         failed = F.raise_error(F.concat(F.lit("undecodable event body: "),
                                         F.substring(F.col(body_col), 1, 200)))
-        good = present.withColumn(event_col, F.coalesce(event, failed))
+        # The test is a filter, so no projection prunes it. Generating the event anew
+        # (one item) keeps the decoding in the projection below, where it runs once.
+        good = present.withColumn(event_col, event).select(
+            *[c for c in present.columns if c != event_col],
+            F.explode_outer(F.array(event_col)).alias(event_col)) \
+            .filter(F.when(F.col(event_col).isNull(), failed.cast("boolean")).otherwise(F.lit(True)))
         return Decoded(good, None, good)
     if on_bad != ON_BAD_QUARANTINE:
         raise ValueError("on_bad must be 'fail' or 'quarantine'")
@@ -169,7 +175,8 @@ def upsert_batch(path: str, keys: list[str], order: list[str], buckets: int | No
                  body_col: str | None = None, schema=None,
                  quarantine_path: str | None = None,
                  columns: Sequence[Column | str] | None = None,
-                 required: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
+                 required: Sequence[str] | None = None,
+                 table: KeyedTable | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function for K4 in a stream: merge each micro-batch
     into the keyed file table at ``path``. Replays are harmless: the merge
     keeps the greatest order tuple per key.
@@ -180,19 +187,26 @@ def upsert_batch(path: str, keys: list[str], order: list[str], buckets: int | No
     by ``rows.bind_params`` are the other use). Bad bodies, and those whose
     ``required`` fields are null (default: the keys that are event fields),
     fail the batch or, with ``quarantine_path``, are written there keyed by
-    batch id.
+    batch id. With ``table`` the batch is appended to that keyed table as a delta
+    instead, which costs by the batch and not by the buckets it touches.
     """
     from ..operators.upsert import upsert_table
     if required is None:
         required = keys if columns is None else ()
     columns = ["event.*"] if columns is None else columns
 
+    def merge(rows: DataFrame) -> None:
+        if table is not None:
+            table.apply(rows)
+        else:
+            upsert_table(rows.sparkSession, path, rows, keys, order, buckets)
+
     def run(batch: DataFrame, batch_id: int) -> None:
         if body_col is None:
-            upsert_table(batch.sparkSession, path, batch, keys, order, buckets)
+            merge(batch)
             return
         with _decoded(batch, batch_id, body_col, schema, quarantine_path, required) as good:
-            upsert_table(good.sparkSession, path, good.select(*columns), keys, order, buckets)
+            merge(good.select(*columns))
 
     return run
 
