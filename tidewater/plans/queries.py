@@ -15,14 +15,14 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import fixed, session
+from .. import fixed, paths, session
 from .sizing import choose_buckets, estimated_bytes
 from ..functions import rows
 from ..operators import cells, groups, select, upsert
 from ..sinks import files, keyed, tables, versions
 from ..sources import files as source_files
 from ..sources import text, windows
-from ..streaming import completeness, delivery
+from ..streaming import completeness, delivery, reconcile, retry
 from ..streaming import windows as ingest
 
 
@@ -419,9 +419,9 @@ def window_stream(spark, sf_dir):
 
     fn = window_source.windows_batch(ev, "ts", DAY, deliver)
     for i, poll_end in enumerate((mid, end, end)):
-        # fewer windows a batch than are pending: drained over several batches
-        delivery.drain(lambda: delivery.start_delivery(window_source.window_stream(
-            spark, start, DAY, end=poll_end, max_windows=WINDOWS_PER_BATCH), ckpt, fn))
+        # fewer windows a batch than are pending: delivered over several runs
+        delivery.start_delivery(window_source.window_stream(
+            spark, start, DAY, end=poll_end, max_windows=WINDOWS_PER_BATCH), ckpt, fn).awaitTermination()
         if i == 1:
             _drop_last_commit(spark, ckpt)       # the third run replays the last batch
     return spark.read.parquet(out).select("event_id", "value", "window_lo")
@@ -593,6 +593,78 @@ def stream_complete(spark, sf_dir):
     return spark.read.schema("l_orderkey bigint, batch_id bigint").parquet(out).select("l_orderkey")
 
 
+# --- T3 with retries -------------------------------------------------------------
+
+def stream_retry(spark, sf_dir):
+    """Turns as JSON bodies; those of assistants decode from the third batch on, and
+    first turns are sent as plain prose, which never does. Failing bodies are offered
+    again with the next batch and set aside after three attempts."""
+    turns = load(spark, sf_dir, "conversations")
+    root = session.scratch_path(spark, "stream_retry")
+    out = f"{root}/out"
+    prose = F.concat(F.lit("prose "), "conv_id", F.lit(" "), F.coalesce("text", F.lit("")))
+    body = F.when(F.col("turn") == 0, prose).otherwise(rows.to_json_event(["conv_id", "turn", "role"]))
+    bodies = turns.select("conv_id", "turn", body.alias("body"))
+    ledger = retry.RetryLedger(spark, f"{root}/ledger")
+
+    def decode(df, batch_id):
+        event = rows.strict_event("body", "conv_id bigint, turn bigint, role string", required=["conv_id"])
+        return event if batch_id >= 2 else F.when(event["role"] != "assistant", event)
+
+    fn = retry.retry_batch(out, ledger, decode, lambda good: good.select("event.*"))
+    for i in [0, 1, 2, 2, 3, 4, 5, 6, 7]:      # a replay; the last two batches have no events of their own
+        fn(bodies.where(_turn_part(i)).select("body"), i)
+    landed = spark.read.schema("conv_id bigint, turn bigint, role string, batch_id bigint").parquet(out)
+    aside = ledger.read().where(F.col("state") == retry.ASIDE)
+    return landed.select("conv_id", "turn", F.lit("landed").alias("state"), F.lit(None).cast("string").alias("body_sha")) \
+        .unionByName(aside.select(F.lit(None).cast("bigint").alias("conv_id"), F.lit(None).cast("bigint").alias("turn"),
+                                  "state", F.col("body_hash").alias("body_sha")))
+
+
+# --- S5 with late rows -------------------------------------------------------------
+
+def late_rows(spark, sf_dir):
+    """Daily windows of turns; a third of the rows appears at the source after their
+    windows were delivered, and some rows are gone by then. The windows whose
+    fingerprint changed are delivered again."""
+    turns = load(spark, sf_dir, "conversations")
+    start = datetime(2024, 1, 1)
+    second = (F.col("conv_id") * 7919 + F.col("turn") * 104729) % 2_000_000
+    stamped = turns.select("conv_id", "turn", "role", F.timestamp_add(
+        "SECOND", second, F.lit(start).cast("timestamp_ntz")).alias("ts"))
+    early = stamped.where(F.col("conv_id") % 3 != 0)
+    now = stamped.where(F.col("conv_id") % 50 != 1)
+    root = session.scratch_path(spark, "late_rows")
+    control, prints = ingest.ControlTable(spark, f"{root}/control"), reconcile.Fingerprints(spark, f"{root}/prints")
+    out = f"{root}/out"
+
+    def deliver(df, pending):
+        ingest.write_windows(df.select("conv_id", "turn", "role", "ts", ingest.WINDOW_COL), out, windows=pending,
+                             time_col="ts")
+
+    for end in (start + 10 * DAY, start + 24 * DAY):
+        reconcile.run_windows_with_prints(spark, "turns", early, "ts", control, prints, deliver, start, end, DAY)
+    reconcile.reconcile(spark, "turns", now, "ts", control, prints, deliver)
+    return spark.read.parquet(out).select("conv_id", "turn", "role",
+                                          F.col(ingest.WINDOW_COL).cast("bigint").alias("window_id"))
+
+
+def stream_complete_state(spark, sf_dir):
+    """Conversations in which both sides have spoken, by Spark's state store, with
+    files admitted by their bytes."""
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    root = session.scratch_path(spark, "complete_state")
+    src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
+    source_files.stage_files(turns, src)
+    most = max(1, paths.size(spark, src) // 3)
+    for i in range(3):
+        stream = delivery.read_file_stream(spark, src, turns.schema, max_bytes_per_trigger=most)
+        completeness.start_complete(stream, ckpt, out, "conv_id", "role", ["user", "assistant"]).awaitTermination()
+        if i == 0:
+            _drop_last_commit(spark, ckpt)
+    return spark.read.schema("conv_id bigint, batch_id bigint").parquet(out).select("conv_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "band_filter": band_filter,
     "text_scan": text_scan,
@@ -625,6 +697,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_quarantine": stream_quarantine,
     "param_upsert": param_upsert,
     "replay_empty": replay_empty,
+    "stream_complete_state": stream_complete_state,
+    "stream_retry": stream_retry,
+    "late_rows": late_rows,
     "delta_upsert": delta_upsert,
     "delta_growth": delta_growth,
     "delta_cells": delta_cells,
@@ -721,6 +796,17 @@ ORACLE_SQL: dict[str, str] = {
     "param_upsert": (
         "SELECT reverse(CAST(user_id AS VARCHAR)) AS t1, event_type AS t2, CAST(value AS VARCHAR) AS t3, "
         f"'null' AS t4, event_id FROM events {_LATEST}"),
+    "stream_retry": (
+        "SELECT conv_id, turn, 'landed' AS state, CAST(NULL AS VARCHAR) AS body_sha FROM conversations "
+        "WHERE turn <> 0 UNION ALL "
+        "SELECT NULL, NULL, 'aside', sha256('prose ' || conv_id || ' ' || coalesce(text, '')) "
+        "FROM conversations WHERE turn = 0"),
+    "late_rows": (
+        "SELECT conv_id, turn, role, CAST(((conv_id * 7919 + turn * 104729) % 2000000) // 86400 AS BIGINT) "
+        "AS window_id FROM conversations WHERE conv_id % 50 <> 1"),
+    "stream_complete_state": (
+        "SELECT conv_id FROM conversations WHERE role IN ('user', 'assistant') "
+        "GROUP BY conv_id HAVING count(DISTINCT role) = 2"),
     "delta_upsert": (
         "SELECT conv_id, turn, role, sha256(text) AS text_sha FROM conversations "
         "QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1"),

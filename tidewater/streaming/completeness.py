@@ -28,6 +28,62 @@ from ..operators.groups import is_full, mask_columns, member_mask
 from ..sinks import files
 from .delivery import write_batch
 
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def use_state_store(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB and checkpoint changes only, unless the
+    session has chosen a store. Call it before the query starts."""
+    provider = next(iter(STATE_STORE))
+    if "RocksDB" in spark.conf.get(provider, ""):
+        return
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
+
+
+def complete_stream(stream: DataFrame, group: str, member: str, required: Sequence[str]) -> DataFrame:
+    """X2 on Spark's state store: the groups of a stream, each in the batch in which
+    its members first cover ``required`` (extra members allowed; with nothing
+    required, the batch in which it is first seen). Run it in update mode.
+
+    The state of a group is, for each required name, the time of the batch that
+    first held it. A group completes at the latest of these times, and a batch
+    reports the groups that it changes, so those whose completion is the batch's
+    own time are the new ones: no output is read back. A replayed batch has the
+    time it had before and reports the same groups. Rows are reduced in their
+    tasks before the shuffle, so a hot group costs a row for each task; a batch
+    writes the state of the groups that it changes. (Should the driver's clock be
+    set back between two batches, a complete group may be reported again.)
+    """
+    names = list(dict.fromkeys(required))
+    now = F.col("_now")
+    if names:
+        stream = stream.where(F.col(member).isin(names))
+    stream = stream.select(group, member, F.current_timestamp().alias("_now"))
+    first = [F.min(F.when(F.col(member) == name, now)).alias(f"_first{i}") for i, name in enumerate(names)] \
+        or [F.min(now).alias("_first0")]
+    seen = stream.groupBy(group).agg(*first, F.max(now).alias("_last"))
+    times = [F.col(f"_first{i}") for i in range(len(first))]
+    ok = times[0].isNotNull()
+    for t in times[1:]:
+        ok = ok & t.isNotNull()
+    done = F.greatest(*times) if len(times) > 1 else times[0]
+    return seen.where(ok & (done == F.col("_last"))).select(group)
+
+
+def start_complete(stream: DataFrame, checkpoint: str, out_path: str, group: str, member: str,
+                   required: Sequence[str], trigger: dict | None = None):
+    """Run ``complete_stream``: newly complete groups go to ``batch_id=N`` of ``out_path``."""
+    use_state_store(stream.sparkSession)
+    writer = (complete_stream(stream, group, member, required).writeStream.outputMode("update")
+              .option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda df, batch_id: write_batch(df, out_path, batch_id)))
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
 
 def completeness_batch(state_path: str, out_path: str, group: str, member: str,
                        required: Sequence[str], buckets: int = 16):

@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -51,10 +52,15 @@ def poll_trigger(interval: str | int | None) -> dict:
 
 
 def read_file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
-                     max_files_per_trigger: int | None = 1) -> DataFrame:
-    """A folder of files as an ordered stream of batches."""
+                     max_files_per_trigger: int | None = 1,
+                     max_bytes_per_trigger: int | str | None = None) -> DataFrame:
+    """A folder of files as an ordered stream of batches. A batch is bounded by
+    its number of files or, with ``max_bytes_per_trigger`` (a number, or a text like
+    ``512m``), by their bytes: many small files then share a batch."""
     reader = spark.readStream.schema(schema).format(fmt)
-    if max_files_per_trigger:
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    elif max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)
 
@@ -142,26 +148,55 @@ def delivery_batch(out_path: str, transform: Callable[[DataFrame], DataFrame] |
     return run
 
 
+class DrainingQuery:
+    """A query that stops by itself, run again until a run finds no input. Everything
+    but ``awaitTermination`` is that of the run in hand. A source that caps its
+    batches (the window source with ``max_windows``) offers one batch a run."""
+
+    def __init__(self, start: Callable[[], StreamingQuery]):
+        self._start, self._query, self.runs = start, start(), 1
+
+    def __getattr__(self, name):
+        return getattr(self._query, name)
+
+    def awaitTermination(self, timeout: float | None = None) -> bool | None:  # noqa: N802 - as in StreamingQuery
+        end = None if timeout is None else time.monotonic() + timeout
+        while True:
+            if end is None:
+                self._query.awaitTermination()
+            elif not self._query.awaitTermination(max(0.001, end - time.monotonic())):
+                return False
+            if not self._more():
+                return None if timeout is None else True
+            self._query, self.runs = self._start(), self.runs + 1
+
+    def _more(self) -> bool:
+        """Whether the run had input from a source that may hold back more: the file
+        source gives all files that were there in one run of several batches."""
+        return any(s["numInputRows"] and not s["description"].startswith("FileStreamSource")
+                   for p in self._query.recentProgress for s in p["sources"])
+
+
 def start_delivery(stream: DataFrame, checkpoint: str,
                    batch_fn: Callable[[DataFrame, int], None],
-                   trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                   trigger: dict | None = None, name: str | None = None) -> StreamingQuery | DrainingQuery:
     """Run ``batch_fn`` per micro-batch with a durable checkpoint.
 
-    ``trigger`` is passed to ``DataStreamWriter.trigger`` (default: drain
-    what is available and stop).
+    ``trigger`` is passed to ``DataStreamWriter.trigger``. By default the query
+    delivers what there is and stops: ``awaitTermination`` returns when nothing is
+    pending, over as many runs as the source's caps need.
     """
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch_fn)
     if name:
         writer = writer.queryName(name)
-    writer = writer.trigger(**(trigger or {"availableNow": True}))
-    return writer.start()
-
+    if trigger:
+        return writer.trigger(**trigger).start()
+    return DrainingQuery(lambda: writer.trigger(availableNow=True).start())
 
 
-def drain(start: Callable[[], StreamingQuery]) -> int:
+def drain(start: Callable[[], StreamingQuery | DrainingQuery]) -> int:
     """Run a query that stops by itself again and again until a run finds no
-    input; returns the number of runs. For sources that cap a batch, such as
-    the window source with ``max_windows``: one such run ends with input left."""
+    input; returns the number of runs."""
     runs = 0
     while True:
         query = start()

@@ -26,6 +26,7 @@ from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from .windows import TableOrFactory, Window, _source, assign_windows
 
 SOURCE_NAME = "tidewater_windows"
+MAX_PENDING = 4096          # as in windows; the source's classes are shipped without that module
 WINDOW_SCHEMA = "window_id long, lo timestamp_ntz, hi timestamp_ntz"
 
 
@@ -33,8 +34,8 @@ class WindowSource(DataSource):
     """Options: ``start`` (ISO time), ``step_seconds``, optional
     ``lag_seconds`` (default 0), ``end`` (ISO time: stop there; otherwise
     the current wall clock in zone ``tz``) and ``max_windows`` per batch
-    (default: all complete
-    ones; with a cap, ``delivery.drain`` delivers the rest over more runs)."""
+    (default:
+    ``MAX_PENDING``; ``delivery.start_delivery`` goes on until none is pending)."""
 
     @classmethod
     def name(cls) -> str:
@@ -59,7 +60,7 @@ class _WindowReader(SimpleDataSourceStreamReader):
         self.lag = timedelta(seconds=float(options.get("lag_seconds", "0")))
         self.end = datetime.fromisoformat(options["end"]) if options.get("end") else None
         cap = options.get("max_windows")
-        self.max_windows = int(cap) if cap else None
+        self.max_windows = int(cap) if cap else MAX_PENDING
         self.tz = options.get("tz")
 
     def _now(self) -> datetime:
@@ -85,7 +86,7 @@ class _WindowReader(SimpleDataSourceStreamReader):
     def read(self, start):
         a = int(start["next"])
         b = self._complete()
-        b = max(a, b if self.max_windows is None else min(b, a + self.max_windows))
+        b = max(a, min(b, a + self.max_windows))
         return iter(self._rows(a, b)), {"next": b}
 
     def readBetweenOffsets(self, start, end):
