@@ -8,8 +8,8 @@ a delta twice.
 The base is cut into buckets, each a range of the key's hash named by its
 leading bits. Every batch earns a credit of ``1 + 1 / share`` times its bytes,
 and as many buckets as that pays for are merged with their deltas and rewritten,
-one after the other round the table. So what a batch writes is bounded by the
-batch and one bucket, not by the table, while deltas stay at about ``share`` of
+``TURN`` or more at a time round the table. So what a batch writes is bounded by
+the batch and a few buckets, not by the table, while deltas stay at about ``share`` of
 the base. A bucket that has outgrown ``bucket_bytes`` is split there into
 buckets with longer prefixes; no other bucket is touched and no key moves.
 Equal runs of ``RUN`` small deltas are merged into one, so their number grows
@@ -39,6 +39,7 @@ BUCKET = "_b"
 BUCKET_BYTES = 256 * 1024 * 1024
 SHARE = 0.5
 RUN = 8
+TURN = 4
 TOP = 1 << 63
 
 
@@ -134,11 +135,9 @@ class KeyedTable:
             m = {"keys": self.keys, "order": self.order, "hashed": self.hashed, "seq": 0, "credit": 0.0, "next": "",
                  "schema": T.StructType([f for f in reduced.schema if f.name != HASH]).json(),
                  "buckets": [{"bits": "", "folder": None, "bytes": 0, "seq": 0}], "deltas": [], "version": -1}
-        delta = self._append(m, reduced)
-        if delta is not None:
-            m["credit"] += delta["bytes"] * (1 + 1 / self.share)
-            self._merge_runs(m)
-            self._fold(m)
+        m["credit"] += self._append(m, reduced)["bytes"] * (1 + 1 / self.share)
+        self._fold(m)
+        self._merge_runs(m)
         m["folders"] = [x["folder"] for x in (*m["buckets"], *m["deltas"]) if x["folder"]]
         return versions.publish(self.spark, self.path, m, m["version"])
 
@@ -166,26 +165,24 @@ class KeyedTable:
                                                *[stored[c] for c in unnamed])
         return self.apply(joined.select(*schema.names))
 
-    def _append(self, m: dict, reduced: DataFrame) -> dict | None:
-        """Write a delta, sorted by hash, so that a fold reads its own range only."""
-        folder = versions.new_folder(self.path)
-        (reduced.repartitionByRange(HASH).sortWithinPartitions(HASH)
-            .write.mode("errorifexists").parquet(f"{self.path}/{folder}"))
-        if self._load(m, [folder]).isEmpty():
-            paths.delete(self.spark, f"{self.path}/{folder}")
-            return None
+    def _append(self, m: dict, reduced: DataFrame) -> dict:
+        """Write a delta, each file sorted by hash: a fold reads the pages of its range."""
+        folder = self._write(reduced)
         m["seq"] += 1
         m["deltas"].append({"seq": m["seq"], "folder": folder, "level": 0,
                             "bytes": paths.size(self.spark, f"{self.path}/{folder}")})
         return m["deltas"][-1]
 
+    def _write(self, rows: DataFrame) -> str:
+        folder = versions.new_folder(self.path)
+        rows.sortWithinPartitions(HASH).write.mode("errorifexists").parquet(f"{self.path}/{folder}")
+        return folder
+
     def _merge_runs(self, m: dict) -> None:
         """Merge the last RUN deltas of one level into one of the next."""
         while len(m["deltas"]) >= RUN and len({d["level"] for d in m["deltas"][-RUN:]}) == 1:
             run = m["deltas"][-RUN:]
-            folder = versions.new_folder(self.path)
-            (self._merged(m, [], run).repartitionByRange(HASH).sortWithinPartitions(HASH)
-                .write.mode("errorifexists").parquet(f"{self.path}/{folder}"))
+            folder = self._write(self._merged(m, [], run))
             m["deltas"][-RUN:] = [{"seq": run[-1]["seq"], "folder": folder, "level": run[0]["level"] + 1,
                                    "bytes": paths.size(self.spark, f"{self.path}/{folder}")}]
 
@@ -195,16 +192,17 @@ class KeyedTable:
         return sum(d["bytes"] for d in m["deltas"] if d["seq"] > bucket["seq"]) * _width(bucket["bits"])
 
     def _fold(self, m: dict) -> None:
-        """Rewrite the next buckets round the table, as far as the credit goes."""
+        """Rewrite the next buckets round the table, as far as the credit goes; it is
+        saved until it pays for ``TURN`` of them, or what is left of the table."""
         start = next((i for i, b in enumerate(m["buckets"]) if b["bits"].startswith(m["next"])), 0)
         turn, cost = [], 0.0
         for b in m["buckets"][start:]:
             need = b["bytes"] + self._pending(m, b)
-            if cost + need > m["credit"] or b["seq"] == m["seq"]:
+            if cost + need > m["credit"]:
                 break
             turn.append(b)
             cost += need
-        if not turn:
+        if not turn or len(turn) < min(TURN, len(m["buckets"]) - start):
             return
         m["credit"] -= cost
         after = start + len(turn)
