@@ -29,3 +29,10 @@ AGE_LO, AGE_HI = 13, 19
 # The template: result = (id == "2"), printed between these tags, one per line.
 TEMPLATE_OPEN, TEMPLATE_CLOSE = "<test>", "</test>"
 TEMPLATE_KEY = "2"
+
+# The template as text: the same assignment and quiet reference, below an XML declaration.
+TEMPLATE_TEXT = """<?xml version="1.0" encoding="UTF-8"?>
+<test>
+#set($result=$map.get("id") == "2")
+$!result
+</test>"""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed, paths, session
 from .sizing import choose_buckets, estimated_bytes
-from ..functions import rows
+from ..functions import rows, templates, variants
 from ..operators import cells, groups, select, upsert
 from ..sinks import files, keyed, tables, versions
 from ..sources import files as source_files
@@ -206,6 +206,30 @@ def template_rows(spark, sf_dir):
     return ev.select("event_id", rows.render_template(parts).alias("rendered"))
 
 
+def template_text(spark, sf_dir):
+    """The template, given as text, filled in for every turn."""
+    turns = load(spark, sf_dir, "conversations")
+    names = {"map": F.create_map(F.lit("id"), "turn")}
+    return turns.select("conv_id", "turn", templates.compile_template(fixed.TEMPLATE_TEXT, names).alias("rendered"))
+
+
+# --- P5 P6 without a schema ----------------------------------------------------
+
+def variant_events(spark, sf_dir):
+    """Nested bodies with a field twice, numbers whose text counts, and some with text
+    after the object, which are left out."""
+    turns = load(spark, sf_dir, "conversations")
+    body = F.concat(
+        F.lit('{"a":0,"conv":{"id":'), "conv_id", F.lit(',"turn":'), "turn", F.lit('},"tags":['),
+        F.to_json(F.array("role")), F.lit(","), "turn", F.lit(',null],"price":'), "conv_id",
+        F.lit('.50,"a":'), "turn", F.lit("}"), F.when(F.col("turn") % 5 == 4, " x").otherwise(""))
+    made = turns.select(body.alias("body"))
+    event = variants.decode_variants(made, numbers="text").where(F.col("event").isNotNull())
+    return event.select(*[variants.field("event", path, kind).alias(name) for name, path, kind in (
+        ("conv_id", "$.conv.id", "bigint"), ("turn", "$.conv.turn", "bigint"), ("role", "$.tags[0][0]", "string"),
+        ("price", "$.price", "string"), ("a", "$.a", "bigint"))])
+
+
 # --- X1 ----------------------------------------------------------------------
 
 def _pairs(ev: DataFrame) -> DataFrame:
@@ -679,6 +703,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cell_upsert": cell_upsert,
     "cell_dense": cell_dense,
     "template_rows": template_rows,
+    "template_text": template_text,
+    "variant_events": variant_events,
     "intersect_keys": intersect_keys,
     "group_complete": group_complete,
     "window_read": window_read,
@@ -753,6 +779,11 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT event_id, '{fixed.TEMPLATE_OPEN}' || chr(10) || "
         f"CAST((CAST(user_id AS VARCHAR) = '{TEMPLATE_KEY}') AS VARCHAR) || chr(10) || '{fixed.TEMPLATE_CLOSE}' "
         "AS rendered FROM events"),
+    "template_text": (
+        "SELECT conv_id, turn, '<?xml version=\"1.0\" encoding=\"UTF-8\"?>' || chr(10) || '<test>' || chr(10) || "
+        "CAST(turn = 2 AS VARCHAR) || chr(10) || '</test>' AS rendered FROM conversations"),
+    "variant_events": (
+        "SELECT conv_id, turn, role, conv_id || '.50' AS price, turn AS a FROM conversations WHERE turn % 5 <> 4"),
     "intersect_keys": (
         "SELECT user_id, event_type, CAST(hour(ts) AS INTEGER) AS hr FROM events "
         f"WHERE ts < {_TS_SPLIT} "
