@@ -332,3 +332,22 @@ def test_pipeline_runs_whole(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "sequence_id", "offset", "length"} <= set(out.columns)
     assert "pipeline" in entry.queries()
+
+
+def test_op5_base_columns_and_classes_match_a_plain_count(spark):
+    texts = ["", None, "one", " \t\n ", "Ab9 #x* É ß~{}", "a b c a b c\na b c\n\n a b \x01\x7f", "Z" * 50 + " 123 $%&|<>",
+             "Tab\tand\x0bline\x0c\r\n" * 30, "αβγ δε 😀😀 ab"]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in rules.counts(df).collect()}
+    space = "\x20\x09\x0a\x0b\x0c\x0d"
+    for i, t in enumerate(texts):
+        t = t or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        r = got[i]
+        assert (r.n_words, r.word_chars) == (len(words), sum(map(len, words)))
+        assert r.n_symbols == sum(c in "#*$%&|<>" for c in t)
+        assert r.lower == sum("a" <= c <= "z" for c in t) and r.upper == sum("A" <= c <= "Z" for c in t)
+        assert r.digit == sum("0" <= c <= "9" for c in t) and r.wide == sum(c > "\x7f" for c in t)
+        assert r.mark == sum("!" <= c <= "~" and not c.isalnum() for c in t if c not in space)
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert r.n_dup_lines == len(lines) - len(set(lines))

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from .common import table
 
 SPACE = r"[\x20\x09-\x0D]+"
-CLASSES = {"lower": r"[a-z]", "upper": r"[A-Z]", "digit": r"[0-9]", "mark": r"[!-/:-@\[-`{-~]", "wide": r"[^\x00-\x7F]"}
+CLASSES = ["lower", "upper", "digit", "mark", "wide"]
+# how each class is taken out, in this order
+LEFT = {"lower": "[a-z]+", "upper": "[A-Z]+", "digit": "[0-9]+", "space": SPACE,
+        "mark": r"[!-/:-@\[-`{-~]+", "wide": r"[^\x00-\x7F]+"}
 COMMON = 16          # common words a language
 SHARDS = 256         # parts in which the words of a language are ranked first
 MAX_LANGS = 1000     # references (under 1 KB each) that may be broadcast
@@ -37,13 +40,18 @@ def counts(docs):
     repeat = F.expr("aggregate(p, named_struct('n', 0L, 'e', 0), (a, i) -> "
                     "named_struct('n', a.n + (i + 3 - greatest(i, a.e)), 'e', i + 3), a -> a.n)")
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    cols = [(F.length("text") - F.length(F.regexp_replace("text", v, ""))).cast("long").alias(k)
-            for k, v in CLASSES.items()]
+    # each class is taken out of what the ones before have left, so that only the first
+    # pass reads the whole text; a run is one match
+    left = "text"
+    for k, v in LEFT.items():
+        df = df.withColumn(f"no_{k}", F.regexp_replace(left, v, ""))
+        df = df.withColumn(k, (F.length(left) - F.length(f"no_{k}")).cast("long"))
+        left = f"no_{k}"
     return df.select("doc_id", "lang", "w", n.cast("long").alias("n_words"),
-                     F.length(F.regexp_replace("text", SPACE, "")).cast("long").alias("word_chars"),
-                     F.length(F.regexp_replace("text", r"[^#*$%&|<>]", "")).cast("long").alias("n_symbols"),
+                     (F.length("text") - F.col("space")).cast("long").alias("word_chars"),
+                     F.length(F.regexp_replace("no_space", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
                      (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-                     repeat.alias("n_repeat_words"), *cols)
+                     repeat.alias("n_repeat_words"), *CLASSES)
 
 
 def distance(p, q):
