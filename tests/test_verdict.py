@@ -136,3 +136,10 @@ def test_completeness_takes_any_number_of_names(spark, scratch):
     fn(df.where("m <> 'n7'"), 0)
     fn(df.where("m = 'n7'"), 1)
     assert [r.g for r in spark.read.parquet(out).collect()] == ["a"]
+
+
+def test_columns_with_the_names_of_partitions_are_refused(spark, scratch):
+    with pytest.raises(ValueError):
+        write_batch(spark.range(1).withColumn("batch_id", F.lit(7)), scratch("taken"), 0)
+    with pytest.raises(ValueError):
+        upsert_table(spark, scratch("taken"), spark.range(1).selectExpr("id", "1 AS o", "7 AS bucket"), ["id"], ["o"])

@@ -83,6 +83,8 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Seque
     only; columns that ``updates`` does not name keep their stored values.
     """
     keys, order = list(keys), list(order)
+    if files.BUCKET_COL in updates.columns:
+        raise ValueError(f"the column name {files.BUCKET_COL} is taken by the table itself")
     if mode == "update":
         files.recover(spark, path)
         if not _has_rows(spark, path):

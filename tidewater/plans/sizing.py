@@ -50,16 +50,3 @@ def choose_buckets(size_bytes: int, target: int = TARGET_BUCKET_BYTES) -> int:
     """Bucket count for a table of about ``size_bytes``, as a power of two."""
     n = max(1, math.ceil(size_bytes / target))
     return min(MAX_BUCKETS, 1 << (n - 1).bit_length())
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    return int(conf.rstrip("bB")) if conf.rstrip("bB").lstrip("-").isdigit() else 10 * 1024 * 1024
-
-
-def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Hint a broadcast only when the estimated size is under ``limit``;
-    otherwise leave the side to a shuffle join."""
-    lim = broadcast_limit(df) if limit is None else limit
-    return F.broadcast(df) if 0 <= estimated_bytes(df) <= lim else df
-

@@ -67,7 +67,9 @@ def read_file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
     """Keyed write: replace exactly partition ``batch_id=N`` of ``path``; an
-    empty result leaves no rows there."""
+    empty result leaves no rows there. A column of that name is refused."""
+    if BATCH_COL in df.columns:
+        raise ValueError(f"the column name {BATCH_COL} is taken by the table itself")
     if df.isEmpty():
         paths.delete(df.sparkSession, f"{path}/{BATCH_COL}={batch_id}")
         return
