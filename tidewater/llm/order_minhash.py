@@ -134,6 +134,12 @@ def similarity(a, b):
     return got / (n + m - got)
 
 
+def numbered(docs, *more):
+    """text_id and text (null counts as empty) after the columns more."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(*more, F.xxhash64(text).alias("text_id"), text.alias("text"))
+
+
 def verify(pairs, texts):
     """The pairs (a, b) whose texts are similar: two joins, then alignment. Spark
     splits the partitions of a hub that many texts are compared with."""
@@ -150,12 +156,15 @@ def verify(pairs, texts):
 
 
 def classes(docs):
-    """(doc_id, class_id): class_id is the smallest doc_id of its group.
+    """(doc_id, class_id, text_id, class_text_id): class_id is the smallest doc_id of its
+    group, text_id the XXH64 of the text, and class_text_id that of the group's first text
+    (by doc_id, then text_id); they tell texts of one doc_id apart.
 
     Same texts form one class (null counts as empty). Different texts are linked
     if the similarity of their five-word shingles, aligned in order, is 0.8 or
     more; a class is a connected group. Texts without words are linked to the
-    same text only. Rows without doc_id are left out; repeated rows count once.
+    same text only. Every text of a doc_id is compared. Rows without doc_id are
+    left out; repeated rows count once. Other columns are not read.
     Candidates share one of SKETCHES Order MinHash keys. The first STARS rounds
     compare the texts of a bucket with the one of them that meets most others;
     the last round looks at all texts of a bucket that are still in different
@@ -164,13 +173,11 @@ def classes(docs):
     most one shingle in nine of both texts is in one of them only.
     """
     spark = docs.sparkSession
-    docs = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    keyed = docs.select("doc_id", F.sha2("text", 256).alias("h"))
-    small = keyed.groupBy("h").agg(F.min("doc_id").alias("id"))
-    member = written(spark, keyed.join(small, "h").select("doc_id", "id").distinct(), "member")
-    reps = member.where("doc_id = id").select("id")
-    texts = docs.join(reps, docs.doc_id == reps.id, "left_semi").select(F.col("doc_id").alias("id"), "text")
-    texts = texts.dropDuplicates(["id"])
+    docs = numbered(docs.where("doc_id IS NOT NULL"), "doc_id").withColumn("h", F.unhex(F.sha2("text", 256)))
+    # one row a text, numbered when it is written
+    texts = written(spark, docs.groupBy("h").agg(
+        F.min("doc_id").alias("d"), F.first("text_id").alias("t"), F.first("text").alias("text"))
+        .withColumn("id", F.monotonically_increasing_id()), "texts")
 
     def start():
         def one(row):
@@ -180,7 +187,7 @@ def classes(docs):
                     yield int.from_bytes(key, "little", signed=True), row["id"], len(s)
         return one
 
-    buckets = map_rows(texts, "key long, id long, n long", start)
+    buckets = written(spark, map_rows(texts.select("id", "text"), "key long, id long, n long", start), "sketches")
     sized = buckets.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     shared = written(spark, buckets.join(sized, "key"), "buckets")
     # the text that meets most others is the likely origin of a group of copies
@@ -218,7 +225,12 @@ def classes(docs):
         .select(F.col("id").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti"))
     links = links.unionByName(verify(written(spark, left, "left"), texts))
     comp = components(spark, written(spark, links, "links"))
-    return member.join(comp, "id", "left").select("doc_id", F.coalesce("root", "id").alias("class_id"))
+    own = texts.select("h", "id", "d", "t").join(comp, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    first = own.groupBy("root").agg(F.min(F.struct("d", "t")).alias("first"))
+    own = own.join(first, "root").select(
+        "h", F.col("first.d").alias("class_id"), F.col("first.t").alias("class_text_id"))
+    return (docs.select("doc_id", "text_id", "h").distinct().join(own, "h")
+            .select("doc_id", "class_id", "text_id", "class_text_id"))
 
 
 def op1(spark, sf_dir):
@@ -226,6 +238,8 @@ def op1(spark, sf_dir):
 
 
 def stage(spark, docs, sf_dir):
-    """One document of each class stays; rows without doc_id stay."""
-    gone = classes(docs).where("doc_id != class_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One text of each class stays, with its repeated rows; rows without doc_id stay.
+    The columns of docs travel in one column of their own, so their names are free."""
+    gone = classes(docs).where("doc_id != class_id OR text_id != class_text_id").select("doc_id", "text_id")
+    rows = numbered(docs, F.struct(*docs.columns).alias("row"), "doc_id").drop("text")
+    return rows.join(gone, ["doc_id", "text_id"], "left_anti").select("row.*")
