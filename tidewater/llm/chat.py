@@ -14,7 +14,10 @@ from .common import table
 # Control strings of the template and of common chat formats (fixed values).
 OPENERS = re.compile(rb"([<|\[])(\\*)(?=\||>|s>|/s>|INST\]|/INST\])")
 ESCAPED = re.compile(rb"([<|\[])\\(\\*)(?=\||>|s>|/s>|INST\]|/INST\])")
+CONTROL = re.compile(rb"[<|\[]\\*(?=(\||>|s>|/s>|INST\]|/INST\]))")
 END = b"<|end|>\n"
+CHUNK = 1 << 20             # bytes scattered at a time
+ROWS, BYTES = 500, 1 << 26  # a batch of formatted turns ends at either
 
 
 def escape(raw):
@@ -27,20 +30,66 @@ def unescape(raw):
     return ESCAPED.sub(rb"\1\2", raw)
 
 
-def assemble(pieces):
-    """Copy byte strings into one preallocated buffer: lengths, cumulative
-    offsets, then scatter indices in numpy. Returns (buffer, offsets)."""
-    lens = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    offs = np.concatenate([[0], np.cumsum(lens)])
-    out = np.empty(int(offs[-1]), np.uint8)
-    step = 1 << 16
-    for i in range(0, len(pieces), step):
-        l = lens[i:i + step]
-        o = offs[i:i + len(l)]
-        src = np.frombuffer(b"".join(pieces[i:i + step]), np.uint8)
-        at = np.arange(len(src)) - np.repeat(np.cumsum(l) - l, l) + np.repeat(o, l)
-        out[at] = src
-    return out, offs
+def scatter(out, source, at, lens, to):
+    """Copy the segments source[at:at + lens] to out[to:to + lens]. Scatter indices are
+    made for CHUNK bytes at a time; a segment of more is copied as it is."""
+    for k in np.flatnonzero(lens > CHUNK):
+        out[to[k]:to[k] + lens[k]] = source[at[k]:at[k] + lens[k]]
+    short = (lens > 0) & (lens <= CHUNK)
+    at, lens, to = at[short], lens[short], to[short]
+    ends = np.cumsum(lens)
+    i = 0
+    while i < len(lens):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - lens[i] + CHUNK, "right")))
+        begin = ends[i:j] - lens[i:j] - (ends[i] - lens[i])
+        step = np.arange(int(lens[i:j].sum()))
+        out[step + np.repeat(to[i:j] - begin, lens[i:j])] = source[step + np.repeat(at[i:j] - begin, lens[i:j])]
+        i = j
+
+
+def column(values):
+    """Bytes and 64-bit offsets of an Arrow string or binary column without nulls."""
+    values = values.cast(pa.large_binary())
+    _, offs, raw = values.buffers()
+    offs = np.frombuffer(offs, np.int64)[values.offset:values.offset + len(values) + 1]
+    return np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8), offs
+
+
+def assemble(roles, texts):
+    """(buffer, offsets): the formatted turns in one preallocated Arrow buffer.
+    Three segments a turn (header, content, end); their lengths and cumulative offsets
+    say where headers, the runs of content between control strings, the backslashes put
+    into those, and ends go. offsets has three entries a turn and the total."""
+    n = len(roles)
+    coded = roles.dictionary_encode()
+    heads = [b"<|" + escape(r.encode()) + b"|>\n" for r in coded.dictionary.to_pylist()]
+    role = coded.indices.to_numpy(zero_copy_only=False)
+    head_lens = np.array([len(h) for h in heads], np.int64)
+    head_at = np.cumsum(head_lens) - head_lens
+    raw, offs = column(texts)
+    start, stop = offs[:-1], offs[1:]
+    first, last = int(offs[0]), int(offs[-1])
+    # control strings of all texts at once; one that reaches beyond its own text is none
+    found = np.array([(m.start(), m.end(1)) for m in CONTROL.finditer(raw, first, last)], np.int64).reshape(-1, 2)
+    row = np.searchsorted(start, found[:, 0], "right") - 1
+    inside = found[:, 1] <= stop[row]
+    found, row = found[inside], row[inside]
+    put = np.bincount(row, minlength=n)
+    lens = np.stack([head_lens[role], stop - start + put, np.full(n, len(END))], 1).ravel()
+    out_offs = np.concatenate([[0], np.cumsum(lens)])
+    buf = pa.allocate_buffer(int(out_offs[-1]))
+    out = np.frombuffer(buf, np.uint8)
+    scatter(out, np.frombuffer(b"".join(heads), np.uint8), head_at[role], head_lens[role], out_offs[0:-1:3])
+    # runs of content: the text's begin and the place after each control string's first byte
+    rank = np.arange(len(row)) - (np.cumsum(put) - put)[row] + 1
+    at, rows, ranks = np.append(start, found[:, 0] + 1), np.append(np.arange(n), row), np.append(np.zeros(n, np.int64), rank)
+    order = np.lexsort((ranks, rows))
+    at, rows, ranks = at[order], rows[order], ranks[order]
+    to = out_offs[1::3][rows] + at - start[rows] + ranks
+    scatter(out, raw, at, np.append(at[1:], last) - at, to)
+    out[to[ranks > 0] - 1] = ord("\\")
+    scatter(out, np.frombuffer(END, np.uint8), np.zeros(n, np.int64), lens[2::3], out_offs[2::3])
+    return buf, out_offs
 
 
 SEGMENTS = "conv_id long, formatted binary, loss_start long, loss_end long"
@@ -52,7 +101,10 @@ def format_turns(rows):
     A conversation's text is its segments one after the other; loss_start and
     loss_end bound the bytes under the loss mask in a segment (assistant turns).
     Rows are ordered by turn, role, text; null role or text is empty, null
-    turns come first, repeated rows stay, null conv_id is a conversation.
+    turns come first, repeated rows stay, null conv_id is a conversation; an empty
+    table gives no rows. Other columns are not read. Batches end at ROWS turns or
+    BYTES of text, so buffers and indices stay bounded; one formatted turn must stay
+    under 2 GB, as any value in Spark.
     """
     sorted_rows = (rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
                                F.coalesce("text", F.lit("")).alias("text"))
@@ -60,21 +112,18 @@ def format_turns(rows):
 
     def run(batches):
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
-                pieces, loss = [], []
-                for role, text in zip(b.column("role").to_pylist(), b.column("text").to_pylist()):
-                    head = b"<|" + escape(role.encode()) + b"|>\n"
-                    body = escape(text.encode())
-                    pieces += [head, body, END]
-                    on = role == "assistant"
-                    loss.append((len(head), len(head) + len(body)) if on else (0, 0))
-                buf, offs = assemble(pieces)
-                seg = pa.Array.from_buffers(pa.binary(), b.num_rows, [
-                    None, pa.py_buffer(offs[::3].astype(np.int32)), pa.py_buffer(buf)])
+            ends = np.cumsum(np.diff(column(whole.column("text"))[1]))
+            at = 0
+            while at < whole.num_rows:
+                done = ends[at - 1] if at else 0
+                b = whole.slice(at, min(ROWS, max(1, int(np.searchsorted(ends, done + BYTES, "right")) - at)))
+                at += b.num_rows
+                buf, offs = assemble(b.column("role"), b.column("text"))
+                on = np.array([r == "assistant" for r in b.column("role").to_pylist()])
+                seg = pa.Array.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(offs[::3].copy()), buf])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("conv_id"), seg, pa.array([s for s, _ in loss], pa.int64()),
-                     pa.array([e for _, e in loss], pa.int64())],
+                    [b.column("conv_id"), seg.cast(pa.binary()), pa.array(np.where(on, offs[1::3] - offs[0:-1:3], 0)),
+                     pa.array(np.where(on, offs[2::3] - offs[0:-1:3], 0))],
                     names=["conv_id", "formatted", "loss_start", "loss_end"])
 
     return sorted_rows.mapInArrow(run, SEGMENTS)
