@@ -33,8 +33,16 @@ def estimated_bytes(df: DataFrame) -> int:
 def measured_bytes(df: DataFrame) -> int:
     """Bytes of ``df`` as text, summed by a job: right also for a frame
     without statistics."""
+    return measured_rows(df)[1]
+
+
+def measured_rows(df: DataFrame) -> tuple[int, int]:
+    """The rows of ``df`` and their bytes as text."""
+    if not df.columns:
+        return df.count(), 0
     row = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    return int(df.agg(F.sum(row)).first()[0] or 0) if df.columns else 0
+    n, size = df.agg(F.count("*"), F.sum(row)).first()
+    return int(n), int(size or 0)
 
 
 def input_bytes(df: DataFrame) -> int:

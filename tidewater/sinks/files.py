@@ -169,7 +169,7 @@ def table_buckets(spark: SparkSession, path: str, sample: DataFrame | None = Non
     return int(buckets)
 
 
-MERGE_PARTITION_BYTES = 256 * 1024 * 1024
+MERGE_PARTITION_BYTES = 32 * 1024 * 1024     # rows of a merge task, as text: some ten times that in memory if they are narrow
 OUTGROWN_FACTOR = 4          # warn when a bucket holds this many times its target size
 
 
@@ -182,8 +182,9 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame,
     ``batch`` must carry ``BUCKET_COL`` and be reduced to one row per key
     already (a partial-aggregated groupBy, so hot keys never cross the
     shuffle row by row). Stored rows of the touched buckets and the batch
-    are range-partitioned once on ``(bucket, keys)`` into about 256 MB per
-    task, then ``reduce`` (a groupBy on keys and bucket, satisfied by that
+    are range-partitioned once on ``(bucket, keys)`` into about 32 MB of rows
+    per task (the batch's rows are measured, and stored rows counted at their
+    width, since files are compressed), then ``reduce`` (a groupBy on keys and bucket, satisfied by that
     partitioning, so no further exchange) merges them. A task covers a
     contiguous key range of one or two buckets: no task grows with a
     bucket, and each bucket gets few files.
@@ -225,8 +226,7 @@ def _like_stored(spark, path, batch, keys, fmt) -> DataFrame:
 
 
 def _merge_and_swap(spark, path, batch, hit, reduce, keys, n, fmt, before_swap) -> None:
-    from ..plans.sizing import measured_bytes
-    from ..plans.sizing import TARGET_BUCKET_BYTES
+    from ..plans.sizing import TARGET_BUCKET_BYTES, measured_rows
     stored = read_buckets(spark, path, batch.schema, hit, fmt)
     # touched share of the stored bytes (one metadata call) plus the batch
     table_bytes = paths.size(spark, path)
@@ -234,8 +234,9 @@ def _merge_and_swap(spark, path, batch, hit, reduce, keys, n, fmt, before_swap)
     if per_bucket > OUTGROWN_FACTOR * TARGET_BUCKET_BYTES:
         warnings.warn(f"keyed table {path} holds {per_bucket} bytes per bucket; "
                       f"consider files.rebucket with more buckets", stacklevel=3)
-    stored_bytes = per_bucket * len(hit)
-    parts = max(1, math.ceil((stored_bytes + measured_bytes(batch)) / MERGE_PARTITION_BYTES))
+    rows, batch_bytes = measured_rows(batch)
+    stored_bytes = max(per_bucket * len(hit), stored.count() * batch_bytes // max(1, rows))
+    parts = max(1, math.ceil((stored_bytes + batch_bytes) / MERGE_PARTITION_BYTES))
     both = stored.unionByName(batch).repartitionByRange(
         parts, F.col(BUCKET_COL), *[F.col(k) for k in keys])
     replace_buckets(spark, reduce(both).select(*batch.columns), path, hit, fmt, before_swap)
