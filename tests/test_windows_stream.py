@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater import paths
+from tidewater.sinks import files
+from tidewater.sources import files as source_files
 from tidewater.sources.windows import read_window, split_windows
 from tidewater.streaming import completeness, delivery
 from tidewater.streaming import windows as ingest
@@ -304,3 +306,32 @@ def test_window_source_with_a_processing_time_trigger(spark, scratch):
     q.processAllAvailable()          # stop between batches, not inside one
     q.stop()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(20))
+
+
+def test_staged_files_follow_the_size_and_not_the_tasks(spark, scratch):
+    src = f"{scratch('staged')}/in"
+    df = spark.range(4000).repartition(40)
+    assert source_files.stage_files(df, src) == 1000
+    n = spark.read.parquet(src).groupBy(F.input_file_name()).count().collect()
+    assert 4 <= len(n) <= 8 and max(r["count"] for r in n) <= 1000 and sum(r["count"] for r in n) == 4000
+
+
+def test_merge_tasks_are_bounded_by_rows_and_not_by_compressed_files(spark, scratch, monkeypatch):
+    root = scratch("merge_tasks")
+    monkeypatch.setattr(files, "MERGE_PARTITION_BYTES", 20_000)
+    fn = completeness.completeness_batch(f"{root}/state", f"{root}/out", "g", "m", ["A", "B"], buckets=1)
+    stored = spark.range(3000).selectExpr("id AS g", "'A' AS m")
+    fn(stored, 0)
+    fn(stored.where("g < 10").selectExpr("g", "'B' AS m"), 1)
+    state = spark.read.parquet(f"{root}/state")
+    tasks = state.groupBy(F.input_file_name()).count().collect()
+    assert len(tasks) >= 5 and max(r["count"] for r in tasks) < 1000 and state.count() == 3000
+    assert sorted(r.g for r in spark.read.parquet(f"{root}/out").collect()) == list(range(10))
+
+
+def test_a_batch_of_one_file_is_decoded_by_all_cores(spark, scratch):
+    root = scratch("spread")
+    bodies = spark.range(400).selectExpr("""'{"a":' || id || '}' AS body""").coalesce(1)
+    delivery.delivery_batch(f"{root}/out", body_col="body", schema="a long", quarantine_path=f"{root}/bad")(bodies, 0)
+    files_out = spark.read.parquet(f"{root}/out").groupBy(F.input_file_name()).count().collect()
+    assert len(files_out) == spark.sparkContext.defaultParallelism and sum(r["count"] for r in files_out) == 400

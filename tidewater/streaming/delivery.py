@@ -115,11 +115,19 @@ def decode_bodies(df: DataFrame, body_col: str = "body", schema=None,
                    both.filter(F.col(event_col).isNull()).drop(event_col), both)
 
 
+def spread(batch: DataFrame) -> DataFrame:
+    """``batch`` over all cores: a file of small compressed bodies is read by one
+    task or a few, and decoding costs far more than moving the bodies."""
+    cores = batch.sparkSession.sparkContext.defaultParallelism
+    return batch if batch.rdd.getNumPartitions() >= cores else batch.repartition(cores)
+
+
 @contextmanager
 def _decoded(batch: DataFrame, batch_id: int, body_col: str, schema,
              quarantine_path: str | None, required: Sequence[str] = ()) -> Iterator[DataFrame]:
     """The good rows of a micro-batch; its bad rows go to ``quarantine_path``.
-    The batch is decoded once for both outputs."""
+    The batch is decoded once for both outputs, by all cores."""
+    batch = spread(batch)
     if quarantine_path is None:
         yield decode_bodies(batch, body_col, schema, ON_BAD_FAIL, required=required).good
         return
